@@ -55,12 +55,16 @@ def test_day_part_share_of_nothing(crimes):
     assert day_part_share(crimes, where=F.col(S.CRIME_PREMISE) == "ROOF").collect() == []
 
 
+def top_months_repeated(*args, **kwargs):
+    return top_months(*args, repeated_texts=True, **kwargs)
+
+
 def test_day_part_share_of_all(crimes):
     got = {r["day_part"]: r["count"] for r in day_part_share(crimes).collect()}
     assert got == {"Night": 7, "Afternoon": 4, "Evening": 2, "Morning": 2}
 
 
-@pytest.mark.parametrize("find", [top_months, top_months_sql])
+@pytest.mark.parametrize("find", [top_months, top_months_sql, top_months_repeated])
 def test_top_months(crimes, find):
     got = find(crimes, S.CRIME_DATE, S.CRIME_DATE_PATTERN)
     assert [tuple(r) for r in got.collect()] == [

@@ -15,14 +15,16 @@ def count_by(df, *keys, name="count"):
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def count_by_month(df, timestamp, name="total"):
-    """Rows per calendar month; rows without a timestamp are left out.
+def count_by_month(df, timestamp, name="total", weight=None):
+    """Rows per calendar month, or the sum of ``weight``; undated rows are left out.
 
     They are left out by counting timestamps: a filter on one that is parsed from
     text would move below and parse every text twice.
     """
+    dated = F.col(timestamp).isNotNull()
+    total = F.count(timestamp) if weight is None else F.sum(F.when(dated, F.col(weight)))
     months = df.groupBy(F.year(timestamp).alias("year"), F.month(timestamp).alias("month"))
-    return months.agg(F.count(timestamp).alias(name)).filter(F.col(name) > 0)
+    return months.agg(total.alias(name)).filter(F.col(name) > 0)
 
 
 def sum_by_key(df, key, sums):

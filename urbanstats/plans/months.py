@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from urbanstats.functions.scalars import parse_timestamp
-from urbanstats.operators.aggregates import count_by_month
+from urbanstats.operators.aggregates import count_by, count_by_month
 from urbanstats.operators.ranking import top_n_per_group
 
 MONTHLY_COUNTS_SQL = """
@@ -34,9 +34,28 @@ def occurrences(incidents, when, pattern=None):
     return incidents.select(occurred.alias("occurred"))
 
 
-def top_months(incidents, when, pattern=None, n=3):
-    """The ``n`` months with most incidents of each year; earlier month on ties."""
-    counts = count_by_month(occurrences(incidents, when, pattern), "occurred")
+def count_repeated_texts_by_month(incidents, when, pattern):
+    """Incidents per month from texts that repeat a lot, each parsed once.
+
+    Equal texts are counted first, so only distinct ones are shuffled and parsed. Not
+    for texts that hardly repeat, such as times to the second over many years: those
+    would all be shuffled.
+    """
+    texts = count_by(incidents, when, name="rows")
+    occurred = parse_timestamp(F.col(when), pattern).alias("occurred")
+    return count_by_month(texts.select(occurred, "rows"), "occurred", weight="rows")
+
+
+def top_months(incidents, when, pattern=None, n=3, repeated_texts=False):
+    """The ``n`` months with most incidents of each year; earlier month on ties.
+
+    ``repeated_texts`` says that ``when`` holds few distinct texts, such as dates
+    without a time of day.
+    """
+    if repeated_texts:
+        counts = count_repeated_texts_by_month(incidents, when, pattern)
+    else:
+        counts = count_by_month(occurrences(incidents, when, pattern), "occurred")
     order = [F.desc("total"), F.asc("month")]
     return top_n_per_group(counts, ["year"], order, n).orderBy("year", F.desc("total"), "ranking")
 

@@ -118,6 +118,7 @@ ORACLE = {
     "top_months": TOP_ALL,
     "top_months_sql": TOP_ALL,
     "top_months_of_texts": TOP_OF_TEXTS,
+    "top_months_of_repeated_texts": TOP_OF_TEXTS,
     "top_months_of_texts_sql": TOP_OF_TEXTS,
     "top_n_per_group": """
         SELECT o_orderpriority, o_orderkey, o_totalprice, CAST(r AS INTEGER) AS ranking
@@ -151,6 +152,7 @@ ORACLE = {
         FROM events
     """,
     "csv_sink_roundtrip": ORDERS,
+    "csv_single_file": DAY_PART_SHARE,
     "csv_sink_without_header": ORDERS,
     "csv_to_parquet": ORDERS,
     "parquet_scan": ORDERS,

@@ -38,6 +38,7 @@ from urbanstats.sources import (
     read_csv_by_name,
     read_features,
     scratch_path,
+    write_csv,
 )
 from workload import derive
 
@@ -176,6 +177,11 @@ def top_months_of_texts(spark, sf_dir):
     return top_months(_dated_orders(spark, sf_dir), S.CRIME_DATE, S.CRIME_DATE_PATTERN)
 
 
+def top_months_of_repeated_texts(spark, sf_dir):
+    orders = _dated_orders(spark, sf_dir)
+    return top_months(orders, S.CRIME_DATE, S.CRIME_DATE_PATTERN, repeated_texts=True)
+
+
 def top_months_of_texts_by_sql(spark, sf_dir):
     return top_months_sql(_dated_orders(spark, sf_dir), S.CRIME_DATE, S.CRIME_DATE_PATTERN)
 
@@ -217,11 +223,11 @@ def income_per_nation_from_files(spark, sf_dir):
     return income_per_key(feature_properties(read_features(spark, blocks)), income)
 
 
-def _join_by(strategy):
+def _join_by(strategy, **limits):
     def query(spark, sf_dir):
         population = population_by_key(derive.census_blocks(spark, sf_dir))
         incomes = income_table(derive.incomes(spark, sf_dir))
-        return join_with_strategy(population, incomes, "zip_code", strategy)
+        return join_with_strategy(population, incomes, "zip_code", strategy, **limits)
 
     return query
 
@@ -280,9 +286,20 @@ def csv_sink_without_header(spark, sf_dir):
     return derive.typed_orders(rows)
 
 
+def csv_single_file(spark, sf_dir):
+    """A small result saved as one file."""
+    path = scratch_path(spark, "shares")
+    write_csv(day_part_share_native(spark, sf_dir), path, single_file_rows=1000)
+    return read_csv(spark, path).select(
+        "day_part",
+        F.col("count").cast("bigint").alias("count"),
+        F.col("percentage").cast("double").alias("percentage"),
+    )
+
+
 def csv_to_parquet_orders(spark, sf_dir):
     source, out = scratch_path(spark, "orders_csv"), scratch_path(spark, "orders_parquet")
-    derive.write_csv(derive.order_texts(spark, sf_dir), source)
+    write_csv(derive.order_texts(spark, sf_dir), source)
     csv_to_parquet(spark, source, out)
     return derive.typed_orders(spark.read.parquet(out))
 
@@ -332,6 +349,7 @@ QUERIES = {
     "top_months": top_order_months,
     "top_months_sql": top_order_months_by_sql,
     "top_months_of_texts": top_months_of_texts,
+    "top_months_of_repeated_texts": top_months_of_repeated_texts,
     "top_months_of_texts_sql": top_months_of_texts_by_sql,
     "top_n_per_group": top_orders_per_priority,
     "preview_top_n": preview_top_orders,
@@ -344,12 +362,13 @@ QUERIES = {
     "join_merge": _join_by("merge"),
     "join_shuffle_hash": _join_by("shuffle_hash"),
     "join_replicate_nl": _join_by("shuffle_replicate_nl"),
-    "join_split_hot_keys": _join_by("split_hot_keys"),
+    "join_split_hot_keys": _join_by("split_hot_keys", min_piece_rows=4),
     "csv_multi_file": csv_multi_file,
     "csv_by_name": csv_by_name,
     "csv_semicolon": csv_semicolon,
     "csv_dirty_rows": csv_dirty_rows,
     "csv_sink_roundtrip": csv_sink_roundtrip,
+    "csv_single_file": csv_single_file,
     "csv_sink_without_header": csv_sink_without_header,
     "csv_to_parquet": csv_to_parquet_orders,
     "parquet_scan": parquet_scan,
