@@ -80,7 +80,7 @@ def test_income_per_key_stays_in_the_jvm(spark, tmp_path, plan, conf):
 
 def test_features_are_parsed_once(spark, plan):
     df, fields = derive.supplier_features(spark, SF)
-    path = derive.save_feature_documents(df, "s_suppkey", fields, "features")
+    path = derive.save_feature_documents(df, fields, "features")
     rows = feature_properties(read_features(spark, path, fields), fields)
     assert plan(rows.filter("ZCTA20 is not null and POP20 <> ''")).count("from_json") == 1
 

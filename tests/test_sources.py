@@ -158,6 +158,14 @@ def test_split_reader_at_any_cut(spark, save, conf):
         assert read_features(spark, path).select(F.spark_partition_id()).distinct().count() > 20
 
 
+def test_large_document_is_split(spark, save):
+    path = save("g.json", json.dumps(document([feature(*f) for f in FEATURES])))
+    with pytest.warns(UserWarning, match="too large for one task"):
+        df = read_features(spark, path, layout="document", max_document_bytes=100)
+    assert tuples(feature_properties(df)) == WANT
+    assert len(df.inputFiles()) == 1
+
+
 def test_split_reader_refuses_late_types(spark, save):
     late = '{"features":[{"properties":{"ZCTA20":"1"},"type":"Feature"}],"type":"FeatureCollection"}'
     path = save("late.json", late)

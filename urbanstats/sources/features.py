@@ -1,5 +1,7 @@
 """GeoJSON feature collections as rows, without their geometry."""
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from urbanstats.schemas import BLOCK_COLUMNS, feature_collection_schema, feature_schema
@@ -9,17 +11,28 @@ LAYOUTS = ("split", "document", "document_lines", "feature_lines")
 # Fixed value: the type every GeoJSON feature carries (RFC 7946).
 FEATURE_MARK = '"Feature"'
 
+# A document is read whole by one task only up to this size.
+MAX_DOCUMENT_BYTES = 256 * 1024 * 1024
+
 
-def read_features(spark, paths, fields=BLOCK_COLUMNS, layout="split"):
+def read_features(
+    spark, paths, fields=BLOCK_COLUMNS, layout="split", max_document_bytes=MAX_DOCUMENT_BYTES
+):
     """One row per feature, with one column ``feature`` holding its properties.
 
     ``split``           documents of any size and line layout, read in parallel:
                         the text is cut at each feature's type member, which has to
                         come before its properties
-    ``document``        one document per file, each read whole by one task
+    ``document``        one document per file, each read whole by one task; where a
+                        file is too large for that, warns and reads as ``split``
     ``document_lines``  one document per line
     ``feature_lines``   one feature per line, bare or as the lines of a document
     """
+    if layout == "document":
+        largest = _largest_file(spark, paths)
+        if largest > max_document_bytes:
+            warnings.warn(f"a document of {largest} bytes is too large for one task; splitting it")
+            layout = "split"
     if layout == "split":
         return _read_split(spark, paths, fields)
     if layout == "feature_lines":
@@ -35,6 +48,12 @@ def read_features(spark, paths, fields=BLOCK_COLUMNS, layout="split"):
     return documents.select(F.explode("features").alias("feature"))
 
 
+def _largest_file(spark, paths):
+    """Size of the largest file; only the listing is read, not the content."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.agg(F.max("length").alias("bytes")).first()["bytes"] or 0
+
+
 def _read_split(spark, paths, fields):
     """Cut the text at the mark, so that Spark can give a file to many tasks.
 

@@ -57,7 +57,6 @@ def census_blocks(spark, sf_dir):
     """Customers as census blocks; some keys, populations and nations are unusable."""
     segment, nation, balance = F.col("c_mktsegment"), F.col("c_nationkey"), F.col("c_acctbal")
     return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("block_id"),
         F.when(segment == "MACHINERY", "")
         .when(segment != "FURNITURE", nation.cast("string"))
         .alias(S.BLOCK_ZIP),
@@ -100,15 +99,16 @@ def save_feature_lines(df, fields, name):
     return path
 
 
-def save_feature_documents(df, key, fields, name):
+def save_feature_documents(df, fields, name):
     """One GeoJSON document per file, each of at most 100,000 features.
 
-    The bound holds because ``key`` is unique and runs without gaps.
+    Row ids are unique whatever the table holds, so the bound holds too.
     """
     path = scratch_path(df.sparkSession, name)
-    document = F.call_function("div", F.col(key), F.lit(FEATURES_PER_DOCUMENT))
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    document = F.call_function("div", F.col("_row"), F.lit(FEATURES_PER_DOCUMENT))
     (
-        df.groupBy(document.alias("document"))
+        rows.groupBy(document.alias("document"))
         .agg(F.collect_list(_feature(fields)).alias("features"))
         .select("document", F.lit("FeatureCollection").alias("type"), "features")
         .write.partitionBy("document")
@@ -120,7 +120,6 @@ def save_feature_documents(df, key, fields, name):
 def supplier_features(spark, sf_dir):
     """Suppliers as features of a map: a table and its property columns."""
     df = table(spark, sf_dir, "supplier").select(
-        "s_suppkey",
         F.col("s_name").alias(S.BLOCK_ZIP),
         F.col("s_suppkey").alias(S.BLOCK_POPULATION),
         F.col("s_nationkey").alias(S.BLOCK_HOUSING),

@@ -217,7 +217,7 @@ def income_per_nation_strict(spark, sf_dir):
 
 def income_per_nation_from_files(spark, sf_dir):
     blocks = derive.save_feature_documents(
-        derive.census_blocks(spark, sf_dir), "block_id", S.BLOCK_COLUMNS, "blocks"
+        derive.census_blocks(spark, sf_dir), S.BLOCK_COLUMNS, "blocks"
     )
     income = read_csv(spark, derive.income_files(spark, sf_dir), ";", required=S.INCOME_COLUMNS)
     return income_per_key(feature_properties(read_features(spark, blocks)), income)
@@ -316,7 +316,7 @@ def _features_by(layout):
         if layout == "feature_lines":
             path = derive.save_feature_lines(df, fields, "supplier_features")
         else:
-            path = derive.save_feature_documents(df, "s_suppkey", fields, "supplier_documents")
+            path = derive.save_feature_documents(df, fields, "supplier_documents")
         rows = feature_properties(read_features(spark, path, fields, layout), fields)
         return rows.select(
             F.col(S.BLOCK_ZIP).alias("name"),
