@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from urbanstats import schemas as S
-from urbanstats.operators import SPLIT_HOT_KEYS
 from urbanstats.plans import day_part_share, income_per_key, top_months, top_months_sql
 from urbanstats.sources import feature_properties, read_csv, read_features, write_csv
 from workload import derive
@@ -69,11 +68,10 @@ def test_sql_and_dataframe_months_have_one_plan(spark, incident_parquet, plan):
 def test_income_per_key_stays_in_the_jvm(spark, tmp_path, plan, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     blocks, incomes = derive.census_blocks(spark, SF), derive.incomes(spark, SF)
-    for strategy in ("default", SPLIT_HOT_KEYS):
-        text = plan(income_per_key(blocks, incomes, strategy))
-        assert "Python" not in text and "ExistingRDD" not in text
+    text = plan(income_per_key(blocks, incomes))
+    assert "Python" not in text and "ExistingRDD" not in text
     # The sums' partitioning serves the join: one shuffle per side, one for the order.
-    text = plan(income_per_key(blocks, incomes, "default"))
+    text = plan(income_per_key(blocks, incomes, split_hot_keys=False))
     assert text.count("Arguments: hashpartitioning") == 2
     assert text.count("Arguments: rangepartitioning") == 1
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from urbanstats import schemas as S
 from urbanstats.functions import day_part_of_hhmm, day_part_udf
-from urbanstats.operators import SPLIT_HOT_KEYS, STRATEGIES, rank_months, top_n_per_group
+from urbanstats.operators import STRATEGIES, rank_months, top_n_per_group
 from urbanstats.plans import day_part_share, income_per_key, top_months, top_months_sql
 from urbanstats.sources import feature_properties, read_csv, read_features
 
@@ -122,7 +122,7 @@ def blocks_and_income(spark, tmp_path):
     )
 
 
-@pytest.mark.parametrize("strategy", [*STRATEGIES, SPLIT_HOT_KEYS])
+@pytest.mark.parametrize("strategy", STRATEGIES)
 @pytest.mark.parametrize("strict", [False, True])
 def test_income_per_key(blocks_and_income, strategy, strict):
     got = income_per_key(*blocks_and_income, strategy=strategy, strict=strict)

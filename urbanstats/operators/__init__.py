@@ -6,11 +6,10 @@ from urbanstats.operators.aggregates import (
     share_of_total,
     sum_by_key,
 )
-from urbanstats.operators.joins import SPLIT_HOT_KEYS, STRATEGIES, join_with_strategy
+from urbanstats.operators.joins import STRATEGIES, join_with_strategy
 from urbanstats.operators.ranking import rank_months, top_n_per_group
 
 __all__ = [
-    "SPLIT_HOT_KEYS",
     "STRATEGIES",
     "count_by",
     "count_by_month",

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from urbanstats.functions.scalars import key_present, parse_currency, safe_ratio
 from urbanstats.operators.aggregates import sum_by_key
-from urbanstats.operators.joins import SPLIT_HOT_KEYS, join_with_strategy
+from urbanstats.operators.joins import join_with_strategy
 from urbanstats.schemas import (
     BLOCK_HOUSING,
     BLOCK_POPULATION,
@@ -28,21 +28,22 @@ def income_table(income):
     ).filter(key_present("zip_code"))
 
 
-def income_per_key(blocks, income, strategy=SPLIT_HOT_KEYS, strict=False):
+def income_per_key(blocks, income, strategy="default", strict=False, split_hot_keys=True):
     """Income per head = median income x housing units / population, by area.
 
     An area whose income or population is unknown or zero is kept with NULL;
     ``strict`` drops it, before the join. An area with several incomes gives several
-    rows. Any of ``join_with_strategy``'s strategies gives the same result; the one
-    set here holds up when one area has most of the income rows, and so does the
-    order, which goes on to the income within an area.
+    rows. The strategies are those of ``join_with_strategy`` and all give one result.
+
+    The order goes on to the income within an area, so that one area with most of the
+    rows is sorted by several tasks.
     """
     population = population_by_key(blocks)
     incomes = income_table(income)
     if strict:
         population = population.filter(F.col("total_population") > 0)
         incomes = incomes.filter(F.col("median_household_income").isNotNull())
-    joined = join_with_strategy(population, incomes, "zip_code", strategy)
+    joined = join_with_strategy(population, incomes, "zip_code", strategy, split_hot_keys)
     paid = F.col("median_household_income") * F.col("total_housing_units")
     return joined.select(
         "zip_code",

@@ -362,7 +362,7 @@ QUERIES = {
     "join_merge": _join_by("merge"),
     "join_shuffle_hash": _join_by("shuffle_hash"),
     "join_replicate_nl": _join_by("shuffle_replicate_nl"),
-    "join_split_hot_keys": _join_by("split_hot_keys", min_piece_rows=4),
+    "join_split_hot_keys": _join_by("merge", min_piece_rows=4),
     "csv_multi_file": csv_multi_file,
     "csv_by_name": csv_by_name,
     "csv_semicolon": csv_semicolon,
