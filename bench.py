@@ -106,6 +106,9 @@ def full_scale(spark, sf_dir, rows):
         "q2_csv": lambda: top_months(read_csv(spark, paths), S.CRIME_DATE, S.CRIME_DATE_PATTERN),
         "q2_csv_sql": lambda: top_months_sql(read_csv(spark, paths), S.CRIME_DATE, S.CRIME_DATE_PATTERN),
         "q2_parquet": lambda: top_months(spark.read.parquet(out), S.CRIME_DATE, S.CRIME_DATE_PATTERN),
+        "q2_parquet_repeated_texts": lambda: top_months(
+            spark.read.parquet(out), S.CRIME_DATE, S.CRIME_DATE_PATTERN, repeated_texts=True
+        ),
     }
     for name, job in jobs.items():
         seconds[name] = median_time(lambda: job().collect())

@@ -208,3 +208,17 @@ def test_scratch_path_follows_the_session(spark):
     assert a != b and a.endswith("/t")
     if base:
         assert a.startswith(base)
+
+
+def test_scratch_path_without_a_shared_folder():
+    """A local session gets a temporary folder, a cluster an error."""
+
+    class Session:
+        def __init__(self, **settings):
+            self.conf = settings
+
+    assert scratch_path(Session(**{"spark.master": "local[2]"}), "t").endswith("/t")
+    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/y/"}
+    assert scratch_path(Session(**shared), "t").startswith("hdfs://x/y/urbanstats/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session(**{"spark.master": "yarn"}), "t")

@@ -1,30 +1,21 @@
 """Months with most incidents, per year."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from urbanstats.functions.scalars import parse_timestamp
 from urbanstats.operators.aggregates import count_by, count_by_month
 from urbanstats.operators.ranking import top_n_per_group
 
-MONTHLY_COUNTS_SQL = """
-    SELECT year(occurred) AS year, month(occurred) AS month, count(occurred) AS total
-    FROM {view}
-    GROUP BY ALL
-    HAVING count(occurred) > 0
-"""
-
-RANKED_MONTHS_SQL = """
-    SELECT *, row_number() OVER (PARTITION BY year ORDER BY total DESC, month) AS ranking
-    FROM ({monthly})
-"""
-
-TOP_MONTHS_SQL = """
-    SELECT year, month, total, ranking
-    FROM ({ranked})
-    WHERE ranking <= {n}
-    ORDER BY year, total DESC, ranking
+MONTHS_AND_RANKS = """
+    WITH months AS (
+      SELECT year(occurred) AS year, month(occurred) AS month, count(occurred) AS total
+      FROM {incidents}
+      GROUP BY ALL
+      HAVING count(occurred) > 0
+    ), ranks AS (
+      SELECT *, row_number() OVER (PARTITION BY year ORDER BY total DESC, month) AS ranking
+      FROM months
+    )
 """
 
 
@@ -60,25 +51,23 @@ def top_months(incidents, when, pattern=None, n=3, repeated_texts=False):
     return top_n_per_group(counts, ["year"], order, n).orderBy("year", F.desc("total"), "ranking")
 
 
-def register_occurrences(incidents, when, pattern=None):
-    """Register the times as a temporary view and return its name."""
-    view = f"occurrences_{uuid.uuid4().hex}"
-    occurrences(incidents, when, pattern).createOrReplaceTempView(view)
-    return view
+def _query_months(incidents, when, pattern, query):
+    """Run a query over ``months`` and ``ranks``; Spark names the view and drops it."""
+    rows = occurrences(incidents, when, pattern)
+    return incidents.sparkSession.sql(MONTHS_AND_RANKS + query, incidents=rows)
 
 
 def monthly_counts_sql(incidents, when, pattern=None):
-    view = register_occurrences(incidents, when, pattern)
-    return incidents.sparkSession.sql(MONTHLY_COUNTS_SQL.format(view=view))
+    """Incidents per calendar month, in SQL."""
+    return _query_months(incidents, when, pattern, "SELECT * FROM months")
 
 
 def rank_months_sql(incidents, when, pattern=None):
-    monthly = MONTHLY_COUNTS_SQL.format(view=register_occurrences(incidents, when, pattern))
-    return incidents.sparkSession.sql(RANKED_MONTHS_SQL.format(monthly=monthly))
+    """All months ranked within their year, in SQL."""
+    return _query_months(incidents, when, pattern, "SELECT * FROM ranks")
 
 
 def top_months_sql(incidents, when, pattern=None, n=3):
     """Same as :func:`top_months`, in SQL."""
-    monthly = MONTHLY_COUNTS_SQL.format(view=register_occurrences(incidents, when, pattern))
-    ranked = RANKED_MONTHS_SQL.format(monthly=monthly)
-    return incidents.sparkSession.sql(TOP_MONTHS_SQL.format(ranked=ranked, n=int(n)))
+    top = f"SELECT * FROM ranks WHERE ranking <= {int(n)} ORDER BY year, total DESC, ranking"
+    return _query_months(incidents, when, pattern, top)
