@@ -55,6 +55,16 @@ def test_groups_are_cut_before_the_shuffle(spark, plan):
     assert text.count("WindowGroupLimit") >= 2 and "Partial" in text
 
 
+def test_large_n_ranks_in_parts(spark, plan, conf):
+    df = spark.range(1000).select((F.col("id") % 7).alias("g"), F.col("id").alias("v"), "id")
+    conf(spark__sql__optimizer__windowGroupLimitThreshold="3")
+    for n, parts in ((2, False), (3, True), (500, True)):
+        top = top_n_per_group(df, ["g"], order(), n)
+        assert ("_part" in plan(top)) == parts
+        rows = [(i % 7, i, i) for i in range(1000)]
+        assert {(r["g"], r["id"], r["ranking"]) for r in top.collect()} == brute_force(rows, n)
+
+
 def test_rank_months_breaks_ties_by_month(spark):
     counts = spark.createDataFrame(
         [(2010, 3, 5), (2010, 1, 5), (2010, 2, 9), (2011, 7, 1)], "year int, month int, total bigint"

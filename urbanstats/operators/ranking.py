@@ -3,23 +3,28 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+PARTS_OF_LARGE_GROUPS = 256
+
 
 def _keep_first(df, group, order, n, name):
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
 
 
-def top_n_per_group(df, group, order, n, name="ranking", parts=1):
+def top_n_per_group(df, group, order, n, name="ranking", parts=None):
     """The first ``n`` rows of each group by ``order``, with their rank.
 
     ``order`` should end in a tie-break, or equal rows come in any order.
 
-    Spark cuts each group to ``n`` rows before the shuffle while ``n`` is below
-    ``spark.sql.optimizer.windowGroupLimitThreshold``. For raw rows with groups of
-    any size, ``parts`` above 1 ranks each group in that many parts first and merges
-    their winners, so that no task sorts a whole group. Parts follow the input
-    partition, which is the same when a lost task runs again; the result is exact.
+    While ``n`` is below ``spark.sql.optimizer.windowGroupLimitThreshold``, Spark cuts
+    each group to ``n`` rows before the shuffle. ``parts`` above 1 ranks each group in
+    that many parts first and merges their winners, so that no task sorts a whole
+    group; it is set for a larger ``n``. Parts follow the input partition, which is the
+    same when a lost task runs again. The result is exact either way.
     """
+    if parts is None:
+        limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+        parts = 1 if n < limit else PARTS_OF_LARGE_GROUPS
     if n < 1 or parts < 1:
         raise ValueError("n and parts must be at least 1")
     if parts > 1:
