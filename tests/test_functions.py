@@ -49,6 +49,9 @@ DAY_PART_CASES = {
     "13 00": "Night",
     "\u00a01300": "Night",
     "99999999999999": "Night",
+    "9" * 30: "Night",
+    "-" + "9" * 30: "Night",
+    "0" * 30 + "1300": "Afternoon",
     "abc": "Night",
     "": "Night",
     None: "Night",
@@ -67,6 +70,8 @@ def test_day_part(spark, udf):
         st.one_of(
             st.none(),
             st.integers(-3000, 30000).map(str),
+            st.integers(-(10**14), 10**14).map(str),
+            st.integers(0, 2400).map(lambda n: f"{n:030d}"),
             st.integers(0, 2400).map(lambda n: f" {n:04d}"),
             st.text(alphabet="0123456789 +-._eE\t\n\x7f\u00a0x", max_size=7),
         ),

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from urbanstats.functions.scalars import DAY_PARTS, OTHER_DAY_PART
 
-# What Spark strips before it casts a text to a number: blanks and control bytes.
-WHOLE_NUMBER = r"^[\x00-\x20\x7f]*([+-]?[0-9]+)[\x00-\x20\x7f]*$"
+# A whole number with the blanks and control bytes around it that Spark's cast strips.
+# Negative and longer numbers are not matched: their hour is Night in any case.
+WHOLE_NUMBER = r"^[\x00-\x20\x7f]*\+?0*([0-9]{1,10})[\x00-\x20\x7f]*$"
 
 
 def day_part_udf():
