@@ -40,6 +40,20 @@ def test_query_equals_its_oracle(spark, duck, name):
     assert rows_by_name(df.columns, got) == rows_by_name(list(schema), want.fetchall())
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["day_part_case", "day_part_udf", "timestamp_parse", "currency_parse", "share_of_total"]
+    + ["top_months_of_texts", "top_months_of_repeated_texts", "income_per_key", "geojson_split"],
+)
+def test_settings_do_not_matter(spark, duck, conf, name):
+    conf(
+        spark__sql__ansi__enabled="false",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__session__timeZone="America/Los_Angeles",
+    )
+    test_query_equals_its_oracle(spark, duck, name)
+
+
 def test_every_query_has_an_oracle():
     assert set(entry_points.queries()) == set(entry_points.oracle_sql())
 
