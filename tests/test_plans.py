@@ -1,4 +1,5 @@
 import json
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,8 +56,8 @@ def test_day_part_share_of_nothing(crimes):
     assert day_part_share(crimes, where=F.col(S.CRIME_PREMISE) == "ROOF").collect() == []
 
 
-def top_months_repeated(*args, **kwargs):
-    return top_months(*args, repeated_texts=True, **kwargs)
+top_months_repeated = partial(top_months, repeated_texts=True)
+top_months_repeated_sql = partial(top_months_sql, repeated_texts=True)
 
 
 def test_day_part_share_of_all(crimes):
@@ -64,7 +65,9 @@ def test_day_part_share_of_all(crimes):
     assert got == {"Night": 7, "Afternoon": 4, "Evening": 2, "Morning": 2}
 
 
-@pytest.mark.parametrize("find", [top_months, top_months_sql, top_months_repeated])
+@pytest.mark.parametrize(
+    "find", [top_months, top_months_sql, top_months_repeated, top_months_repeated_sql]
+)
 def test_top_months(crimes, find):
     got = find(crimes, S.CRIME_DATE, S.CRIME_DATE_PATTERN)
     assert [tuple(r) for r in got.collect()] == [

@@ -8,10 +8,11 @@ from urbanstats.operators.ranking import top_n_per_group
 
 MONTHS_AND_RANKS = """
     WITH months AS (
-      SELECT year(occurred) AS year, month(occurred) AS month, count(occurred) AS total
+      SELECT year(occurred) AS year, month(occurred) AS month,
+        sum(weight) FILTER (WHERE occurred IS NOT NULL) AS total
       FROM {incidents}
-      GROUP BY ALL
-      HAVING count(occurred) > 0
+      GROUP BY year(occurred), month(occurred)
+      HAVING total > 0
     ), ranks AS (
       SELECT *, row_number() OVER (PARTITION BY year ORDER BY total DESC, month) AS ranking
       FROM months
@@ -19,41 +20,36 @@ MONTHS_AND_RANKS = """
 """
 
 
-def occurrences(incidents, when, pattern=None):
-    """The time of each incident, parsed by ``pattern`` where it is a text."""
-    occurred = F.col(when) if pattern is None else parse_timestamp(F.col(when), pattern)
-    return incidents.select(occurred.alias("occurred"))
-
+def occurrences(incidents, when, pattern=None, repeated_texts=False):
+    """Times of incidents, parsed by ``pattern`` where they are texts, and a weight.
 
-def count_repeated_texts_by_month(incidents, when, pattern):
-    """Incidents per month from texts that repeat a lot, each parsed once.
-
-    Equal texts are counted first, so only distinct ones are shuffled and parsed. Not
-    for texts that hardly repeat, such as times to the second over many years: those
-    would all be shuffled.
+    With ``repeated_texts`` equal texts are counted first, so only distinct ones are
+    shuffled and parsed, and the weight is their number. That is for dates without a
+    time of day and the like; texts that hardly repeat, such as times to the second
+    over many years, would all be shuffled.
     """
-    texts = count_by(incidents, when, name="rows")
-    occurred = parse_timestamp(F.col(when), pattern).alias("occurred")
-    return count_by_month(texts.select(occurred, "rows"), "occurred", weight="rows")
+    if repeated_texts:
+        rows = count_by(incidents, when, name="weight")
+    else:
+        rows = incidents.select(when, F.lit(1).alias("weight"))
+    occurred = F.col(when) if pattern is None else parse_timestamp(F.col(when), pattern)
+    return rows.select(occurred.alias("occurred"), "weight")
 
 
 def top_months(incidents, when, pattern=None, n=3, repeated_texts=False):
     """The ``n`` months with most incidents of each year; earlier month on ties.
 
-    ``repeated_texts`` says that ``when`` holds few distinct texts, such as dates
-    without a time of day.
+    See :func:`occurrences` for the arguments.
     """
-    if repeated_texts:
-        counts = count_repeated_texts_by_month(incidents, when, pattern)
-    else:
-        counts = count_by_month(occurrences(incidents, when, pattern), "occurred")
+    rows = occurrences(incidents, when, pattern, repeated_texts)
+    counts = count_by_month(rows, "occurred", weight="weight")
     order = [F.desc("total"), F.asc("month")]
     return top_n_per_group(counts, ["year"], order, n).orderBy("year", F.desc("total"), "ranking")
 
 
-def _query_months(incidents, when, pattern, query):
+def _query_months(incidents, when, pattern, query, repeated_texts=False):
     """Run a query over ``months`` and ``ranks``; Spark names the view and drops it."""
-    rows = occurrences(incidents, when, pattern)
+    rows = occurrences(incidents, when, pattern, repeated_texts)
     return incidents.sparkSession.sql(MONTHS_AND_RANKS + query, incidents=rows)
 
 
@@ -67,7 +63,7 @@ def rank_months_sql(incidents, when, pattern=None):
     return _query_months(incidents, when, pattern, "SELECT * FROM ranks")
 
 
-def top_months_sql(incidents, when, pattern=None, n=3):
+def top_months_sql(incidents, when, pattern=None, n=3, repeated_texts=False):
     """Same as :func:`top_months`, in SQL."""
     top = f"SELECT * FROM ranks WHERE ranking <= {int(n)} ORDER BY year, total DESC, ranking"
-    return _query_months(incidents, when, pattern, top)
+    return _query_months(incidents, when, pattern, top, repeated_texts)

@@ -119,6 +119,7 @@ ORACLE = {
     "top_months_sql": TOP_ALL,
     "top_months_of_texts": TOP_OF_TEXTS,
     "top_months_of_repeated_texts": TOP_OF_TEXTS,
+    "top_months_of_repeated_texts_sql": TOP_OF_TEXTS,
     "top_months_of_texts_sql": TOP_OF_TEXTS,
     "top_n_per_group": """
         SELECT o_orderpriority, o_orderkey, o_totalprice, CAST(r AS INTEGER) AS ranking

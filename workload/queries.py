@@ -182,6 +182,11 @@ def top_months_of_repeated_texts(spark, sf_dir):
     return top_months(orders, S.CRIME_DATE, S.CRIME_DATE_PATTERN, repeated_texts=True)
 
 
+def top_months_of_repeated_texts_by_sql(spark, sf_dir):
+    orders = _dated_orders(spark, sf_dir)
+    return top_months_sql(orders, S.CRIME_DATE, S.CRIME_DATE_PATTERN, repeated_texts=True)
+
+
 def top_months_of_texts_by_sql(spark, sf_dir):
     return top_months_sql(_dated_orders(spark, sf_dir), S.CRIME_DATE, S.CRIME_DATE_PATTERN)
 
@@ -350,6 +355,7 @@ QUERIES = {
     "top_months_sql": top_order_months_by_sql,
     "top_months_of_texts": top_months_of_texts,
     "top_months_of_repeated_texts": top_months_of_repeated_texts,
+    "top_months_of_repeated_texts_sql": top_months_of_repeated_texts_by_sql,
     "top_months_of_texts_sql": top_months_of_texts_by_sql,
     "top_n_per_group": top_orders_per_priority,
     "preview_top_n": preview_top_orders,
