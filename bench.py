@@ -31,6 +31,7 @@ RUNS = 3
 HEADLINES = [
     "day_part_share",
     "day_part_share_udf",
+    "day_part_share_udf_on_distinct",
     "day_part_share_csv",
     "day_part_share_parquet",
     "share_of_total",
@@ -105,6 +106,9 @@ def full_scale(spark, sf_dir, rows):
     jobs = {
         "q1_csv": lambda: day_part_share(read_csv(spark, paths), where=street),
         "q1_csv_udf": lambda: day_part_share(read_csv(spark, paths), where=street, rule=day_part_udf()),
+        "q1_csv_udf_on_distinct": lambda: day_part_share(
+            read_csv(spark, paths), where=street, rule=day_part_udf(), repeated_texts=True
+        ),
         "q1_parquet": lambda: day_part_share(spark.read.parquet(out), where=street),
         "q2_csv": lambda: top_months(read_csv(spark, paths), S.CRIME_DATE, S.CRIME_DATE_PATTERN),
         "q2_csv_sql": lambda: top_months_sql(read_csv(spark, paths), S.CRIME_DATE, S.CRIME_DATE_PATTERN),

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from urbanstats import schemas as S
+from urbanstats.functions import day_part_udf
 from urbanstats.plans import day_part_share, income_per_key, top_months, top_months_sql
 from urbanstats.sources import feature_properties, read_csv, read_features, write_csv
 from workload import derive
@@ -45,6 +46,15 @@ def test_time_is_parsed_once_per_row(spark, incident_parquet, plan, conf):
     assert code.count("toIntExact") == 1
 
 
+def test_udf_sees_distinct_times(spark, incident_parquet, plan):
+    """The Python step comes after the first aggregation, not in the scan's stage."""
+    incidents = spark.read.parquet(incident_parquet)
+    tree = plan(day_part_share(incidents, rule=day_part_udf(), repeated_texts=True)).split("\n\n")[0]
+    names = re.findall(r"- (\w+)", tree)
+    python = names.index("ArrowEvalPython")
+    assert names[python + 1] == "HashAggregate" and names.count("HashAggregate") == 4
+
+
 @pytest.mark.parametrize("find", [top_months, top_months_sql])
 def test_dates_are_parsed_once_per_row(spark, incident_parquet, plan, conf, find):
     conf(spark__sql__adaptive__enabled="false")

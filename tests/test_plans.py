@@ -40,10 +40,12 @@ def street():
     return F.col(S.CRIME_PREMISE) == S.STREET
 
 
+@pytest.mark.parametrize("repeated", [False, True])
 @pytest.mark.parametrize("udf", [False, True])
-def test_day_part_share(crimes, udf):
+def test_day_part_share(crimes, udf, repeated):
     rule = day_part_udf() if udf else day_part_of_hhmm
-    got = day_part_share(crimes, where=street(), rule=rule)
+    got = day_part_share(crimes, where=street(), rule=rule, repeated_texts=repeated)
+    assert got.dtypes == [("day_part", "string"), ("count", "bigint"), ("percentage", "double")]
     assert [tuple(r) for r in got.collect()] == [
         ("Night", 7, 53.85),
         ("Afternoon", 2, 15.38),
@@ -53,7 +55,9 @@ def test_day_part_share(crimes, udf):
 
 
 def test_day_part_share_of_nothing(crimes):
-    assert day_part_share(crimes, where=F.col(S.CRIME_PREMISE) == "ROOF").collect() == []
+    for repeated in (False, True):
+        nothing = F.col(S.CRIME_PREMISE) == "ROOF"
+        assert day_part_share(crimes, where=nothing, repeated_texts=repeated).collect() == []
 
 
 top_months_repeated = partial(top_months, repeated_texts=True)

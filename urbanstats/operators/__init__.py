@@ -5,6 +5,7 @@ from urbanstats.operators.aggregates import (
     row_count,
     share_of_total,
     sum_by_key,
+    weighted,
 )
 from urbanstats.operators.joins import STRATEGIES, join_with_strategy
 from urbanstats.operators.ranking import rank_months, top_n_per_group
@@ -20,4 +21,5 @@ __all__ = [
     "share_of_total",
     "sum_by_key",
     "top_n_per_group",
+    "weighted",
 ]

@@ -15,6 +15,19 @@ def count_by(df, *keys, name="count"):
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def weighted(df, column, repeated_texts=False):
+    """The values of a column and a ``weight``: 1 for each row, or with
+    ``repeated_texts`` each distinct value once, with its number of rows.
+
+    The latter is for columns that get an expensive expression and hold few distinct
+    texts, such as HHMM times or dates without a time of day: only distinct ones are
+    shuffled and computed. Texts that hardly repeat would all be shuffled.
+    """
+    if repeated_texts:
+        return count_by(df, column, name="weight")
+    return df.select(column, F.lit(1).alias("weight"))
+
+
 def count_by_month(df, timestamp, name="total", weight=None):
     """Rows per calendar month, or the sum of ``weight``; undated rows are left out.
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from urbanstats.functions.scalars import parse_timestamp
-from urbanstats.operators.aggregates import count_by, count_by_month
+from urbanstats.operators.aggregates import count_by_month, weighted
 from urbanstats.operators.ranking import top_n_per_group
 
 MONTHS_AND_RANKS = """
@@ -21,19 +21,12 @@ MONTHS_AND_RANKS = """
 
 
 def occurrences(incidents, when, pattern=None, repeated_texts=False):
-    """Times of incidents, parsed by ``pattern`` where they are texts, and a weight.
+    """Times of incidents with a weight; texts are parsed by ``pattern``.
 
-    With ``repeated_texts`` equal texts are counted first, so only distinct ones are
-    shuffled and parsed, and the weight is their number. That is for dates without a
-    time of day and the like; texts that hardly repeat, such as times to the second
-    over many years, would all be shuffled.
+    See :func:`weighted` for ``repeated_texts``.
     """
-    if repeated_texts:
-        rows = count_by(incidents, when, name="weight")
-    else:
-        rows = incidents.select(when, F.lit(1).alias("weight"))
     occurred = F.col(when) if pattern is None else parse_timestamp(F.col(when), pattern)
-    return rows.select(occurred.alias("occurred"), "weight")
+    return weighted(incidents, when, repeated_texts).select(occurred.alias("occurred"), "weight")
 
 
 def top_months(incidents, when, pattern=None, n=3, repeated_texts=False):

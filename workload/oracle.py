@@ -86,6 +86,7 @@ SUPPLIERS = "SELECT s_name AS name, s_suppkey AS suppkey, s_nationkey AS nationk
 ORACLE = {
     "day_part_share": DAY_PART_SHARE,
     "day_part_share_udf": DAY_PART_SHARE,
+    "day_part_share_udf_on_distinct": DAY_PART_SHARE,
     "day_part_share_csv": DAY_PART_SHARE,
     "day_part_share_parquet": DAY_PART_SHARE,
     "day_part_counts": f"""

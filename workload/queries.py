@@ -63,6 +63,11 @@ def day_part_share_udf(spark, sf_dir):
     return day_part_share(derive.incidents(spark, sf_dir), where=_errors(), rule=day_part_udf())
 
 
+def day_part_share_udf_on_distinct(spark, sf_dir):
+    incidents = derive.incidents(spark, sf_dir)
+    return day_part_share(incidents, where=_errors(), rule=day_part_udf(), repeated_texts=True)
+
+
 def day_part_share_csv(spark, sf_dir):
     files = derive.incident_files(spark, sf_dir)
     return day_part_share(read_csv(spark, files, required=S.CRIME_COLUMNS), where=_errors())
@@ -335,6 +340,7 @@ def _features_by(layout):
 QUERIES = {
     "day_part_share": day_part_share_native,
     "day_part_share_udf": day_part_share_udf,
+    "day_part_share_udf_on_distinct": day_part_share_udf_on_distinct,
     "day_part_share_csv": day_part_share_csv,
     "day_part_share_parquet": day_part_share_parquet,
     "day_part_counts": day_part_counts_by_event,
