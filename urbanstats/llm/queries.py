@@ -1,18 +1,24 @@
 """One query per operator, on whole tables, and the SQL where SQL can say it."""
 
 from urbanstats.llm.quality import fit_quality, score_quality
+from urbanstats.llm.simhash import near_duplicates
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_near_dedup(spark, sf_dir):
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
+
+
 def op7_quality_classifier(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
 
 
 QUERIES = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
 }
 
