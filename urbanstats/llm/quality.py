@@ -117,21 +117,33 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _features_of(texts, limit):
-    """A matrix of at most ``limit`` rows: those whose hash of id and text is smallest."""
+def _sample(ids, limit):
+    """At most ``limit`` distinct ids: those with the smallest hashes."""
+    return (
+        ids.distinct()
+        .withColumn("_order", F.xxhash64("doc_id"))
+        .orderBy("_order", "doc_id")
+        .limit(limit)
+        .select("doc_id")
+    )
+
+
+def _features_of(texts, ids, limit):
+    """A row of statistics for each of at most ``limit`` ids.
+
+    The ids are chosen before any text is read, so the join ships ``limit`` longs and
+    moves no text. Of several rows with one id the smallest statistics count.
+    """
 
     @F.pandas_udf("array<float>")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([text_features(t) for t in texts])
 
-    sample = (
-        texts.withColumn("_order", F.xxhash64("doc_id", "text"))
-        .orderBy("_order", "doc_id", "text")
-        .limit(limit)
-    )
-    rows = sample.select(features("text").alias("f")).toPandas()["f"]
-    return np.array(rows.tolist(), np.float64).reshape(len(rows), FEATURES)
+    chosen = texts.join(F.broadcast(_sample(ids, limit)), "doc_id", "left_semi")
+    rows = chosen.select("doc_id", features("text").alias("f")).groupBy("doc_id").agg(F.min("f").alias("f"))
+    values = rows.orderBy("doc_id").toPandas()["f"]
+    return np.array(values.tolist(), np.float64).reshape(len(values), FEATURES)
 
 
 class QualityModel:
@@ -177,9 +189,10 @@ def fit_quality(docs, labels, prior=None, fit_rows=FIT_ROWS):
         prior = marks.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
         prior = 0.5 if prior is None else prior
     prior = min(0.95, max(0.05, prior))
-    good = marks.filter(F.col("quality") == 1).select("doc_id")
-    positive = _features_of(texts.join(good, "doc_id", "left_semi"), fit_rows)
-    unlabelled = _features_of(texts, fit_rows)
+    ids = texts.select("doc_id")
+    good = marks.filter(F.col("quality") == 1).select("doc_id").join(ids, "doc_id", "left_semi")
+    positive = _features_of(texts, good, fit_rows)
+    unlabelled = _features_of(texts, ids, fit_rows)
     if not len(positive) or not len(unlabelled):
         return QualityModel(np.zeros(FEATURES), float(np.log(prior / (1 - prior))), prior)
     weights, bias = fit_pu(positive, unlabelled, prior)
