@@ -1,5 +1,6 @@
 """One query per operator, on whole tables, and the SQL where SQL can say it."""
 
+from urbanstats.llm.decontaminate import find_contained
 from urbanstats.llm.quality import fit_quality, score_quality
 from urbanstats.llm.simhash import near_duplicates
 
@@ -17,9 +18,42 @@ def op7_quality_classifier(spark, sf_dir):
     return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op10_benchmark_decontamination(spark, sf_dir):
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return find_contained(docs, items).drop("text_key")
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE = {}
+# Every shingle of every document against every shingle of every item.
+_OP10 = r"""
+WITH dw AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') IF x <> ''] AS w
+  FROM documents),
+iw AS (
+  SELECT item_id,
+         [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') IF x <> ''] AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+items AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, least(5, len(w)) AS n, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i
+        FROM iw WHERE len(w) > 0)),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id),
+docs AS (
+  SELECT DISTINCT r, doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT r, doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM dw, (SELECT DISTINCT n FROM items) WHERE len(w) >= n)),
+counts AS (
+  SELECT r, doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (n, s) GROUP BY ALL)
+SELECT DISTINCT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM counts JOIN sizes USING (item_id) WHERE n_shared / n_shingles >= 0.8
+"""
+
+ORACLE = {
+    "op10_benchmark_decontamination": _OP10,
+}
