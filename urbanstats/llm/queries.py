@@ -2,6 +2,7 @@
 
 from urbanstats.llm.decontaminate import find_contained
 from urbanstats.llm.quality import fit_quality, score_quality
+from urbanstats.llm.secrets import fit_markov, labelled_samples, scan_secrets
 from urbanstats.llm.simhash import near_duplicates
 
 
@@ -13,6 +14,11 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
 
+def op5_secret_scans(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return scan_secrets(docs, fit_markov(labelled_samples(docs)))
+
+
 def op7_quality_classifier(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
@@ -25,6 +31,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op5_secret_scans": op5_secret_scans,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
