@@ -1,6 +1,7 @@
 """One query per operator, on whole tables, and the SQL where SQL can say it."""
 
 from urbanstats.llm.decontaminate import find_contained
+from urbanstats.llm.pieces import encode_round_trip, read_vocabulary
 from urbanstats.llm.quality import fit_quality, score_quality
 from urbanstats.llm.secrets import fit_markov, labelled_samples, scan_secrets
 from urbanstats.llm.simhash import near_duplicates
@@ -14,6 +15,10 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
 
+def op3_sentencepiece(spark, sf_dir, vocabulary="/opt/tokenizers/piece_bpe_32k.model"):
+    return encode_round_trip(_table(spark, sf_dir, "documents"), read_vocabulary(vocabulary))
+
+
 def op5_secret_scans(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return scan_secrets(docs, fit_markov(labelled_samples(docs)))
@@ -31,6 +36,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op5_secret_scans": op5_secret_scans,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
