@@ -1,10 +1,13 @@
 """One query per operator, on whole tables, and the SQL where SQL can say it."""
 
+from pyspark.sql import functions as F
+
 from urbanstats.llm.decontaminate import find_contained
 from urbanstats.llm.pieces import encode_round_trip, read_vocabulary
 from urbanstats.llm.quality import fit_quality, score_quality
 from urbanstats.llm.secrets import fit_markov, labelled_samples, scan_secrets
 from urbanstats.llm.simhash import near_duplicates
+from urbanstats.llm.topk import top_k
 
 
 def _table(spark, sf_dir, name):
@@ -29,6 +32,10 @@ def op7_quality_classifier(spark, sf_dir):
     return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op9_exact_top_k(spark, sf_dir):
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op10_benchmark_decontamination(spark, sf_dir):
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return find_contained(docs, items).drop("text_key")
@@ -39,6 +46,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op5_secret_scans": op5_secret_scans,
     "op7_quality_classifier": op7_quality_classifier,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
@@ -67,6 +75,22 @@ SELECT DISTINCT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS
 FROM counts JOIN sizes USING (item_id) WHERE n_shared / n_shingles >= 0.8
 """
 
+# Every query against every row.
+_OP9 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS "rank"
+  FROM pairs)
+SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
+"""
+
 ORACLE = {
+    "op9_exact_top_k": _OP9,
     "op10_benchmark_decontamination": _OP10,
 }
