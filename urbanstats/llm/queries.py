@@ -8,6 +8,7 @@ from urbanstats.llm.quality import fit_quality, score_quality
 from urbanstats.llm.secrets import fit_markov, labelled_samples, scan_secrets
 from urbanstats.llm.simhash import near_duplicates
 from urbanstats.llm.topk import top_k
+from urbanstats.llm.windows import remove_repeated_passages
 
 
 def _table(spark, sf_dir, name):
@@ -27,6 +28,11 @@ def op5_secret_scans(spark, sf_dir):
     return scan_secrets(docs, fit_markov(labelled_samples(docs)))
 
 
+def op6_substring_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return remove_repeated_passages(docs, length=50, with_text=False).drop("intervals")
+
+
 def op7_quality_classifier(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
@@ -45,6 +51,7 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_secret_scans": op5_secret_scans,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
