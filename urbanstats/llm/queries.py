@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from urbanstats.llm.decontaminate import find_contained
 from urbanstats.llm.pieces import encode_round_trip, read_vocabulary
 from urbanstats.llm.quality import fit_quality, score_quality
+from urbanstats.llm.repeats import remove_repeated_strings
 from urbanstats.llm.secrets import fit_markov, labelled_samples, scan_secrets
 from urbanstats.llm.simhash import near_duplicates
 from urbanstats.llm.topk import top_k
@@ -23,6 +24,11 @@ def op3_sentencepiece(spark, sf_dir, vocabulary="/opt/tokenizers/piece_bpe_32k.m
     return encode_round_trip(_table(spark, sf_dir, "documents"), read_vocabulary(vocabulary))
 
 
+def op4_suffix_array_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return remove_repeated_strings(docs, length=400, with_text=False).drop("spans")
+
+
 def op5_secret_scans(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return scan_secrets(docs, fit_markov(labelled_samples(docs)))
@@ -50,6 +56,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_secret_scans": op5_secret_scans,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_classifier": op7_quality_classifier,

@@ -75,11 +75,14 @@ def window_hashes(hashes, length):
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * _powers(_BASE, len(hashes)), out=sums[1:])
-    rolled = (sums[length:] - sums[:n]) * _powers(_INVERSE, n)
-    # Spread over all bits, as buckets are cut by the upper ones.
-    rolled ^= rolled >> np.uint64(31)
-    rolled *= np.uint64(0xD6E8FEB86659FD93)
-    return rolled ^ (rolled >> np.uint64(32))
+    return spread((sums[length:] - sums[:n]) * _powers(_INVERSE, n))
+
+
+def spread(hashes):
+    """Mix 64-bit numbers so that all bits count, as buckets are cut by the upper ones."""
+    hashes = hashes ^ (hashes >> np.uint64(31))
+    hashes *= np.uint64(0xD6E8FEB86659FD93)
+    return hashes ^ (hashes >> np.uint64(32))
 
 
 def covered(starts, length, n):
