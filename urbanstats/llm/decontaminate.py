@@ -9,11 +9,12 @@ looking those up in the documents finds every pair. Exact containment decides.
 
 from pyspark.sql import functions as F
 
-from urbanstats.llm.common import text_table
+from urbanstats.llm.common import stored, text_table
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-# MinHash values are broadcast up to this many (16 MB or so), and joined by key beyond.
+# MinHash values and candidate pairs are broadcast up to this many (24 MB or so), and
+# joined by key beyond.
 MAX_BROADCAST_PROBES = 1_000_000
 
 
@@ -112,10 +113,20 @@ def find_contained(docs, items, shingle_words=SHINGLE_WORDS, containment=CONTAIN
     pairs = hits.distinct().select(
         F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key"), "item_id"
     )
+    pairs = stored(pairs, "contained_pairs")
+    if pairs.count() <= MAX_BROADCAST_PROBES:  # then texts without a candidate do not move
+        pairs = F.broadcast(pairs)
     same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key"))
     both = texts.join(pairs, same).join(sets, "item_id")
+    # Exploded from arrays of one: the filter below would otherwise move down and split
+    # the text again for every shingle.
     words = both.select(
-        "doc_id", "text_key", "item_id", "length", "shingles", plain_words(F.col("text")).alias("words")
+        "doc_id",
+        "text_key",
+        "item_id",
+        "length",
+        "shingles",
+        F.explode(F.array(plain_words(F.col("text")))).alias("words"),
     )
     own = F.lit(None)
     for n in lengths:
@@ -124,8 +135,8 @@ def find_contained(docs, items, shingle_words=SHINGLE_WORDS, containment=CONTAIN
         "doc_id",
         "item_id",
         F.size("shingles").cast("long").alias("n_shingles"),
-        F.size(F.array_intersect("shingles", own)).cast("long").alias("n_shared"),
         "text_key",
+        F.explode(F.array(F.size(F.array_intersect("shingles", own)).cast("long"))).alias("n_shared"),
     ).withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
     return (
         counted.filter(F.col("containment") >= containment)
