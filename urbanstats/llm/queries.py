@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from urbanstats.llm.decontaminate import find_contained
 from urbanstats.llm.pieces import encode_round_trip, read_vocabulary
 from urbanstats.llm.quality import fit_quality, score_quality
+from urbanstats.llm.rendering import extract_text
 from urbanstats.llm.repeats import remove_repeated_strings
 from urbanstats.llm.secrets import fit_markov, labelled_samples, scan_secrets
 from urbanstats.llm.simhash import near_duplicates
@@ -20,6 +21,10 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
 
+def op2_html_extraction(spark, sf_dir):
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_sentencepiece(spark, sf_dir, vocabulary="/opt/tokenizers/piece_bpe_32k.model"):
     return encode_round_trip(_table(spark, sf_dir, "documents"), read_vocabulary(vocabulary))
 
@@ -55,6 +60,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_secret_scans": op5_secret_scans,
