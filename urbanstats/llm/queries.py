@@ -10,6 +10,7 @@ from urbanstats.llm.repeats import remove_repeated_strings
 from urbanstats.llm.secrets import fit_markov, labelled_samples, scan_secrets
 from urbanstats.llm.simhash import near_duplicates
 from urbanstats.llm.topk import top_k
+from urbanstats.llm.urls import host_of, judge_captures, path_of
 from urbanstats.llm.windows import remove_repeated_passages
 
 
@@ -49,6 +50,59 @@ def op7_quality_classifier(spark, sf_dir):
     return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def captures_and_lists(pages):
+    """Fetch dates for the pages, and dated lists made of their hosts.
+
+    A digest of a host decides which lists name it, or its domain or a folder of it, and
+    when: added on one day, for some removed later, for some added again.
+    """
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int"))
+    captures = pages.select("page_id", "url", day.alias("fetched"))
+    hosts = (
+        pages.select(host_of(F.col("url")).alias("host"), F.split(path_of(F.col("url")), "/")[0].alias("folder"))
+        .filter("host IS NOT NULL")
+        .distinct()
+        .withColumn("d", F.conv(F.substring(F.md5(F.concat_ws("/", "host", "folder")), 1, 6), 16, 10).cast("int"))
+    )
+    domain = F.substring_index("host", ".", -2)
+    folder = F.concat_ws("/", "host", "folder")
+    picked = [
+        (F.col("d") % 3 == 0, "hosts", "block", "host", F.col("host")),
+        (F.col("d") % 11 == 1, "domains", "block", "domain", domain),
+        (F.col("d") % 5 == 2, "folders", "block", "prefix", folder),
+        (F.col("d") % 7 == 3, "trusted", "allow", "host", F.col("host")),
+    ]
+    steps = F.array(
+        *[
+            F.struct(F.lit(when).alias("when"), F.lit(added).alias("added"), F.lit(only).alias("only"))
+            for when, added, only in ((0, True, 1), (60, False, 2), (150, True, 4))
+        ]
+    )
+    entries = None
+    for chosen, name, action, kind, value in picked:
+        part = (
+            hosts.filter(chosen)
+            .select("d", value.alias("value"), F.explode(steps).alias("s"))
+            .filter(F.col("d") % F.col("s.only") == 0)
+            .select(
+                F.lit(name).alias("list"),
+                F.lit(action).alias("action"),
+                F.lit(kind).alias("kind"),
+                "value",
+                F.date_add(
+                    F.lit("2024-01-01").cast("date"), (F.col("d") % 200 + F.col("s.when")).cast("int")
+                ).alias("changed"),
+                F.col("s.added").alias("added"),
+            )
+        )
+        entries = part if entries is None else entries.unionByName(part)
+    return captures, entries
+
+
+def op8_url_filters(spark, sf_dir):
+    return judge_captures(*captures_and_lists(_table(spark, sf_dir, "pages")))
+
+
 def op9_exact_top_k(spark, sf_dir):
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
@@ -66,6 +120,7 @@ QUERIES = {
     "op5_secret_scans": op5_secret_scans,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_url_filters": op8_url_filters,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
@@ -110,7 +165,46 @@ ranked AS (
 SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
 """
 
+# The state of each entry is its last change up to the fetch day; a removal wins a tie.
+_OP8 = r"""
+WITH u AS (
+  SELECT row_number() OVER () AS r, page_id, date '2024-01-01' + (page_id % 365)::INTEGER AS fetched,
+    nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/?#:@]*)', 2)), '\.$', ''), '') AS host,
+    coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '') AS path
+  FROM pages),
+hosts AS (
+  SELECT host, folder, ('0x' || substr(md5(host || '/' || folder), 1, 6))::INTEGER AS d
+  FROM (SELECT DISTINCT host, split_part(path, '/', 1) AS folder FROM u WHERE host IS NOT NULL)),
+named AS (
+  SELECT d, 'hosts' AS list, 'block' AS action, 'host' AS kind, host AS value FROM hosts WHERE d % 3 = 0
+  UNION ALL
+  SELECT d, 'domains', 'block', 'domain', array_to_string(string_split(host, '.')[-2:], '.') FROM hosts WHERE d % 11 = 1
+  UNION ALL
+  SELECT d, 'folders', 'block', 'prefix', host || '/' || folder FROM hosts WHERE d % 5 = 2
+  UNION ALL
+  SELECT d, 'trusted', 'allow', 'host', host FROM hosts WHERE d % 7 = 3),
+changes AS (
+  SELECT list, action, kind, value, date '2024-01-01' + (d % 200 + s.w)::INTEGER AS changed, s.added
+  FROM named, (VALUES (0, true, 1), (60, false, 2), (150, true, 4)) AS s(w, added, keep)
+  WHERE d % s.keep = 0),
+matches AS (
+  SELECT r, list, action, kind, value, arg_max(added, (changed, NOT added)) AS active
+  FROM u JOIN changes AS c ON c.changed <= u.fetched AND (
+    (c.kind = 'host' AND u.host = c.value)
+    OR (c.kind = 'domain' AND ('.' || u.host) LIKE ('%.' || c.value))
+    OR (c.kind = 'prefix' AND ((u.host || '/' || u.path || '/') LIKE (c.value || '/%'))))
+  GROUP BY ALL),
+found AS (
+  SELECT r, count(*) AS n_active, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+         bool_or(action = 'allow') AS allowed
+  FROM matches WHERE active GROUP BY r)
+SELECT page_id, host, fetched, coalesce(n_active, 0) AS n_active, coalesce(lists, '') AS lists,
+       CASE WHEN allowed THEN 'allow' WHEN n_active > 0 THEN 'block' ELSE 'none' END AS verdict
+FROM u LEFT JOIN found USING (r)
+"""
+
 ORACLE = {
+    "op8_url_filters": _OP8,
     "op9_exact_top_k": _OP9,
     "op10_benchmark_decontamination": _OP10,
 }
