@@ -11,6 +11,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cached_property
+from hashlib import sha256
 from itertools import count, islice
 
 import numpy as np
@@ -27,8 +28,8 @@ DROPOUT = 0.1
 # Words up to this many characters are merged many at a time, longer ones by a heap.
 SHORT_WORD = 48
 # Characters per round of work in a task, and words that a task remembers.
-ROUND_CHARS = 2_000_000
-KNOWN_WORDS = 250_000
+ROUND_CHARS = 1_000_000
+KNOWN_WORDS = 150_000
 
 # The space symbol of the vocabulary, and the names of its byte pieces.
 SPACE_SYMBOL = "▁"
@@ -344,28 +345,12 @@ class Encoder:
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def _rounds(names, texts):
-    """Cut a batch in rounds of about ROUND_CHARS characters; a text is never cut."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= ROUND_CHARS or i == len(texts) - 1:
-            yield names[start : i + 1], texts[start : i + 1]
-            start, size = i + 1, 0
-
-
-def encode_column(vocabulary, name, text, seed=42, dropout=DROPOUT, variants=VARIANTS):
-    """Column: the piece ids of a text (array of int); empty for a NULL or empty text."""
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        encoder = Encoder(vocabulary, seed, dropout, variants)
-        for names, texts in batches:
-            out = []
-            for some, round_texts in _rounds(names.tolist(), texts.tolist()):
-                out.extend(encoder.encode(some, round_texts))
-            yield pd.Series(out, index=texts.index, dtype=object)
-
-    return encode(F.coalesce(name.cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
+def _rounds(batches):
+    """Batches cut in rounds of about ROUND_CHARS characters; a text is never cut."""
+    for batch in batches:
+        ends = batch["text"].str.len().cumsum() // ROUND_CHARS
+        for _, rows in batch.groupby(ends.to_numpy(), sort=False):
+            yield rows, ["" if i is None else str(i) for i in rows["doc_id"]]
 
 
 def decode_ids(vocabulary, ids):
@@ -387,6 +372,11 @@ def decode_column(vocabulary, ids):
     return decode(ids)
 
 
+def _with_names(docs):
+    """Ids as text, so that a NULL among them leaves the others as they are."""
+    return text_table(docs).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
 def encode_documents(docs, vocabulary, seed=42, dropout=DROPOUT, variants=VARIANTS):
     """One row per row of ``docs``: doc_id, ids (array of int).
 
@@ -397,27 +387,52 @@ def encode_documents(docs, vocabulary, seed=42, dropout=DROPOUT, variants=VARIAN
     no ids. NULL ids draw as one name. Characters without a piece, the vocabulary's own
     space symbol among them, are spelled in bytes. Other columns are ignored.
     """
-    texts = text_table(docs)
-    ids = encode_column(vocabulary, F.col("doc_id"), F.col("text"), seed, dropout, variants)
-    return texts.select("doc_id", ids.alias("ids"))
+
+    def encode(batches):
+        encoder = Encoder(vocabulary, seed, dropout, variants)
+        for rows, names in _rounds(batches):
+            ids = pd.Series(encoder.encode(names, rows["text"].tolist()), rows.index, dtype=object)
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": ids})
+
+    encoded = _with_names(docs).mapInPandas(encode, "doc_id string, ids array<int>")
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids")
+
+
+_ROUND_TRIP = (
+    "doc_id string, n_pieces long, n_byte_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean"
+)
 
 
 def encode_round_trip(docs, vocabulary, seed=42, dropout=DROPOUT, variants=VARIANTS):
     """One row per row of ``docs``: its encoding in figures, and whether it decodes.
 
-    Columns: doc_id, n_pieces, n_byte_pieces (of which bytes), ids_sha256 (of the ids
-    with commas between), decoded_sha256, lossless (the decoded text equals the text).
+    Columns: doc_id, n_pieces, n_byte_pieces (of which bytes), ids_sha256 (of the ids as
+    32-bit numbers, lowest byte first), decoded_sha256 (of the decoded text), lossless
+    (the decoded text equals the text). The ids stay in the task that made them; else as
+    ``encode_documents``.
     """
-    texts = text_table(docs)
-    ids = encode_column(vocabulary, F.col("doc_id"), F.col("text"), seed, dropout, variants)
-    encoded = texts.withColumn("ids", ids)
-    decoded = encoded.withColumn("decoded", decode_column(vocabulary, F.col("ids")))
-    low, high = int(vocabulary.byte_ids.min()), int(vocabulary.byte_ids.max())
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        F.size(F.filter("ids", lambda i: i.between(low, high))).cast("long").alias("n_byte_pieces"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.col("text")).alias("lossless"),
-    )
+
+    def go(batches):
+        encoder = Encoder(vocabulary, seed, dropout, variants)
+        low, high = vocabulary.byte_ids.min(), vocabulary.byte_ids.max()
+        for rows, names in _rounds(batches):
+            out = []
+            for doc_id, text, ids in zip(
+                rows["doc_id"], rows["text"], encoder.encode(names, rows["text"].tolist())
+            ):
+                spelled = int(((ids >= low) & (ids <= high)).sum())
+                decoded = decode_ids(vocabulary, ids.tolist())
+                out.append(
+                    (
+                        doc_id,
+                        len(ids),
+                        spelled,
+                        sha256(ids.astype("<i4").tobytes()).hexdigest(),
+                        sha256(decoded.encode()).hexdigest(),
+                        decoded == text,
+                    )
+                )
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _ROUND_TRIP.split(", ")])
+
+    found = _with_names(docs).mapInPandas(go, _ROUND_TRIP)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
