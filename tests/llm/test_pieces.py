@@ -1,0 +1,89 @@
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from conftest import SF
+
+from urbanstats.llm import pieces
+from urbanstats.llm.queries import QUERIES
+
+PATH = "/opt/tokenizers/piece_bpe_32k.model"
+ODD = ["", " ", "  a", "a\nb", "\n\n", " \n", "é😀\x00z", "x" * 3000, " " * 300, "日本語" * 50, "\r\n\t", "a  b "]
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pieces.read_vocabulary(PATH)
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    return [str(r["doc_id"]) for r in rows], [r["text"] for r in rows]
+
+
+def test_without_dropout_equals_the_library(vocabulary, texts):
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    names, some = texts[0] + ["odd"] * len(ODD), texts[1] + ODD
+    got = pieces.Encoder(vocabulary, 1, 0.0, 8).encode(names, some)
+    assert [g.tolist() for g in got] == [model.encode(t) for t in some]
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5, 1.0])
+def test_any_segmentation_decodes_to_the_text(vocabulary, texts, dropout):
+    names, some = texts[0] + ["odd"] * len(ODD) + ["sign"], texts[1] + ODD + ["▁ a ▁b"]
+    got = pieces.Encoder(vocabulary, 3, dropout, 8).encode(names, some)
+    assert [pieces.decode_ids(vocabulary, g.tolist()) for g in got] == some
+
+
+def test_side_by_side_equals_the_agenda(vocabulary):
+    rnd = random.Random(5)
+    words = [
+        " " * rnd.randrange(3) + "".join(rnd.choice("etaoinshé😀") for _ in range(rnd.randrange(1, 20)))
+        for _ in range(800)
+    ]
+    keys = np.array([rnd.getrandbits(64) for _ in words], np.uint64)
+    for dropout in (0.0, 0.2, 0.7):
+        ids, counts = pieces.encode_words(vocabulary, words, keys, dropout)
+        split = np.split(ids, np.cumsum(counts)[:-1])
+        for word, key, got in zip(words, keys.tolist(), split):
+            assert got.tolist() == pieces.agenda_encode(vocabulary, word, key, dropout)
+
+
+def test_segmentations_vary_and_repeat(vocabulary):
+    text = " ".join(["international"] * 200)
+    first, again = (pieces.Encoder(vocabulary, 9, 0.3, 8).encode(["7"], [text])[0] for _ in range(2))
+    assert first.tolist() == again.tolist()
+    other = pieces.Encoder(vocabulary, 10, 0.3, 8).encode(["7"], [text])[0]
+    plain = pieces.Encoder(vocabulary, 9, 0.0, 8).encode(["7"], [text])[0]
+    assert first.tolist() != other.tolist() and len(first) > len(plain)
+    per_word = "".join(vocabulary.pieces[i] + ("|" if k else "") for k, i in enumerate(first.tolist()))
+    assert len(set(per_word.split(" "))) > 3
+
+
+def test_dropped_share_follows_the_parameter(vocabulary):
+    keys = np.arange(20_000, dtype=np.uint64)
+    one = np.ones(20_000, np.uint64)
+    share = (pieces._candidate(keys, one - one, one, one + one) < np.uint64(int(0.25 * 2**64))).mean()
+    assert abs(share - 0.25) < 0.02
+
+
+def test_query_is_lossless(spark):
+    rows = QUERIES["op3_sentencepiece"](spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(r["lossless"] for r in rows) and all(r["n_pieces"] > 0 for r in rows)
+
+
+def test_odd_rows(docs_of, odd_rows, vocabulary):
+    got = pieces.encode_documents(docs_of(odd_rows), vocabulary).collect()
+    decoded = sorted((str(r["doc_id"]), pieces.decode_ids(vocabulary, r["ids"])) for r in got)
+    assert decoded == sorted((str(i), t or "") for i, t in odd_rows)
+    assert all(r["lossless"] for r in pieces.encode_round_trip(docs_of(odd_rows), vocabulary).collect())
+    assert pieces.encode_documents(docs_of([]), vocabulary).collect() == []
+
+
+def test_rows_do_not_depend_on_partitions(docs_of, vocabulary):
+    rows = [(i, f"some text of row {i} " * 20) for i in range(40)]
+    one, many = (pieces.encode_documents(docs_of(rows, n), vocabulary).collect() for n in (1, 9))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, many))

@@ -1,0 +1,80 @@
+import random
+from hashlib import sha256
+
+import pytest
+from conftest import SF
+
+from urbanstats.llm import windows
+from urbanstats.llm.queries import QUERIES
+
+
+def plain(rows, length, space):
+    """Per row: words, removed words, hash of the rest, intervals."""
+    words = [space.findall(t or "") for _, t in rows]
+    first = {}
+    for (doc_id, _), w in zip(rows, words):
+        for i in range(len(w) - length + 1):
+            key = tuple(w[i : i + length])
+            first[key] = min(first.get(key, doc_id), doc_id)
+    out = []
+    for (doc_id, _), w in zip(rows, words):
+        gone = [False] * len(w)
+        for i in range(len(w) - length + 1):
+            if first[tuple(w[i : i + length])] < doc_id:
+                gone[i : i + length] = [True] * length
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        edges = [i for i in range(len(w) + 1) if (i > 0 and gone[i - 1]) != (i < len(w) and gone[i])]
+        spans = [edges[k : k + 2] for k in range(0, len(edges), 2)]
+        out.append((doc_id, len(w), sum(gone), sha256(kept.encode()).hexdigest(), spans))
+    return sorted(out)
+
+
+def found(df):
+    return sorted(
+        (r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"], r["intervals"]) for r in df.collect()
+    )
+
+
+def test_query_equals_plain_python(spark, space):
+    got = QUERIES["op6_substring_dedup"](spark, SF)
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = [w[:4] for w in plain(rows, 50, space)]
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == want
+    assert any(w[2] for w in want)
+
+
+@pytest.mark.parametrize("length", [1, 3, 8])
+@pytest.mark.parametrize("chunk", [50, 4_000_000])
+def test_random_texts(docs_of, space, length, chunk):
+    """A third of the rows share a passage; small chunks make all questions global ones."""
+    rnd = random.Random(length)
+    shared = " ".join(rnd.choice("abcdefgh") for _ in range(30))
+    rows = []
+    for i in range(120):
+        own = " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(40)))
+        rows.append((i // 2 * 3, own + rnd.choice([" ", "\n", ""]) + (shared if i % 3 == 0 else "")))
+    assert found(windows.remove_repeated_passages(docs_of(rows), length, chunk_chars=chunk)) == plain(
+        rows, length, space
+    )
+
+
+def test_kept_text(docs_of):
+    rows = [(1, "a b c d e"), (2, "x  b c\nd y")]
+    got = {r["doc_id"]: r for r in windows.remove_repeated_passages(docs_of(rows), 3).collect()}
+    assert got[1]["kept"] is None and got[1]["n_removed"] == 0
+    assert got[2]["kept"] == "x y" and got[2]["intervals"] == [[1, 4]]
+
+
+def test_odd_rows(docs_of, odd_rows, space):
+    rows = [(i, t) for i, t in odd_rows if i is not None]
+    assert found(windows.remove_repeated_passages(docs_of(odd_rows), 3)) == plain(rows, 3, space)
+
+
+def test_empty_table(docs_of):
+    assert windows.remove_repeated_passages(docs_of([]), 3).collect() == []
+
+
+def test_key_beyond_broadcast(docs_of, space, monkeypatch):
+    monkeypatch.setattr(windows, "MAX_BROADCAST_IDS", 0)
+    rows = [(i, "a b c d " + "e f g " * (i % 4)) for i in range(30)]
+    assert found(windows.remove_repeated_passages(docs_of(rows), 3)) == plain(rows, 3, space)

@@ -116,8 +116,8 @@ def find_stretches(raw, starts, stops, length):
     return first, last - first, place, anchor
 
 
-def _pieces(batches):
-    """Lists of (row number, offset, bytes) of about CHUNK_BYTES; rows of the batch.
+def _pieces(batches, most):
+    """Lists of (row number, offset, bytes) of about ``most`` bytes; rows of the batch.
 
     A text that is longer is dealt with in pieces whose windows follow on each other.
     """
@@ -125,10 +125,10 @@ def _pieces(batches):
         raws = [t.encode("utf-8") for t in batch["text"]]
         chunk, size = [], 0
         for i, raw in enumerate(raws):
-            for offset in range(0, max(1, len(raw)), CHUNK_BYTES):
+            for offset in range(0, max(1, len(raw)), most):
                 chunk.append((i, offset, raw))
-                size += min(CHUNK_BYTES, len(raw))
-                if size >= CHUNK_BYTES:
+                size += min(most, len(raw))
+                if size >= most:
                     yield batch, raws, chunk
                     chunk, size = [], 0
         if chunk:
@@ -145,18 +145,18 @@ def _names(schema):
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _anchor(length):
+def _anchor(length, most):
     """Function for mapInPandas: a row per document, and one per stretch of windows."""
 
     def anchor(batches):
-        for batch, raws, chunk in _pieces(batches):
+        for batch, raws, chunk in _pieces(batches, most):
             keys = batch[["doc_id", *_KEY]].to_numpy(object)
             whole = [
                 (*keys[i], len(raws[i]), sha256(raws[i]).hexdigest(), None, None, None, None, None)
                 for i, offset, _ in chunk
                 if offset == 0
             ]
-            parts = [raw[o : o + CHUNK_BYTES + length - 1] for _, o, raw in chunk]
+            parts = [raw[o : o + most + length - 1] for _, o, raw in chunk]
             raw = np.frombuffer(b"".join(parts), np.uint8)
             sizes = np.fromiter(map(len, parts), np.int64, len(parts))
             starts = np.cumsum(sizes) - sizes
@@ -388,7 +388,9 @@ def _with_keys(texts, wanted):
     return texts.join(wanted, _KEY)
 
 
-def remove_repeated_strings(docs, length=LENGTH, with_text=True, stretches=STRETCHES):
+def remove_repeated_strings(
+    docs, length=LENGTH, with_text=True, stretches=STRETCHES, chunk_bytes=CHUNK_BYTES
+):
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept.
 
     A byte of a text in UTF-8 is removed if a string of ``length`` bytes that covers it
@@ -404,7 +406,7 @@ def remove_repeated_strings(docs, length=LENGTH, with_text=True, stretches=STRET
     if length < 2:
         raise ValueError("strings of two bytes at least")
     texts = _texts(docs)
-    anchored = stored(texts.mapInPandas(_anchor(length), _ANCHORED), "suffix_anchors")
+    anchored = stored(texts.mapInPandas(_anchor(length, chunk_bytes), _ANCHORED), "suffix_anchors")
     stretches_ = anchored.filter(F.col("h").isNotNull()).select(*_KEY, "start", "n", "place", "h", "sh")
     kinds = (
         stretches_.groupBy("h")

@@ -93,15 +93,15 @@ def covered(starts, length, n):
     return np.cumsum(change[:n]) > 0
 
 
-def _chunks(batches):
-    """(ids, texts) of about CHUNK_CHARS characters, in order of id; a text is never cut."""
+def _chunks(batches, most):
+    """(ids, texts) of about ``most`` characters, in order of id; a text is never cut."""
     ids, texts, size = [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
             ids.append(doc_id)
             texts.append(text)
             size += len(text)
-            if size >= CHUNK_CHARS:
+            if size >= most:
                 yield _in_order(ids, texts)
                 ids, texts, size = [], [], 0
     if ids:
@@ -131,12 +131,12 @@ def _repeated_rows(docs, hashes, bucket_of):
         yield _row(bucket_of(int(docs[a])), _REPEATED, int(docs[a]), hashes=hashes[a:b].tobytes())
 
 
-def _pack(length, buckets):
+def _pack(length, buckets, most):
     """Function for mapInPandas: from documents to rows for the buckets."""
 
     def pack(batches):
         known = WordHashes()
-        for ids, texts in _chunks(batches):
+        for ids, texts in _chunks(batches, most):
             rows, parts, place = [], [], []
             for i, text in enumerate(texts):
                 words = words_of_bytes(text)
@@ -223,7 +223,7 @@ def _remove(length, with_text):
                 gone = covered(np.flatnonzero(np.isin(own, bad)), length, len(words))
                 kept = b" ".join([words[i] for i in np.flatnonzero(~gone)])
                 bounds = np.flatnonzero(np.diff(np.r_[False, gone, False]))
-                left = kept.decode() if with_text else None
+                left = kept.decode() if with_text and gone.any() else None
                 rows.append((doc_id, len(words), int(gone.sum()), sha256(kept).hexdigest(), bounds, left))
             yield pd.DataFrame(
                 rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256", "bounds", "kept"]
@@ -232,7 +232,7 @@ def _remove(length, with_text):
     return remove
 
 
-def remove_repeated_passages(docs, length=WINDOW, with_text=True):
+def remove_repeated_passages(docs, length=WINDOW, with_text=True, chunk_chars=CHUNK_CHARS):
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256, intervals, kept.
 
     A word is removed if a window of ``length`` words that covers it also starts in a
@@ -251,7 +251,7 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True):
     spark = docs.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(max(1, least, -(-size // BUCKET_BYTES)), 1 << 30)
-    packed = texts.mapInPandas(_pack(length, buckets), _PACKED)
+    packed = texts.mapInPandas(_pack(length, buckets, chunk_chars), _PACKED)
     answers = stored(packed.groupBy("bucket").applyInPandas(_count, _ANSWER), "window_answers")
     repeated = answers.filter(F.length("hashes") > 0).groupBy("doc_id").agg(
         F.collect_list("hashes").alias("repeated")
@@ -259,6 +259,11 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True):
     whole = answers.filter(F.length("digest") > 0).select("doc_id", "n_words", "digest")
     touched = repeated.select("doc_id")
     ids = touched if touched.count() > MAX_BROADCAST_IDS else F.broadcast(touched)
+    none = F.array().cast("array<array<bigint>>")
+    pairs = F.transform(
+        F.sequence(F.lit(0), (F.size("bounds") / 2 - 1).cast("int")),
+        lambda i: F.array(F.get("bounds", 2 * i), F.get("bounds", 2 * i + 1)),
+    )
     cut = (
         texts.join(ids, "doc_id", "left_semi")
         .join(repeated, "doc_id")
@@ -271,10 +276,7 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True):
             "n_words",
             "n_removed",
             "kept_sha256",
-            F.transform(
-                F.sequence(F.lit(0), (F.size("bounds") / 2 - 1).cast("int")),
-                lambda i: F.array(F.get("bounds", 2 * i), F.get("bounds", 2 * i + 1)),
-            ).alias("intervals"),
+            F.when(F.size("bounds") > 0, pairs).otherwise(none).alias("intervals"),
             "kept",
         )
     )
@@ -283,7 +285,7 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True):
         "n_words",
         F.lit(0).cast("long").alias("n_removed"),
         F.col("digest").alias("kept_sha256"),
-        F.array().cast("array<array<bigint>>").alias("intervals"),
+        none.alias("intervals"),
         F.lit(None).cast("string").alias("kept"),
     )
     result = cut.unionByName(same)
