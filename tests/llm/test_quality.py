@@ -1,0 +1,82 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from urbanstats.llm import quality
+from urbanstats.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    got = QUERIES["op7_quality_classifier"](spark, SF)
+    assert dict(got.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}
+    rows = got.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").toPandas()
+    assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    out = rows[rows.held_out]
+    assert len(out) > 50
+    assert (out.predicted == out.quality).mean() > 0.95
+    good = rows[rows.quality == 1]
+    assert (good.predicted == 1).mean() > 0.98
+
+
+def test_held_out_is_crc32_of_the_id(spark):
+    ids = spark.range(500).select("id", quality.held_out(F.col("id")).alias("out")).collect()
+    assert all(r["out"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in ids)
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    swapped = labels.withColumn(
+        "quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
+    a, b = quality.fit_quality(docs, labels), quality.fit_quality(docs, swapped)
+    assert a.prior == b.prior and a.bias == b.bias and (a.weights == b.weights).all()
+
+
+def test_fit_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    a = quality.fit_quality(docs, labels, fit_rows=200)
+    b = quality.fit_quality(docs.repartition(5), labels.repartition(3), fit_rows=200)
+    assert np.allclose(a.weights, b.weights) and abs(a.bias - b.bias) < 1e-9
+
+
+def test_risk_is_kept_from_below_zero():
+    """With few unlabelled rows plain unbiased risk overfits; the scores stay apart here."""
+    rng = np.random.default_rng(0)
+    good, bad = rng.normal(1, 1, (400, 30)), rng.normal(-1, 1, (400, 30))
+    mixed = np.concatenate([good[:200], bad[:200]])
+    w, bias = quality.fit_pu(good[200:], mixed, 0.5)
+    assert ((good @ w + bias) > 0).mean() > 0.95 and ((bad @ w + bias) < 0).mean() > 0.95
+
+
+def test_odd_rows(spark, docs_of, odd_rows):
+    labels = spark.createDataFrame(
+        [(4, 1), (4, 0), (5, 1), (6, 1), (None, 1), (8, None), (99, 1)], "doc_id long, quality int"
+    )
+    docs = docs_of(odd_rows)
+    model = quality.fit_quality(docs, labels)
+    got = quality.score_quality(docs, model).collect()
+    assert len(got) == len(odd_rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in got)
+    empty = {r["score"] for r in got if r["doc_id"] in (1, 2)}
+    assert len(empty) == 1
+    assert quality.keep_good(docs, model).columns == docs.columns
+
+
+@pytest.mark.parametrize("some_docs", [True, False])
+def test_without_labels_or_documents(spark, docs_of, some_docs):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    docs = docs_of([(1, "a text")] if some_docs else [])
+    got = quality.score_quality(docs, quality.fit_quality(docs, none)).collect()
+    assert [round(r["score"], 6) for r in got] == ([0.5] if some_docs else [])
+
+
+def test_features_of_any_text():
+    for text in ("", " ", "a", "\x00", "😀" * 50, "x\n" * 1000, "\ud800"):
+        f = quality.text_features(text)
+        assert f.shape == (quality.FEATURES,) and np.isfinite(f).all()

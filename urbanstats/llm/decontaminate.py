@@ -128,7 +128,7 @@ def find_contained(docs, items, shingle_words=SHINGLE_WORDS, containment=CONTAIN
         "shingles",
         F.explode(F.array(plain_words(F.col("text")))).alias("words"),
     )
-    own = F.lit(None)
+    own = F.lit(None).cast("array<string>")
     for n in lengths:
         own = F.when(F.col("length") == n, _runs(F.col("words"), n, _shingle_text)).otherwise(own)
     counted = words.select(

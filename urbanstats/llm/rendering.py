@@ -169,14 +169,16 @@ _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\
 
 
 def _shown(node, parent):
-    """Whether an element takes part in the layout at all."""
+    """Whether an element or a text takes part in the layout at all."""
+    if parent.tag == "details" and "open" not in parent.attributes:
+        return not isinstance(node, str) and node.tag == "summary"
+    if isinstance(node, str):
+        return True
     a = node.attributes
     if node.tag in UNSEEN or ("hidden" in a and a["hidden"].lower() != "until-found"):
         return False
     if node.tag == "dialog" and "open" not in a:
         return False
-    if parent.tag == "details" and "open" not in parent.attributes and node.tag != "summary":
-        return False
     return not ("style" in a and _NOT_SHOWN.search(a["style"]))
 
 
@@ -309,16 +311,16 @@ def render(root):
     while todo:
         leaving, node, parent, visible, as_is = todo.pop()
         flow = flows[-1]
-        if isinstance(node, str):
-            if visible:
-                flow.write_as_is(node) if as_is else flow.write(node)
-            continue
-        tag = node.tag
         if leaving:
             _leave(node, flows, tables, lists)
             continue
         if not _shown(node, parent):
             continue
+        if isinstance(node, str):
+            if visible:
+                flow.write_as_is(node) if as_is else flow.write(node)
+            continue
+        tag = node.tag
         style = _VISIBILITY.search(node.attributes.get("style", ""))
         visible = style[1].lower() == "visible" if style else visible
         as_is = as_is or tag in ("pre", "textarea", "xmp")
