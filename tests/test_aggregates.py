@@ -74,6 +74,18 @@ def test_share_reads_the_source_once(spark, plan):
     assert "Window" not in plan(shares) and "Cartesian" not in plan(shares)
 
 
+def test_share_of_two_measures_reads_the_source_once(spark, plan, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 10_000, 1, 8).select((F.col("id") % 500).alias("k"), "id").write.parquet(path)
+    counts = spark.read.parquet(path).groupBy("k").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("id").alias("ids")
+    )
+    shares = share_of_total(counts)
+    assert {r["percentage"] for r in shares.collect()} == {0.2}
+    final = plan(shares, run=True)
+    assert "ReusedExchange" in final and "SinglePartition" not in final.split("Subqueries")[0].split("Initial")[0]
+
+
 def test_totals(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
     assert grand_total(df, "x").collect() == [(3,)]

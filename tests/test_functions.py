@@ -129,3 +129,11 @@ def test_key_present(spark):
 def test_safe_ratio(spark):
     df = spark.createDataFrame([(1.0, 3), (1.0, 0), (None, 1), (1.0, None)], "a double, b int")
     assert [r[0] for r in df.select(safe_ratio("a", "b")).collect()] == [0.33, None, None, None]
+
+
+def test_currency_is_a_plain_decimal(spark):
+    texts = {"$1,234.50": 1234.5, " -5 ": -5.0, ".5": 0.5, "5.": 5.0, "+7": 7.0}
+    texts |= dict.fromkeys(["5D", "1e3", "NaN", "Infinity", "-", ".", "", "1 2", None])
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", parse_currency("t").alias("n")).collect()
+    assert {r["t"]: r["n"] for r in got} == texts

@@ -27,7 +27,7 @@ def test_day_part_share_pushes_filter_and_prunes(spark, incident_parquet, plan):
     text = plan(day_part_share(spark.read.parquet(incident_parquet), where=error))
     assert "EqualTo(`Premis Desc`,error)" in text
     assert "ReadSchema: struct<TIME OCC:string,Premis Desc:string>" in text
-    assert text.count("Scan parquet") == 2  # one node, named in the tree and in its details
+    assert text.count("Batched: ") == 2  # one node, named in the tree and in its details
     assert "Python" not in text and "ArrowEval" not in text
 
 
@@ -81,7 +81,7 @@ def test_income_per_key_stays_in_the_jvm(spark, tmp_path, plan, conf):
     text = plan(income_per_key(blocks, incomes))
     assert "Python" not in text and "ExistingRDD" not in text
     # The sums' partitioning serves the join: one shuffle per side, one for the order.
-    text = plan(income_per_key(blocks, incomes, split_hot_keys=False))
+    assert text.count("Batched: ") == 2
     assert text.count("Arguments: hashpartitioning") == 2
     assert text.count("Arguments: rangepartitioning") == 1
 
@@ -98,3 +98,11 @@ def test_no_product_of_tables_unless_asked(spark, plan):
         if name != "join_replicate_nl":
             text = plan(query(spark, SF))
             assert "Cartesian" not in text and "NestedLoop" not in text, name
+
+
+def test_a_callers_rule_gets_no_single_task_window(spark, incident_parquet, plan):
+    incidents = spark.read.parquet(incident_parquet)
+    assert "Window" not in plan(day_part_share(incidents, rule=lambda time: time))
+    for rule in (day_part_udf(), None):
+        text = plan(day_part_share(incidents, **({"rule": rule} if rule else {})))
+        assert "Window" in text

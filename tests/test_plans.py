@@ -171,3 +171,39 @@ def test_a_key_with_several_incomes_gives_several_rows(spark):
     )
     got = income_per_key(blocks, income).collect()
     assert sorted(r["avg_annual_per_capita_income"] for r in got) == [20.0, 40.0, 40.0]
+
+
+def test_jobs_from_paths_to_saved_results(spark, tmp_path):
+    from urbanstats.plans import save_day_part_share, save_income_per_key, save_top_months
+    from urbanstats.sources import read_csv
+    from workload import derive
+    from workload.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+
+    def saved(name):
+        return [tuple(r.asDict().values()) for r in read_csv(spark, str(tmp_path / name)).collect()]
+
+    def texts(df):
+        return [tuple(None if v is None else str(v) for v in r) for r in df.collect()]
+
+    crimes = derive.incident_files(spark, sf)
+    save_day_part_share(spark, crimes, str(tmp_path / "shares"), premise="error")
+    assert saved("shares") == texts(QUERIES["day_part_share"](spark, sf))
+    save_top_months(spark, crimes, str(tmp_path / "months"))
+    assert len(saved("months")) >= 1
+    df = derive.census_blocks(spark, sf)
+    blocks = derive.save_feature_documents(df, df.columns, "blocks")
+    save_income_per_key(spark, blocks, derive.income_files(spark, sf), str(tmp_path / "income"))
+    assert sorted(map(repr, saved("income"))) == sorted(map(repr, texts(QUERIES["income_per_key"](spark, sf))))
+
+
+def test_undated_incidents_are_in_a_file(spark):
+    from urbanstats import schemas as S
+    from urbanstats.sources import read_csv
+    from workload import derive
+
+    rows = [(str(i), None if i % 10 == 0 else "2010 Jan 01 12:00:00 AM", "0100", "x") for i in range(100)]
+    columns = ", ".join(f"`{c}` string" for c in S.CRIME_COLUMNS)
+    files = derive.incident_halves(spark.createDataFrame(rows, columns))
+    assert read_csv(spark, files, required=S.CRIME_COLUMNS).count() == 100

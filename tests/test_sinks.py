@@ -28,11 +28,34 @@ def test_small_result_in_one_sorted_file(spark, result, tmp_path):
 
 def test_larger_result_is_whole_and_in_parallel(spark, result, tmp_path):
     out = str(tmp_path / "r")
-    write_csv(result, out, single_file_rows=99, order=["id"])
+    write_csv(result, out, single_file_rows=99)
     assert len(files(out)) == 6
     assert {r["id"] for r in read_csv(spark, out).collect()} == {str(i) for i in range(100)}
 
 
+def test_order_holds_at_every_size(spark, tmp_path):
+    out = str(tmp_path / "r")
+    conf = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(1000, 0, -1, 8)
+        write_csv(df, out, header=False, single_file_rows=100, order=["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", conf)
+    assert len(files(out)) > 1
+    assert [int(line) for f in files(out) for line in open(f)] == list(range(1, 1001))
+
+
+def test_the_callers_cache_stays(spark, result, tmp_path):
+    result.persist()
+    try:
+        for rows in (1000, 10):
+            write_csv(result, str(tmp_path / "r"), single_file_rows=rows)
+            assert result.storageLevel.useMemory
+    finally:
+        result.unpersist()
+
+
 def test_parallel_by_default(spark, result, tmp_path):
     out = str(tmp_path / "r")
     write_csv(result, out)
@@ -71,6 +94,18 @@ def test_csv_to_parquet(spark, result, tmp_path, conf):
     assert back.agg(F.sum(F.col("v").cast("double"))).first()[0] == sum(i / 8 for i in range(100))
 
 
+def test_csv_to_parquet_keeps_the_sessions_settings(spark, result, tmp_path, conf):
+    conf(spark__sql__parquet__compression__codec="zstd")
+    source, out = str(tmp_path / "csv"), str(tmp_path / "parquet")
+    write_csv(result, source)
+    csv_to_parquet(spark, source, out)
+    assert files(out) and all(".zstd." in f for f in files(out))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with pytest.raises(Exception):
+        csv_to_parquet(spark, source, out, required=["not there"])
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
 def test_preview(spark, result, plan):
     got = preview(result, [F.desc("v")], 3)
     assert [r["id"] for r in got.collect()] == [99, 98, 97]

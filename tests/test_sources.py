@@ -158,28 +158,77 @@ def test_split_reader_at_any_cut(spark, save, conf):
         assert read_features(spark, path).select(F.spark_partition_id()).distinct().count() > 20
 
 
-def test_large_document_is_split(spark, save):
-    path = save("g.json", json.dumps(document([feature(*f) for f in FEATURES])))
-    with pytest.warns(UserWarning, match="too large for one task"):
-        df = read_features(spark, path, layout="document", max_document_bytes=100)
-    assert tuples(feature_properties(df)) == WANT
-    assert len(df.inputFiles()) == 1
+DOCUMENTS = ["split", "document", "document_lines"]
+
+
+@pytest.mark.parametrize("layout", DOCUMENTS)
+def test_members_in_any_order(spark, save, layout):
+    """Late types, texts such as marks, and members of the document itself."""
+    system = {"type": "name", "properties": {"name": "urn:ogc:def:crs:OGC:1.3:CRS84"}}
+    late_system = {"properties": {"name": 'a "}" ]'}, "type": "name"}
+    kinds = [{"ZCTA20": str(i), "kind": "Feature", "note": 'a "properties" }{'} for i in range(3)]
+    first = [{"properties": k, "type": "Feature"} for k in kinds]
+    last = [{"type": "Feature", "geometry": None, "properties": {"ZCTA20": "9"}, "id": 4}]
+    nothing = [{"properties": {"note": "a}b"}, "type": "Feature"}, {"type": "Feature", "properties": None}]
+    collections = [
+        {"crs": system, "features": first, "type": "FeatureCollection"},
+        {"type": "FeatureCollection", "features": last + nothing, "crs": system},
+        {"features": last, "crs": late_system, "bbox": [1, 2]},
+    ]
+    for i, collection in enumerate(collections):
+        folder = save(f"any/{i}.json", json.dumps(collection)).rsplit("/", 1)[0]
+    want = [("0", None, None), ("1", None, None), ("2", None, None), ("9", None, None), ("9", None, None)]
+    assert read(spark, folder, layout) == sorted(want + [(None, None, None)] * 2, key=repr)
+
+
+@pytest.mark.parametrize("layout", DOCUMENTS)
+def test_cut_documents_raise(spark, save, layout):
+    text = json.dumps(document([feature(*f) for f in FEATURES[:3]]))
+    cuts = {len(text) - 1, len(text) - 2, text.index("geometry") + 40, text.rindex("POP20") + 3}
+    cuts |= {text.rindex("coordinates") + 30, text.rindex('{"type": "Feature"') - 2}
+    for cut in cuts:
+        path = save(f"cut{cut}.json", text[:cut])
+        with pytest.raises(Exception):
+            read_features(spark, path, layout=layout).collect()
+
+
+@pytest.mark.parametrize("layout", DOCUMENTS)
+def test_malformed_features_raise(spark, save, layout):
+    text = json.dumps(document([feature(*f) for f in FEATURES[:3]]))
+    path = save("bad.json", text.replace('"POP20": null', '"POP20": nul}', 1))
+    with pytest.raises(Exception):
+        read_features(spark, path, layout=layout).collect()
 
 
-def test_split_reader_refuses_late_types(spark, save):
-    late = '{"features":[{"properties":{"ZCTA20":"1"},"type":"Feature"}],"type":"FeatureCollection"}'
-    path = save("late.json", late)
-    with pytest.raises(Exception, match="type comes after its properties"):
-        read_features(spark, path).collect()
-    assert read(spark, path, "document") == [("1", None, None)]
+def test_cut_lines_raise(spark, save):
+    lines = [json.dumps(feature(*f)) for f in FEATURES[:3]]
+    for cut in (5, 60, len(lines[1]) - 3):
+        path = save(f"lines{cut}.json", "\n".join([lines[0], lines[1][:cut], lines[2]]))
+        with pytest.raises(Exception):
+            read_features(spark, path, layout="feature_lines").collect()
 
 
-def test_split_reader_refuses_stray_marks(spark, save):
-    stray = document([{"type": "Feature", "properties": {"ZCTA20": "1", "kind": "Feature", "x": 1}}])
-    path = save("stray.json", json.dumps(stray))
-    with pytest.raises(Exception):
-        read_features(spark, path).collect()
-    assert read(spark, path, "document") == [("1", None, None)]
+def test_lines_with_document_members(spark, save):
+    lines = ",\n".join(json.dumps(feature(*f)) for f in FEATURES)
+    system = '"crs": { "type": "name", "properties": { "name": "urn" } },'
+    text = '{\n"type": "FeatureCollection",\n' + system + '\n"features": [\n' + lines + "\n]\n}\n"
+    assert read(spark, save("g.json", text), "feature_lines") == WANT
+    text = '{"type": "FeatureCollection", "features": [\n' + lines + "\n]}\n"
+    assert read(spark, save("h.json", text), "feature_lines") == WANT
+
+
+def test_marks_that_are_no_members_raise(spark, save):
+    """What cannot be cut is refused by the split reader and read by the other."""
+    for odd in ({"ZCTA20": "1", "k": "properties"}, {"k": {"properties": 1}, "ZCTA20": "1"}):
+        path = save("odd.json", json.dumps(document([{"type": "Feature", "properties": odd}])))
+        with pytest.raises(Exception):
+            read_features(spark, path).collect()
+        assert read(spark, path, "document") == [("1", None, None)]
+
+
+def test_csv_row_that_starts_like_the_header_stays(spark, save):
+    path = save("r.csv", "id,note\n1,x\nid,real\nid,note\nid\nid,\n")
+    assert tuples(read_csv(spark, path, columns=["id", "note"])) == [("1", "x"), ("id", "real")]
 
 
 def test_unknown_layout(spark):

@@ -13,6 +13,8 @@ DAY_PARTS = (
 )
 OTHER_DAY_PART = "Night"
 
+PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+
 
 def _col(c):
     return F.col(c) if isinstance(c, str) else c
@@ -43,8 +45,12 @@ def parse_timestamp(text, pattern):
 
 
 def parse_currency(text):
-    """Number in a text such as '$52,806'. NULL where none is left."""
-    return F.translate(F.trim(_col(text)), "$,", "").try_cast("double")
+    """Number in a text such as '$52,806'. NULL where no plain decimal is left.
+
+    Exponents, type letters, NaN and Infinity, which a cast would take, are no amounts.
+    """
+    number = F.translate(F.trim(_col(text)), "$,", "")
+    return F.when(number.rlike(PLAIN_NUMBER), number.try_cast("double"))
 
 
 def int_or_zero(value):

@@ -27,4 +27,5 @@ def day_part_udf():
             out[hours.between(first, last)] = name
         return out
 
+    rule.few_groups = True
     return rule

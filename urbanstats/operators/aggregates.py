@@ -66,11 +66,15 @@ def share_of_total(counts, value="count", name="percentage", few_groups=False):
 
     The total is a scalar subquery over ``counts``: it is summed in parallel, and
     Spark reuses the shuffle of the aggregation, so the source is read once however
-    many groups there are. ``few_groups`` is for callers whose group count is fixed
-    and tiny: there one window over those rows saves a stage.
+    many groups and measures there are. ``few_groups`` is for callers whose group count
+    is fixed and tiny: there one window over those rows saves a stage.
     """
     if few_groups:
         total = F.sum(value).over(Window.partitionBy())
     else:
-        total = grand_total(counts, value).scalar()
+        # All columns are used, else the subquery's aggregation would differ from the
+        # outer one and Spark would compute both.
+        others = [F.count(F.col(f"`{c}`")) for c in counts.columns if c != value]
+        row = counts.agg(F.struct(F.sum(value).alias("total"), *others).alias("totals"))
+        total = row.scalar().getField("total")
     return counts.withColumn(name, F.round(F.try_divide(F.col(value) * 100.0, total), 2))

@@ -3,7 +3,10 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-PARTS_OF_LARGE_GROUPS = 256
+from urbanstats.operators.names import unused
+
+# How many parts of a group one task merges.
+PARTS_PER_MERGE = 64
 
 
 def _keep_first(df, group, order, n, name):
@@ -11,25 +14,32 @@ def _keep_first(df, group, order, n, name):
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
 
 
-def top_n_per_group(df, group, order, n, name="ranking", parts=None):
+def top_n_per_group(df, group, order, n, name="ranking", in_parts=None):
     """The first ``n`` rows of each group by ``order``, with their rank.
 
     ``order`` should end in a tie-break, or equal rows come in any order.
 
     While ``n`` is below ``spark.sql.optimizer.windowGroupLimitThreshold``, Spark cuts
-    each group to ``n`` rows before the shuffle. ``parts`` above 1 ranks each group in
-    that many parts first and merges their winners, so that no task sorts a whole
-    group; it is set for a larger ``n``. Parts follow the input partition, which is the
-    same when a lost task runs again. The result is exact either way.
+    each group to ``n`` rows before the shuffle. ``in_parts`` ranks each group within
+    every input partition first and merges the winners 64 parts at a time, so that no
+    task sorts a whole group however many partitions hold it; it is set for a larger
+    ``n``. Parts follow the input partition, which is the same when a lost task runs
+    again. The result is exact either way.
     """
-    if parts is None:
+    if in_parts is None:
         limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-        parts = 1 if n < limit else PARTS_OF_LARGE_GROUPS
-    if n < 1 or parts < 1:
-        raise ValueError("n and parts must be at least 1")
-    if parts > 1:
-        split = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(parts)))
-        df = _keep_first(split, [*group, "_part"], order, n, "_rank").drop("_part", "_rank")
+        in_parts = n >= limit
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    if in_parts:
+        part, rank = unused("_part", df), unused("_rank", df)
+        parts = df.rdd.getNumPartitions()
+        df = df.withColumn(part, F.spark_partition_id())
+        while parts > 1:
+            df = _keep_first(df, [*group, part], order, n, rank).drop(rank)
+            parts = -(-parts // PARTS_PER_MERGE)
+            df = df.withColumn(part, F.floor(F.col(part) / PARTS_PER_MERGE).cast("int"))
+        df = df.drop(part)
     return _keep_first(df, group, order, n, name)
 
 

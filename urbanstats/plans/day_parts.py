@@ -27,9 +27,11 @@ def day_part_share(
 ):
     """Count and percentage per part of day, largest share first.
 
-    The source is read once. There are at most four groups, fixed by the rule.
+    The source is read once. The library's own rules give four groups at most; of
+    another rule's groups no number is assumed.
     """
     counts = day_part_counts(incidents, time, where, rule, repeated_texts)
-    return share_of_total(counts, few_groups=True).orderBy(
+    own = rule is day_part_of_hhmm or getattr(rule, "few_groups", False)
+    return share_of_total(counts, few_groups=own).orderBy(
         F.desc("percentage"), F.asc("day_part")
     )

@@ -2,33 +2,27 @@
 
 from pyspark.sql import functions as F
 
+from urbanstats import schemas as S
 from urbanstats.functions.scalars import key_present, parse_currency, safe_ratio
 from urbanstats.operators.aggregates import sum_by_key
 from urbanstats.operators.joins import join_with_strategy
-from urbanstats.schemas import (
-    BLOCK_HOUSING,
-    BLOCK_POPULATION,
-    BLOCK_ZIP,
-    INCOME_AMOUNT,
-    INCOME_ZIP,
-)
 
 
 def population_by_key(blocks):
     """People and housing units per area, from one row per census block."""
-    sums = {BLOCK_POPULATION: "total_population", BLOCK_HOUSING: "total_housing_units"}
-    return sum_by_key(blocks, BLOCK_ZIP, sums).withColumnRenamed(BLOCK_ZIP, "zip_code")
+    sums = {S.BLOCK_POPULATION: S.AREA_POPULATION, S.BLOCK_HOUSING: S.AREA_HOUSING}
+    return sum_by_key(blocks, S.BLOCK_ZIP, sums).withColumnRenamed(S.BLOCK_ZIP, S.AREA)
 
 
 def income_table(income):
     """Area and median income as a number, from the published text columns."""
     return income.select(
-        F.trim(F.col(INCOME_ZIP)).alias("zip_code"),
-        parse_currency(F.col(INCOME_AMOUNT)).alias("median_household_income"),
-    ).filter(key_present("zip_code"))
+        F.trim(F.col(S.INCOME_ZIP)).alias(S.AREA),
+        parse_currency(F.col(S.INCOME_AMOUNT)).alias(S.AREA_INCOME),
+    ).filter(key_present(S.AREA))
 
 
-def income_per_key(blocks, income, strategy="default", strict=False, split_hot_keys=True):
+def income_per_key(blocks, income, strategy="default", strict=False, split_hot_keys=False):
     """Income per head = median income x housing units / population, by area.
 
     An area whose income or population is unknown or zero is kept with NULL;
@@ -36,19 +30,14 @@ def income_per_key(blocks, income, strategy="default", strict=False, split_hot_k
     rows. The strategies are those of ``join_with_strategy`` and all give one result.
 
     The order goes on to the income within an area, so that one area with most of the
-    rows is sorted by several tasks.
+    rows is sorted by several tasks, unless its incomes are equal or unknown too.
     """
     population = population_by_key(blocks)
     incomes = income_table(income)
     if strict:
-        population = population.filter(F.col("total_population") > 0)
-        incomes = incomes.filter(F.col("median_household_income").isNotNull())
-    joined = join_with_strategy(population, incomes, "zip_code", strategy, split_hot_keys)
-    paid = F.col("median_household_income") * F.col("total_housing_units")
-    return joined.select(
-        "zip_code",
-        "total_population",
-        "total_housing_units",
-        "median_household_income",
-        safe_ratio(paid, F.col("total_population")).alias("avg_annual_per_capita_income"),
-    ).orderBy("zip_code", "median_household_income")
+        population = population.filter(F.col(S.AREA_POPULATION) > 0)
+        incomes = incomes.filter(F.col(S.AREA_INCOME).isNotNull())
+    joined = join_with_strategy(population, incomes, S.AREA, strategy, split_hot_keys)
+    paid = F.col(S.AREA_INCOME) * F.col(S.AREA_HOUSING)
+    per_head = safe_ratio(paid, F.col(S.AREA_POPULATION))
+    return joined.withColumn(S.INCOME_PER_HEAD, per_head).orderBy(S.AREA, S.AREA_INCOME)

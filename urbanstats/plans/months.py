@@ -37,7 +37,7 @@ def top_months(incidents, when, pattern=None, n=3, repeated_texts=False):
     rows = occurrences(incidents, when, pattern, repeated_texts)
     counts = count_by_month(rows, "occurred", weight="weight")
     order = [F.desc("total"), F.asc("month")]
-    return top_n_per_group(counts, ["year"], order, n).orderBy("year", F.desc("total"), "ranking")
+    return top_n_per_group(counts, ["year"], order, n).orderBy("year", "ranking")
 
 
 def _query_months(incidents, when, pattern, query, repeated_texts=False):
@@ -58,5 +58,5 @@ def rank_months_sql(incidents, when, pattern=None):
 
 def top_months_sql(incidents, when, pattern=None, n=3, repeated_texts=False):
     """Same as :func:`top_months`, in SQL."""
-    top = f"SELECT * FROM ranks WHERE ranking <= {int(n)} ORDER BY year, total DESC, ranking"
+    top = f"SELECT * FROM ranks WHERE ranking <= {int(n)} ORDER BY year, ranking"
     return _query_months(incidents, when, pattern, top, repeated_texts)

@@ -15,6 +15,13 @@ BLOCK_ZIP = "ZCTA20"
 BLOCK_POPULATION = "POP20"
 BLOCK_HOUSING = "HOUSING20"
 
+# The header of the published result of the income job.
+AREA = "zip_code"
+AREA_POPULATION = "total_population"
+AREA_HOUSING = "total_housing_units"
+AREA_INCOME = "median_household_income"
+INCOME_PER_HEAD = "avg_annual_per_capita_income"
+
 CRIME_COLUMNS = (CRIME_ID, CRIME_DATE, CRIME_TIME, CRIME_PREMISE)
 INCOME_COLUMNS = (INCOME_ZIP, INCOME_AMOUNT)
 BLOCK_COLUMNS = (BLOCK_ZIP, BLOCK_POPULATION, BLOCK_HOUSING)

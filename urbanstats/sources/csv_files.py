@@ -1,6 +1,7 @@
 """CSV files as tables of strings, split over tasks by Spark's reader."""
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import functions as F
 
@@ -16,15 +17,18 @@ def read_csv(spark, paths, sep=",", columns=None, required=()):
     Without ``columns`` every file starts with the same header, and a file whose
     header differs in a column that is read raises. With ``columns`` the names are
     given, files need no header, and header lines are dropped wherever they stand
-    (as in files glued together or cut in pieces).
+    (as in files glued together or cut in pieces). A line is one if all its fields are
+    the columns' names; a short line, if all that it has are.
     """
     reader = spark.read.options(**CSV_QUOTING).option("sep", sep)
     if columns is None:
         df = reader.option("header", True).option("enforceSchema", False).csv(paths)
     else:
         df = reader.schema(text_columns(columns)).csv(paths)
-        first = columns[0]
-        df = df.filter(~F.col(f"`{first}`").eqNullSafe(F.lit(first)))
+        # A header line has every column's name, as far as it goes.
+        named = [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in columns]
+        rest = [F.col(f"`{c}`").isNull() | same for c, same in zip(columns[1:], named[1:])]
+        df = df.filter(~reduce(and_, [named[0], *rest]))
     missing = [name for name in required if name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}, found {df.columns}")

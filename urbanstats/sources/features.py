@@ -1,6 +1,7 @@
 """GeoJSON feature collections as rows, without their geometry."""
 
-import warnings
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import functions as F
 
@@ -8,77 +9,99 @@ from urbanstats.schemas import BLOCK_COLUMNS, feature_collection_schema, feature
 
 LAYOUTS = ("split", "document", "document_lines", "feature_lines")
 
-# Fixed value: the type every GeoJSON feature carries (RFC 7946).
-FEATURE_MARK = '"Feature"'
+# Fixed value: the member that holds a feature's attributes (RFC 7946).
+PROPERTIES_MARK = '"properties"'
 
-# A document is read whole by one task only up to this size.
-MAX_DOCUMENT_BYTES = 256 * 1024 * 1024
+_TEXT = r'"(?:[^"\\]|\\.)*+"'
+_FLAT = r'[^{}\[\]"]*+(?:' + _TEXT + r'[^{}\[\]"]*+)*+'
+# What follows the mark in a member of the document itself, such as a reference system:
+# the object around it is followed by a member or the end, not by an element of an array.
+_DOCUMENT_MEMBER = r'^\s*+:\s*+\{' + _FLAT + r'\}' + _FLAT + r'\}\s*+(?:,\s*+"|\}\s*+$)'
+# Lines of a document that hold no feature.
+_OTHER_LINE = r'^(?:[\[\]{},\s]*+$|"|\{.*"features"\s*+:\s*+\[\s*+$)'
 
 
-def read_features(
-    spark, paths, fields=BLOCK_COLUMNS, layout="split", max_document_bytes=MAX_DOCUMENT_BYTES
-):
+def read_features(spark, paths, fields=BLOCK_COLUMNS, layout="split", check=True):
     """One row per feature, with one column ``feature`` holding its properties.
 
     ``split``           documents of any size and line layout, read in parallel:
-                        the text is cut at each feature's type member, which has to
-                        come before its properties
-    ``document``        one document per file, each read whole by one task; where a
-                        file is too large for that, warns and reads as ``split``
+                        the text is cut where a feature's properties begin
+    ``document``        one document per file, each read whole by one task
     ``document_lines``  one document per line
     ``feature_lines``   one feature per line, bare or as the lines of a document
+
+    All layouts give the same rows, and raise where a document or a line is malformed or
+    cut short. ``split`` also raises where ``"properties"`` is a value, or a member of
+    something inside a feature; the other layouts read such documents. It reads the text
+    a second time to see that each file is complete, at once; ``check=False`` saves that
+    for files known to be.
     """
-    if layout == "document":
-        largest = _largest_file(spark, paths)
-        if largest > max_document_bytes:
-            warnings.warn(f"a document of {largest} bytes is too large for one task; splitting it")
-            layout = "split"
-    if layout == "split":
-        return _read_split(spark, paths, fields)
-    if layout == "feature_lines":
-        lines = spark.read.schema(feature_schema(fields)).json(paths)
-        return lines.filter("properties is not null").select(F.struct("properties").alias("feature"))
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}, use one of {LAYOUTS}")
+    if layout == "split":
+        return _read_split(spark, paths, fields, check)
+    if layout == "feature_lines":
+        return _read_lines(spark, paths, fields)
     documents = (
         spark.read.schema(feature_collection_schema(fields))
         .option("multiLine", layout == "document")
+        .option("mode", "FAILFAST")
         .json(paths)
     )
     return documents.select(F.explode("features").alias("feature"))
 
 
-def _largest_file(spark, paths):
-    """Size of the largest file; only the listing is read, not the content."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.agg(F.max("length").alias("bytes")).first()["bytes"] or 0
+def _read_lines(spark, paths, fields):
+    line = F.trim("value", F.lit(" \t\r\n"))
+    feature = F.from_json(line, feature_schema(fields), {"mode": "FAILFAST"})
+    bad = F.raise_error(F.concat(F.lit("neither a feature nor part of a document: "), F.left(line, F.lit(80))))
+    one = F.when(line.startswith("{"), feature).otherwise(bad)
+    lines = spark.read.text(paths).filter(~line.rlike(_OTHER_LINE))
+    return lines.select(F.explode(F.array(one)).alias("feature"))
 
 
-def _read_split(spark, paths, fields):
+def _read_split(spark, paths, fields, check):
     """Cut the text at the mark, so that Spark can give a file to many tasks.
 
-    A record is the rest of a feature after its type, and what follows up to the
-    next type. The parser stops at the end of the feature. Text before the first
-    feature starts with a bracket, not with a comma. A record that is cut short
-    raises: the mark stood somewhere else than in a type.
+    A record is the value of a feature's properties, the members after it, and what
+    follows up to the next mark. The parser stops at the end of the feature; a record
+    that is cut short raises, as the mark stood somewhere else. Text before the first
+    feature does not start with a colon.
 
     The feature is exploded from an array of one, because a filter on its fields
     would otherwise move below and parse each record again.
     """
-    records = spark.read.option("lineSep", FEATURE_MARK).text(paths)
-    rest = F.ltrim("value", F.lit(" \t\r\n"))
+    records = spark.read.option("lineSep", PROPERTIES_MARK).text(paths)
+    member = F.ltrim("value", F.lit(" \t\r\n")).startswith(":")
+    if check:
+        _check_complete(records, member)
     feature = F.from_json(
-        F.concat(F.lit('{"type":' + FEATURE_MARK), F.col("value")),
+        F.concat(F.lit("{" + PROPERTIES_MARK), F.col("value")),
         feature_schema(fields),
         {"mode": "FAILFAST"},
     )
-    late = F.raise_error(
-        F.lit("a feature's type comes after its properties: read it with layout 'document'")
-    )
-    one = F.when(rest.startswith(","), feature).when(rest.startswith("}"), late)
-    return records.filter(rest.startswith(",") | rest.startswith("}")).select(
-        F.explode(F.array(one)).alias("feature")
+    parsed = records.filter(member).select("value", F.explode(F.array(feature)).alias("feature"))
+    blank = reduce(and_, [F.col(f"feature.properties.`{name}`").isNull() for name in fields])
+    return parsed.filter(~(blank & F.col("value").rlike(_DOCUMENT_MEMBER))).select("feature")
+
+
+def _check_complete(records, member):
+    """Raise unless every file's brackets close and its marks are members."""
+    bare = F.regexp_replace("value", _TEXT, "")
+
+    def number(c):
+        return F.length(bare) - F.length(F.replace(bare, F.lit(c), F.lit("")))
+
+    files = records.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.sum(number("{") - number("}")).alias("braces"),
+        F.sum(number("[") - number("]")).alias("brackets"),
+        F.count(F.when(~member, 1)).alias("heads"),
     )
+    bad = files.filter("braces <> 0 OR brackets <> 0 OR heads <> 1").first()
+    if bad is not None:
+        raise ValueError(
+            f"{bad['file']} is cut short, or has 'properties' as a value (read it with layout 'document')"
+        )
 
 
 def feature_properties(features, fields=BLOCK_COLUMNS):

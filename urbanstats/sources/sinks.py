@@ -10,22 +10,18 @@ CSV_WRITE = {**CSV_QUOTING, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhi
 def write_csv(df, path, sep=",", header=True, mode="overwrite", single_file_rows=0, order=()):
     """Save as CSV, in parallel: one file per partition.
 
-    ``single_file_rows`` saves results of up to that many rows as one file, sorted by
-    ``order``. A larger result is still saved whole, in parallel. The rows are kept
-    for the count, so that the result is computed once.
+    With ``order`` the rows are sorted over all files, first file first.
+    ``single_file_rows`` saves results of up to that many rows as one file: so many rows
+    and one are fetched, and if that was all they are what is saved. A larger result is
+    computed anew and saved whole, in parallel. Nothing is cached.
     """
-    if not single_file_rows:
-        _save_csv(df, path, sep, header, mode)
-        return
-    kept = df.persist()
-    try:
-        if kept.count() <= single_file_rows:
-            one = kept.coalesce(1)
-            _save_csv(one.sortWithinPartitions(*order) if order else one, path, sep, header, mode)
-        else:
-            _save_csv(kept, path, sep, header, mode)
-    finally:
-        kept.unpersist()
+    if order:
+        df = df.orderBy(*order)
+    if single_file_rows:
+        rows = df.limit(single_file_rows + 1).collect()
+        if len(rows) <= single_file_rows:
+            df = df.sparkSession.createDataFrame(rows, df.schema).coalesce(1)
+    _save_csv(df, path, sep, header, mode)
 
 
 def _save_csv(df, path, sep, header, mode):
@@ -37,12 +33,16 @@ def csv_to_parquet(spark, paths, out, sep=",", required=(), split_bytes="1g"):
 
     The count comes from the Parquet footers, not from a second CSV scan. One task
     reads up to ``split_bytes`` of a large input, so that the compressed files do
-    not come out small; a small input is still spread over all cores. The setting is
-    made in a session of its own and does not touch the caller's.
+    not come out small; a small input is still spread over all cores. The session's
+    other settings hold; the one made here is put back.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
-    read_csv(session, paths, sep=sep, required=required).write.mode("overwrite").parquet(out)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, split_bytes)
+    try:
+        read_csv(spark, paths, sep=sep, required=required).write.mode("overwrite").parquet(out)
+    finally:
+        spark.conf.set(name, before)
     return row_count(spark.read.parquet(out)).first()["rows"]
 
 

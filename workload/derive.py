@@ -47,10 +47,17 @@ def incidents_with_bad_texts(spark, sf_dir):
 
 
 def incident_files(spark, sf_dir):
-    """Incidents saved as two sets of CSV files, first and second half of the month."""
-    rows = incidents(spark, sf_dir).withColumn("_day", F.substring(S.CRIME_DATE, 10, 2).cast("int"))
-    parts = {"first_half": F.col("_day") <= 15, "second_half": F.col("_day") > 15}
-    return [save_csv(rows.filter(part).drop("_day"), name) for name, part in parts.items()]
+    """Incidents saved as two sets of CSV files, first and second half of the month.
+
+    Those without a date are in the second one.
+    """
+    return incident_halves(incidents(spark, sf_dir))
+
+
+def incident_halves(rows):
+    day = F.substring(S.CRIME_DATE, 10, 2).try_cast("int")
+    first = F.coalesce(day <= 15, F.lit(False))
+    return [save_csv(rows.filter(first), "first_half"), save_csv(rows.filter(~first), "second_half")]
 
 
 def census_blocks(spark, sf_dir):
@@ -117,6 +124,25 @@ def save_feature_documents(df, fields, name):
     return path
 
 
+def save_feature_documents_any_order(df, fields, name):
+    """One document per line and file part: the type after the properties, one of which is
+    the text ``Feature``, and a reference system behind the features."""
+    path = scratch_path(df.sparkSession, name)
+    kind = F.lit("Feature").alias("kind")
+    feature = F.struct(F.struct(kind, *fields).alias("properties"), F.lit("Feature").alias("type"))
+    system = F.struct(
+        F.lit("name").alias("type"), F.struct(F.lit("urn:x").alias("name")).alias("properties")
+    )
+    number = F.pmod(F.xxhash64(*fields), F.lit(7))
+    documents = df.groupBy(number.alias("n")).agg(F.collect_list(feature).alias("features"))
+    (
+        documents.select("n", "features", F.lit("FeatureCollection").alias("type"), system.alias("crs"))
+        .write.partitionBy("n")
+        .json(path)
+    )
+    return path
+
+
 def supplier_features(spark, sf_dir):
     """Suppliers as features of a map: a table and its property columns."""
     df = table(spark, sf_dir, "supplier").select(
@@ -131,7 +157,8 @@ def messy_lines(spark, sf_dir):
     """Events as hand-made CSV lines, saved as text.
 
     Quoted fields hold commas and doubled quotes, views are cut to one field, every
-    error is followed by a blank line and a stray header line.
+    error is followed by a blank line, a stray header line, and a true row whose first
+    field is the column's name.
     """
     doubled = F.replace(F.col("props"), F.lit('"'), F.lit('""'))
     full = F.concat(
@@ -143,7 +170,13 @@ def messy_lines(spark, sf_dir):
     )
     line = F.when(F.col("event_type") == "view", F.col("event_id").cast("string")).otherwise(full)
     lines = F.when(
-        F.col("event_type") == "error", F.array(line, F.lit(""), F.lit("event_id,note,user_id"))
+        F.col("event_type") == "error",
+        F.array(
+            line,
+            F.lit(""),
+            F.lit("event_id,note,user_id"),
+            F.concat(F.lit("event_id,real,"), F.col("user_id").cast("string")),
+        ),
     ).otherwise(F.array(line))
     path = scratch_path(spark, "messy")
     table(spark, sf_dir, "events").select(F.explode(lines).alias("value")).write.text(path)

@@ -99,6 +99,12 @@ ORACLE = {
         totals AS (SELECT *, CAST(sum(n) OVER () AS BIGINT) AS total FROM counts)
         SELECT event_type, n AS "count", CAST({PERCENT} AS DOUBLE) AS percentage FROM totals
     """,
+    "share_of_total_two_measures": f"""
+        WITH counts AS (
+          SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM events GROUP BY 1),
+        totals AS (SELECT *, CAST(sum(n) OVER () AS BIGINT) AS total FROM counts)
+        SELECT event_type, n AS "count", users, CAST({PERCENT} AS DOUBLE) AS percentage FROM totals
+    """,
     "grand_total": "SELECT count(*) AS total FROM events",
     "row_count": "SELECT count(*) AS rows FROM orders",
     "filter_equal": "SELECT event_id, user_id, value FROM events WHERE event_type = 'error'",
@@ -128,6 +134,12 @@ ORACLE = {
                 ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders)
         WHERE r <= 3
     """,
+    "top_n_per_group_large": """
+        SELECT o_orderpriority, o_orderkey, CAST(r AS INTEGER) AS ranking
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS r
+              FROM orders)
+        WHERE r <= 1500
+    """,
     "preview_top_n": """
         SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
     """,
@@ -141,6 +153,7 @@ ORACLE = {
     "join_shuffle_hash": JOINED,
     "join_replicate_nl": JOINED,
     "join_split_hot_keys": JOINED,
+    "join_split_clustered_key": JOINED,
     "csv_multi_file": INCIDENTS,
     "csv_by_name": INCIDENTS,
     "csv_semicolon": """
@@ -152,6 +165,7 @@ ORACLE = {
         SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type || ', ' || props END AS note,
           CASE WHEN event_type <> 'view' THEN user_id END AS user_id
         FROM events
+        UNION ALL SELECT NULL, 'real', user_id FROM events WHERE event_type = 'error'
     """,
     "csv_sink_roundtrip": ORDERS,
     "csv_single_file": DAY_PART_SHARE,
@@ -162,4 +176,5 @@ ORACLE = {
     "geojson_document_lines": SUPPLIERS,
     "geojson_feature_lines": SUPPLIERS,
     "geojson_split": SUPPLIERS,
+    "geojson_free_order": SUPPLIERS,
 }

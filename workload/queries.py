@@ -106,6 +106,14 @@ def share_per_event_type(spark, sf_dir):
     return share_of_total(_event_counts(spark, sf_dir))
 
 
+def share_of_total_two_measures(spark, sf_dir):
+    events = derive.table(spark, sf_dir, "events")
+    counts = events.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("user_id").alias("users")
+    )
+    return share_of_total(counts)
+
+
 def event_total(spark, sf_dir):
     return grand_total(_event_counts(spark, sf_dir), "count")
 
@@ -200,7 +208,15 @@ def top_orders_per_priority(spark, sf_dir):
     orders = derive.table(spark, sf_dir, "orders")
     rows = orders.select("o_orderpriority", "o_orderkey", "o_totalprice")
     order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
-    return top_n_per_group(rows, ["o_orderpriority"], order, 3, parts=64)
+    return top_n_per_group(rows, ["o_orderpriority"], order, 3, in_parts=True)
+
+
+def top_orders_per_priority_large(spark, sf_dir):
+    """More rows per group than Spark cuts groups to before the shuffle."""
+    orders = derive.table(spark, sf_dir, "orders")
+    rows = orders.select(F.col("o_orderpriority").alias("_part"), F.col("o_orderkey").alias("_rank"))
+    top = top_n_per_group(rows.repartition(100, "_rank"), ["_part"], [F.asc("_rank")], 1500)
+    return top.withColumnsRenamed({"_part": "o_orderpriority", "_rank": "o_orderkey"})
 
 
 def preview_top_orders(spark, sf_dir):
@@ -242,6 +258,15 @@ def _join_by(strategy, **limits):
     return query
 
 
+def join_split_clustered_key(spark, sf_dir):
+    """Hot keys are split also where the right side's rows lie together by key."""
+    population = population_by_key(derive.census_blocks(spark, sf_dir))
+    incomes = income_table(derive.incomes(spark, sf_dir)).repartition(4, "zip_code")
+    return join_with_strategy(
+        population, incomes, "zip_code", "merge", split_hot_keys=True, min_piece_rows=4
+    )
+
+
 # Files.
 
 
@@ -320,11 +345,13 @@ def parquet_scan(spark, sf_dir):
     return derive.typed_orders(spark.read.parquet(path))
 
 
-def _features_by(layout):
+def _features_by(layout, any_order=False):
     def query(spark, sf_dir):
         df, fields = derive.supplier_features(spark, sf_dir)
         if layout == "feature_lines":
             path = derive.save_feature_lines(df, fields, "supplier_features")
+        elif any_order:
+            path = derive.save_feature_documents_any_order(df, fields, "supplier_any_order")
         else:
             path = derive.save_feature_documents(df, fields, "supplier_documents")
         rows = feature_properties(read_features(spark, path, fields, layout), fields)
@@ -347,6 +374,7 @@ QUERIES = {
     "day_part_case": day_part_case,
     "day_part_udf": day_part_by_udf,
     "share_of_total": share_per_event_type,
+    "share_of_total_two_measures": share_of_total_two_measures,
     "grand_total": event_total,
     "row_count": order_rows,
     "filter_equal": filter_equal,
@@ -364,6 +392,7 @@ QUERIES = {
     "top_months_of_repeated_texts_sql": top_months_of_repeated_texts_by_sql,
     "top_months_of_texts_sql": top_months_of_texts_by_sql,
     "top_n_per_group": top_orders_per_priority,
+    "top_n_per_group_large": top_orders_per_priority_large,
     "preview_top_n": preview_top_orders,
     "sum_pair_by_key": population_per_nation,
     "income_per_key": income_per_nation,
@@ -374,7 +403,8 @@ QUERIES = {
     "join_merge": _join_by("merge"),
     "join_shuffle_hash": _join_by("shuffle_hash"),
     "join_replicate_nl": _join_by("shuffle_replicate_nl"),
-    "join_split_hot_keys": _join_by("merge", min_piece_rows=4),
+    "join_split_hot_keys": _join_by("merge", split_hot_keys=True, min_piece_rows=4),
+    "join_split_clustered_key": join_split_clustered_key,
     "csv_multi_file": csv_multi_file,
     "csv_by_name": csv_by_name,
     "csv_semicolon": csv_semicolon,
@@ -388,4 +418,5 @@ QUERIES = {
     "geojson_document_lines": _features_by("document_lines"),
     "geojson_feature_lines": _features_by("feature_lines"),
     "geojson_split": _features_by("split"),
+    "geojson_free_order": _features_by("split", any_order=True),
 }
