@@ -33,7 +33,10 @@ _SEED = 50
 
 
 class WordHashes:
-    """64-bit hashes of words; words met before are looked up."""
+    """64-bit hashes of words; words met before are looked up.
+
+    To be asked for many words at a time, as each call walks over the known ones.
+    """
 
     def __init__(self):
         self.index, self.hashes = defaultdict(count().__next__), np.zeros(0, np.uint64)
@@ -47,6 +50,18 @@ class WordHashes:
         return self.hashes[codes]
 
 
+def windows_of(known, texts, length):
+    """Of many texts, each a list of words: the hashes of all windows, and their numbers."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    hashes = window_hashes(known.of([w for words in texts for w in words]), length)
+    counts = np.maximum(sizes - length + 1, 0)
+    ends = np.cumsum(counts)
+    place = np.arange(ends[-1] if len(ends) else 0)
+    # Windows over the end of a text are left out.
+    place += np.repeat(np.cumsum(sizes) - sizes - (ends - counts), counts)
+    return hashes[place], counts
+
+
 def words_of_bytes(text):
     """The words of a text as bytes: all between space, and tab to carriage return."""
     return text.encode("utf-8").split()
@@ -137,16 +152,14 @@ def _pack(length, buckets, most):
     def pack(batches):
         known = WordHashes()
         for ids, texts in _chunks(batches, most):
-            rows, parts, place = [], [], []
-            for i, text in enumerate(texts):
-                words = words_of_bytes(text)
-                digest = sha256(b" ".join(words)).hexdigest()
-                rows.append(_row(int(ids[i]) % buckets, _WHOLE, int(ids[i]), n_words=len(words), digest=digest))
-                if len(words) >= length:
-                    parts.append(window_hashes(known.of(words), length))
-                    place.append(np.full(len(parts[-1]), i, np.int64))
-            if parts:
-                hashes, owner = np.concatenate(parts), np.concatenate(place)
+            words = [words_of_bytes(text) for text in texts]
+            rows = [
+                _row(i % buckets, _WHOLE, i, n_words=len(w), digest=sha256(b" ".join(w)).hexdigest())
+                for i, w in zip(ids.tolist(), words)
+            ]
+            hashes, counts = windows_of(known, words, length)
+            if len(hashes):
+                owner = np.repeat(np.arange(len(ids)), counts)
                 # Of windows that repeat in this chunk only the first one asks: the
                 # others know already. A passage that everyone has asks once a chunk.
                 order = np.argsort(hashes, kind="stable")
@@ -209,25 +222,29 @@ def _count(rows):
     return pd.DataFrame(answers, columns=[c.split()[0] for c in _ANSWER.split(", ")])
 
 
-def _remove(length, with_text):
+def _remove(length, with_text, most):
     """Function for mapInPandas: what is left of the documents with repeated windows."""
 
+    def one(doc_id, words, own, repeated):
+        bad = np.concatenate([np.frombuffer(h, np.uint64) for h in repeated])
+        gone = covered(np.flatnonzero(np.isin(own, bad)), length, len(words))
+        kept = b" ".join([words[i] for i in np.flatnonzero(~gone)])
+        bounds = np.flatnonzero(np.diff(np.r_[False, gone, False]))
+        left = kept.decode() if with_text and gone.any() else None
+        return doc_id, len(words), int(gone.sum()), sha256(kept).hexdigest(), bounds, left
+
     def remove(batches):
         known = WordHashes()
         for batch in batches:
-            rows = []
-            for doc_id, text, repeated in zip(batch["doc_id"], batch["text"], batch["repeated"]):
-                words = words_of_bytes(text)
-                own = window_hashes(known.of(words), length)
-                bad = np.concatenate([np.frombuffer(h, np.uint64) for h in repeated])
-                gone = covered(np.flatnonzero(np.isin(own, bad)), length, len(words))
-                kept = b" ".join([words[i] for i in np.flatnonzero(~gone)])
-                bounds = np.flatnonzero(np.diff(np.r_[False, gone, False]))
-                left = kept.decode() if with_text and gone.any() else None
-                rows.append((doc_id, len(words), int(gone.sum()), sha256(kept).hexdigest(), bounds, left))
-            yield pd.DataFrame(
-                rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256", "bounds", "kept"]
-            )
+            ends = batch["text"].str.len().cumsum() // most
+            for _, some in batch.groupby(ends.to_numpy(), sort=False):
+                words = [words_of_bytes(text) for text in some["text"]]
+                hashes, counts = windows_of(known, words, length)
+                own = np.split(hashes, np.cumsum(counts)[:-1])
+                yield pd.DataFrame(
+                    [one(*r) for r in zip(some["doc_id"], words, own, some["repeated"])],
+                    columns=["doc_id", "n_words", "n_removed", "kept_sha256", "bounds", "kept"],
+                )
 
     return remove
 
@@ -268,7 +285,7 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True, chunk_chars=CH
         texts.join(ids, "doc_id", "left_semi")
         .join(repeated, "doc_id")
         .mapInPandas(
-            _remove(length, with_text),
+            _remove(length, with_text, chunk_chars),
             "doc_id long, n_words long, n_removed long, kept_sha256 string, bounds array<long>, kept string",
         )
         .select(
