@@ -3,7 +3,6 @@ import re
 
 import pytest
 
-SF = "/root/testdata/sf0.001"
 ODD_SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     "row int, h string, fp int, words string, kind string, start int, n int, bucket int, text_key int"

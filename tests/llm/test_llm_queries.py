@@ -58,7 +58,7 @@ def test_pipeline(spark):
     judged = [labels[i] for i in gone if i in labels]
     assert judged.count(0) > 0.9 * len(judged) and len(judged) > 30
     before, after = kept["near_duplicates"]
-    groups = QUERIES_component(before)
+    groups = components_of(before)
     assert ids(after) == set(groups.values())
     before, after = kept["decontamination"]
     bad = ids(entry_points.queries()["op10_benchmark_decontamination"](spark, SF))
@@ -72,7 +72,7 @@ def test_pipeline(spark):
     assert ids(after) == ids(before) and after.filter("n_pieces <> size(ids)").isEmpty()
 
 
-def QUERIES_component(docs):
+def components_of(docs):
     from urbanstats.llm.simhash import near_duplicates
 
     return {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
