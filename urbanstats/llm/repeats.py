@@ -21,7 +21,7 @@ from urbanstats.llm.windows import _INVERSE, _powers, covered, spread, window_ha
 LENGTH = 400
 # Bytes that a task works on at a time, and bytes of stretches per suffix array, about.
 CHUNK_BYTES = 1_000_000
-ARRAY_BYTES = 4_000_000
+ARRAY_BYTES = 1_000_000
 # An anchor with more different stretches than this is split by more of their text.
 STRETCHES = 4_000
 # Texts that are needed again are chosen by broadcast keys up to this many (32 MB or so).
