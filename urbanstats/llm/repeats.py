@@ -23,7 +23,7 @@ LENGTH = 400
 CHUNK_BYTES = 1_000_000
 ARRAY_BYTES = 1_000_000
 # An anchor with more different stretches than this is split by more of their text.
-STRETCHES = 4_000
+STRETCHES = 256
 # Texts that are needed again are chosen by broadcast keys up to this many (32 MB or so).
 MAX_BROADCAST_KEYS = 1_000_000
 
