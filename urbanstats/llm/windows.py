@@ -18,8 +18,8 @@ from urbanstats.llm.common import stored, text_table
 
 WINDOW = 50
 # Characters that a task hashes at a time, and words that it remembers.
-CHUNK_CHARS = 4_000_000
-KNOWN_WORDS = 500_000
+CHUNK_CHARS = 2_000_000
+KNOWN_WORDS = 250_000
 # Bytes of text whose windows share a bucket, about (some 2.5 million windows).
 BUCKET_BYTES = 16_000_000
 # Ids of documents with removals are broadcast up to this many (32 MB or so), so that
@@ -128,22 +128,55 @@ def _in_order(ids, texts):
     return np.array([ids[i] for i in order], np.int64), [texts[i] for i in order]
 
 
-# Kinds of packed rows.
+# Kinds of packed rows: windows to count, windows that repeat, and whole documents.
 _ASK, _REPEATED, _WHOLE = 0, 1, 2
-_PACKED = "bucket int, kind int, doc_id long, ids binary, counts binary, hashes binary, n_words long, digest string"
+_PACKED = "bucket int, kind int, ids binary, counts binary, hashes binary, doc_id long, n_words long, digest string"
 
 
-def _row(bucket, kind, doc_id=-1, ids=b"", counts=b"", hashes=b"", n_words=0, digest=""):
-    return bucket, kind, doc_id, ids, counts, hashes, n_words, digest
+def _names(schema):
+    return [c.split()[0] for c in schema.split(", ")]
 
 
-def _repeated_rows(docs, hashes, bucket_of):
-    """A row per document with the hashes of its windows that a smaller id holds too."""
+def _packed(kind, buckets, docs, hashes):
+    """A row per bucket: its documents, how many windows each has, and their hashes.
+
+    ``buckets`` says where each window goes. The order of the windows stays.
+    """
+    order = np.argsort(buckets, kind="stable")
+    docs, hashes, buckets = docs[order], hashes[order], buckets[order]
+    cuts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1], True]) if len(docs) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        some = docs[a:b]
+        first = np.flatnonzero(np.r_[True, some[1:] != some[:-1]])
+        counts = np.diff(np.r_[first, len(some)]).astype(np.int32)
+        yield (
+            int(buckets[a]),
+            kind,
+            some[first].tobytes(),
+            counts.tobytes(),
+            hashes[a:b].tobytes(),
+            None,
+            None,
+            None,
+        )
+
+
+def _unpacked(rows):
+    """The document and the hash of each window in packed rows."""
+    docs = [
+        np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32))
+        for i, c in zip(rows["ids"], rows["counts"])
+    ]
+    none = np.zeros(0, np.int64)
+    hashes = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
+    return np.concatenate([none, *docs]), np.concatenate([none.astype(np.uint64), *hashes])
+
+
+def _by_document(docs, hashes, buckets):
+    """Packed rows of repeated windows for the buckets of their documents."""
     order = np.argsort(docs, kind="stable")
     docs, hashes = docs[order], hashes[order]
-    bounds = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1], True]) if len(docs) else [0]
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        yield _row(bucket_of(int(docs[a])), _REPEATED, int(docs[a]), hashes=hashes[a:b].tobytes())
+    return _packed(_REPEATED, docs % buckets, docs, hashes)
 
 
 def _pack(length, buckets, most):
@@ -154,7 +187,7 @@ def _pack(length, buckets, most):
         for ids, texts in _chunks(batches, most):
             words = [words_of_bytes(text) for text in texts]
             rows = [
-                _row(i % buckets, _WHOLE, i, n_words=len(w), digest=sha256(b" ".join(w)).hexdigest())
+                (i % buckets, _WHOLE, None, None, None, i, len(w), sha256(b" ".join(w)).hexdigest())
                 for i, w in zip(ids.tolist(), words)
             ]
             hashes, counts = windows_of(known, words, length)
@@ -167,66 +200,50 @@ def _pack(length, buckets, most):
                 first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
                 leader = np.repeat(ids[owner[order[first]]], np.diff(np.r_[first, len(order)]))
                 later = ids[owner[order]] > leader
-                rows += _repeated_rows(
-                    ids[owner[order[later]]], ordered[later], lambda d: d % buckets
-                )
+                rows += _by_document(ids[owner[order[later]]], ordered[later], buckets)
                 ask = np.sort(order[first])
                 hashes, owner = hashes[ask], owner[ask]
-                bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                hashes, owner, bucket = hashes[order], owner[order], bucket[order]
-                ends = np.flatnonzero(np.r_[bucket[1:] != bucket[:-1], True]) + 1
-                start = 0
-                for end in ends.tolist():
-                    docs, counts = np.unique(owner[start:end], return_counts=True)
-                    rows.append(
-                        _row(
-                            int(bucket[start]),
-                            _ASK,
-                            ids=ids[docs].tobytes(),
-                            counts=counts.astype(np.int32).tobytes(),
-                            hashes=hashes[start:end].tobytes(),
-                        )
-                    )
-                    start = end
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _PACKED.split(", ")])
+                bucket = (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                rows += _packed(_ASK, bucket.astype(np.int64), ids[owner], hashes)
+            yield pd.DataFrame(rows, columns=_names(_PACKED))
 
     return pack
 
 
-_ANSWER = "doc_id long, hashes binary, n_words long, digest string"
+def _count(buckets):
+    """Function for applyInPandas: of a bucket's windows, those that a smaller id holds too.
 
+    They are packed again, by the buckets of their documents. Other rows pass.
+    """
 
-def _count(rows):
-    """Function for applyInPandas: of a bucket's windows, those that a smaller id holds too."""
-    answers = [
-        (r.doc_id, r.hashes, r.n_words, r.digest)
-        for r in rows[rows["kind"] != _ASK].itertuples()
-    ]
-    asked = rows[rows["kind"] == _ASK]
-    if len(asked):
-        docs = np.concatenate(
-            [
-                np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32))
-                for i, c in zip(asked["ids"], asked["counts"])
-            ]
-        )
-        hashes = np.concatenate([np.frombuffer(h, np.uint64) for h in asked["hashes"]])
+    def count_(rows):
+        docs, hashes = _unpacked(rows[rows["kind"] == _ASK])
         order = np.lexsort((docs, hashes))
         docs, hashes = docs[order], hashes[order]
-        first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
-        later = docs > np.repeat(docs[first], np.diff(np.r_[first, len(docs)]))
-        answers += [
-            (r[2], r[5], 0, "") for r in _repeated_rows(docs[later], hashes[later], lambda d: 0)
-        ]
-    return pd.DataFrame(answers, columns=[c.split()[0] for c in _ANSWER.split(", ")])
+        first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(docs) else []
+        later = docs > np.repeat(docs[first], np.diff(np.r_[first, len(docs)]).astype(np.int64))
+        found = _by_document(docs[later], hashes[later], buckets)
+        answers = pd.DataFrame(found, columns=_names(_PACKED), dtype=object)
+        return pd.concat([rows[rows["kind"] != _ASK].astype(object), answers], ignore_index=True)
+
+    return count_
+
+
+def _gather(rows):
+    """Function for applyInPandas: one row per document with all its repeated windows."""
+    docs, hashes = _unpacked(rows)
+    order = np.argsort(docs, kind="stable")
+    docs, hashes = docs[order], hashes[order]
+    cuts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1], True])
+    found = [(docs[a], hashes[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pd.DataFrame(found, columns=["doc_id", "repeated"])
 
 
 def _remove(length, with_text, most):
     """Function for mapInPandas: what is left of the documents with repeated windows."""
 
     def one(doc_id, words, own, repeated):
-        bad = np.concatenate([np.frombuffer(h, np.uint64) for h in repeated])
+        bad = np.frombuffer(repeated, np.uint64)
         gone = covered(np.flatnonzero(np.isin(own, bad)), length, len(words))
         kept = b" ".join([words[i] for i in np.flatnonzero(~gone)])
         bounds = np.flatnonzero(np.diff(np.r_[False, gone, False]))
@@ -269,11 +286,14 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True, chunk_chars=CH
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(max(1, least, -(-size // BUCKET_BYTES)), 1 << 30)
     packed = texts.mapInPandas(_pack(length, buckets, chunk_chars), _PACKED)
-    answers = stored(packed.groupBy("bucket").applyInPandas(_count, _ANSWER), "window_answers")
-    repeated = answers.filter(F.length("hashes") > 0).groupBy("doc_id").agg(
-        F.collect_list("hashes").alias("repeated")
+    answers = stored(packed.groupBy("bucket").applyInPandas(_count(buckets), _PACKED), "window_answers")
+    repeated = stored(
+        answers.filter(F.col("kind") == _REPEATED)
+        .groupBy("bucket")
+        .applyInPandas(_gather, "doc_id long, repeated binary"),
+        "window_repeats",
     )
-    whole = answers.filter(F.length("digest") > 0).select("doc_id", "n_words", "digest")
+    whole = answers.filter(F.col("kind") == _WHOLE).select("doc_id", "n_words", "digest")
     touched = repeated.select("doc_id")
     ids = touched if touched.count() > MAX_BROADCAST_IDS else F.broadcast(touched)
     none = F.array().cast("array<array<bigint>>")
