@@ -1,11 +1,13 @@
 """Time the headline queries and print one JSON line.
 
 ``queries`` are registered queries at BENCH_SF_DIR. ``full_scale`` are the jobs on
-crime files of the size the published run times are for: about 3.1 million rows and
-900 MB of CSV, derived from the events table. BENCH_FULL_ROWS=0 leaves them out.
+crime files of the size the published run times are for (about 3.1 million rows and
+900 MB of CSV, derived from the events table), and on census blocks with geometry (about
+500 MB of GeoJSON, derived from the customers). BENCH_FULL_ROWS=0 leaves them out.
 
 Each time is the median of three runs after a warm-up. It covers reading, planning and
-computing every row; the rows go to Spark's noop sink, not to the driver.
+computing every row; the rows go to Spark's noop sink, not to the driver, except those of
+csv_to_parquet, which are written.
 """
 
 import json
@@ -22,8 +24,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from urbanstats import schemas as S  # noqa: E402
 from urbanstats.functions import day_part_udf  # noqa: E402
-from urbanstats.plans import day_part_share, top_months, top_months_sql  # noqa: E402
-from urbanstats.sources import csv_to_parquet, read_csv, scratch_path, write_csv  # noqa: E402
+from urbanstats.operators.joins import STRATEGIES  # noqa: E402
+from urbanstats.plans import day_part_share, income_per_key, top_months, top_months_sql  # noqa: E402
+from urbanstats.sources import (  # noqa: E402
+    csv_to_parquet,
+    feature_properties,
+    read_csv,
+    read_features,
+    scratch_path,
+    write_csv,
+)
 from workload import derive  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
@@ -35,12 +45,14 @@ HEADLINES = [
     "day_part_share_csv",
     "day_part_share_parquet",
     "share_of_total",
+    "share_of_total_two_measures",
     "monthly_counts",
     "top_months",
     "top_months_sql",
     "top_months_of_texts",
     "top_months_of_repeated_texts",
     "top_n_per_group",
+    "top_n_per_group_large",
     "income_per_key",
     "income_per_key_strict",
     "income_per_key_files",
@@ -50,9 +62,11 @@ HEADLINES = [
     "join_shuffle_hash",
     "join_replicate_nl",
     "join_split_hot_keys",
+    "join_split_clustered_key",
     "csv_multi_file",
     "csv_to_parquet",
     "geojson_split",
+    "geojson_free_order",
     "geojson_features",
 ]
 
@@ -91,17 +105,49 @@ def crime_files(spark, sf_dir, rows):
     return paths
 
 
-def folder_size(path):
-    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
+BLOCKS = 120_000
+
+
+def block_files(spark, sf_dir):
+    """Census blocks as GeoJSON features, one per line, with a polygon of 150 corners."""
+    blocks = derive.census_blocks(spark, sf_dir)
+    copies = -(-BLOCKS // blocks.count())
+    corner = F.array(F.lit(-118.123456789), F.lit(34.123456789))
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(F.lit("Polygon").alias("type"), F.array(F.array_repeat(corner, 150)).alias("coordinates")).alias(
+            "geometry"
+        ),
+        F.struct(*blocks.columns).alias("properties"),
+    )
+    path = scratch_path(spark, "blocks")
+    copied = blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    copied.repartition(8, "_copy").select(feature.alias("f")).select("f.*").write.json(path)
+    return path
+
+
+def folder_size(spark, path):
+    """Bytes of the files of a folder, wherever it is."""
+    return spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
 
 
 def full_scale(spark, sf_dir, rows):
     paths = crime_files(spark, sf_dir, rows)
     out = scratch_path(spark, "crimes")
     seconds = {}
-    start = perf_counter()
-    written = csv_to_parquet(spark, paths, out, required=S.CRIME_COLUMNS)
-    seconds["csv_to_parquet"] = round(perf_counter() - start, 3)
+    runs = []
+    for _ in range(1 + RUNS):
+        start = perf_counter()
+        written = csv_to_parquet(spark, paths, out, required=S.CRIME_COLUMNS)
+        runs.append(round(perf_counter() - start, 3))
+    seconds["csv_to_parquet"] = median(runs[1:])
+    blocks = block_files(spark, sf_dir)
+    income = derive.income_files(spark, sf_dir)
+
+    def q3(strategy, layout="split", **options):
+        features = feature_properties(read_features(spark, blocks, layout=layout, **options))
+        return income_per_key(features, read_csv(spark, income, ";", required=S.INCOME_COLUMNS), strategy)
+
     street = F.col(S.CRIME_PREMISE) == "error"
     jobs = {
         "q1_csv": lambda: day_part_share(read_csv(spark, paths), where=street),
@@ -117,13 +163,17 @@ def full_scale(spark, sf_dir, rows):
             spark.read.parquet(out), S.CRIME_DATE, S.CRIME_DATE_PATTERN, repeated_texts=True
         ),
     }
+    jobs |= {f"q3_{name}": partial(q3, name) for name in STRATEGIES}
+    jobs["q3_default_unchecked"] = partial(q3, "default", check=False)
+    jobs["q3_default_feature_lines"] = partial(q3, "default", layout="feature_lines")
     seconds.update(median_times(jobs))
     return {
         "rows": written,
-        "csv_mb": round(sum(map(folder_size, paths)) / 1e6, 1),
-        "parquet_mb": round(folder_size(out) / 1e6, 1),
+        "csv_mb": round(sum(folder_size(spark, p) for p in paths) / 1e6, 1),
+        "parquet_mb": round(folder_size(spark, out) / 1e6, 1),
+        "geojson_mb": round(folder_size(spark, blocks) / 1e6, 1),
         "seconds": seconds,
-        "rows_per_second": {name: round(written / s) for name, s in seconds.items()},
+        "rows_per_second": {n: round(written / s) for n, s in seconds.items() if not n.startswith("q3")},
     }
 
 
