@@ -122,17 +122,17 @@ def _pieces(batches, most):
     A text that is longer is dealt with in pieces whose windows follow on each other.
     """
     for batch in batches:
-        raws = [t.encode("utf-8") for t in batch["text"]]
         chunk, size = [], 0
-        for i, raw in enumerate(raws):
+        for i, text in enumerate(batch["text"]):
+            raw = text.encode("utf-8")
             for offset in range(0, max(1, len(raw)), most):
                 chunk.append((i, offset, raw))
                 size += min(most, len(raw))
                 if size >= most:
-                    yield batch, raws, chunk
+                    yield batch, chunk
                     chunk, size = [], 0
         if chunk:
-            yield batch, raws, chunk
+            yield batch, chunk
 
 
 _ANCHORED = (
@@ -149,11 +149,11 @@ def _anchor(length, most):
     """Function for mapInPandas: a row per document, and one per stretch of windows."""
 
     def anchor(batches):
-        for batch, raws, chunk in _pieces(batches, most):
+        for batch, chunk in _pieces(batches, most):
             keys = batch[["doc_id", *_KEY]].to_numpy(object)
             whole = [
-                (*keys[i], len(raws[i]), sha256(raws[i]).hexdigest(), None, None, None, None, None)
-                for i, offset, _ in chunk
+                (*keys[i], len(raw), sha256(raw).hexdigest(), None, None, None, None, None)
+                for i, offset, raw in chunk
                 if offset == 0
             ]
             parts = [raw[o : o + most + length - 1] for _, o, raw in chunk]
@@ -196,7 +196,8 @@ def _cut(length):
         seen = set()
         for batch in batches:
             rows = []
-            for key, check, text, wanted in zip(batch["text_key"], batch["text_check"], batch["text"], batch["wanted"]):
+            columns = (batch[c] for c in (*_KEY, "text", "wanted"))
+            for key, check, text, wanted in zip(*columns):
                 if (key, check) in seen:  # another copy of the text
                     continue
                 seen.add((key, check))
@@ -205,6 +206,9 @@ def _cut(length):
                     a, n, place = w["start"], w["n"], w["place"]
                     part = raw[a : a + n - 1 + length]
                     rows.append((w["h"], w["sh"], w["copies"], n, place, place, place + gram, part))
+                if len(rows) >= 2000:
+                    yield pd.DataFrame(rows, columns=_names(_SLICE))
+                    rows = []
             yield pd.DataFrame(rows, columns=_names(_SLICE))
 
     return cut
