@@ -418,8 +418,11 @@ def remove_repeated_strings(
         .filter("copies > 1")
         .select("h", (F.col("low") == F.col("high")).alias("one"))
     )
+    # Dealt anew by place: else the grouping would keep a frequent anchor's rows together,
+    # and Spark could not split them in the join.
+    found_again = stretches_.join(kinds, "h").repartition("text_key", "start")
     repeated = stored(
-        stretches_.join(kinds, "h").groupBy(*stretches_.columns, "one").agg(F.count(F.lit(1)).alias("copies")),
+        found_again.groupBy(*stretches_.columns, "one").agg(F.count(F.lit(1)).alias("copies")),
         "suffix_repeated",
     )
     # Of equal stretches one is looked at, and counts as often as there are copies.
