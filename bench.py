@@ -105,13 +105,14 @@ def crime_files(spark, sf_dir, rows):
     return paths
 
 
-BLOCKS = 120_000
+# Crime rows for each census block.
+ROWS_PER_BLOCK = 26
 
 
-def block_files(spark, sf_dir):
+def block_files(spark, sf_dir, rows):
     """Census blocks as GeoJSON features, one per line, with a polygon of 150 corners."""
     blocks = derive.census_blocks(spark, sf_dir)
-    copies = -(-BLOCKS // blocks.count())
+    copies = -(-rows // ROWS_PER_BLOCK // blocks.count())
     corner = F.array(F.lit(-118.123456789), F.lit(34.123456789))
     feature = F.struct(
         F.lit("Feature").alias("type"),
@@ -141,7 +142,7 @@ def full_scale(spark, sf_dir, rows):
         written = csv_to_parquet(spark, paths, out, required=S.CRIME_COLUMNS)
         runs.append(round(perf_counter() - start, 3))
     seconds["csv_to_parquet"] = median(runs[1:])
-    blocks = block_files(spark, sf_dir)
+    blocks = block_files(spark, sf_dir, rows)
     income = derive.income_files(spark, sf_dir)
 
     def q3(strategy, layout="split", **options):
