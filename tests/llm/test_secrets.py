@@ -115,3 +115,68 @@ def test_no_python_in_the_plan(spark, model, plan):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     text = plan(secrets.scan_secrets(docs, model))
     assert not re.search("Python|Pandas|Arrow", text)
+
+
+def spans_of(docs_of, model, rows):
+    got = secrets.scan_secrets(docs_of(rows), model).collect()
+    return {r["doc_id"]: [x.split(":") for x in r["spans"].split(",") if x] for r in got}
+
+
+def test_keys_behind_ordinary_text_are_found(docs_of, model):
+    rnd = random.Random(4)
+    keys = ["".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(24)) for _ in range(200)]
+    prefixes = ["", "authorization=", "connection-string=", "/internationalization/"]
+    rows = [(1000 * p + k, f"see {prefix}{key}, then") for p, prefix in enumerate(prefixes) for k, key in enumerate(keys)]
+    got = spans_of(docs_of, model, rows)
+    whole = [
+        sum(any(int(a) <= 4 + len(prefix) and int(z) >= 28 + len(prefix) for _, a, z in got[1000 * p + k]) for k in range(200))
+        for p, prefix in enumerate(prefixes)
+    ]
+    assert whole[0] > 180 and min(whole) > 0.9 * whole[0]
+
+
+def test_each_key_of_a_run_is_found(docs_of, model):
+    one, two, ordinary = "q7ZpX2mK9vLw4Rt8YbN3cJ6h", "Xw3Gz8QkT5vB1nJ7RmP4dF9s", "/thing-of-the-information-and-the-nation/" * 4
+    rows = [
+        (1, ordinary + one + ordinary + two + ordinary),
+        (2, one + "/token=abcdef"),
+        (3, "token=abcdef é " + one + "/token=abcdef"),
+        (4, ordinary),
+    ]
+    got = spans_of(docs_of, model, rows)
+    # At most the words beside a key go with it.
+    cut = [rows[0][1][int(a) : int(z)] for _, a, z in got[1]]
+    assert len(cut) == 2 and one in cut[0] and two in cut[1] and max(map(len, cut)) < 40
+    assert [(k, int(a)) for k, a, _ in got[2]] == [("random", 0), ("assign", 25)]
+    assert [(k, int(a)) for k, a, _ in got[3]] == [("assign", 0), ("random", 15), ("assign", 40)]
+    assert got[4] == []
+
+
+def test_stretches_equal_plain_python(spark, model):
+    """Every stretch with the ratio meets a listed one; listed ones begin and end with such."""
+    rnd = random.Random(6)
+    ordinary = ["/thing", "-of-the-", "information", "=", "nation/", "the", "and"]
+    runs = []
+    while len(runs) < 150:
+        some = [rnd.choice(ordinary) if rnd.random() < 0.7 else "".join(
+            rnd.choice(string.ascii_letters + string.digits) for _ in range(rnd.randrange(4, 22))) for _ in range(8)]
+        runs.append("".join(some))
+    length, ratio = secrets.MIN_LENGTH, secrets.MIN_RATIO
+    found = spark.createDataFrame([(r,) for r in runs], "s string").select(
+        "s", secrets._with_steps(F.col("s"), model, lambda x: secrets._stretches(x, length, ratio)).alias("got")
+    )
+    hits = 0
+    for r in found.collect():
+        steps, got = [model[r["s"][i : i + 2]] for i in range(len(r["s"]) - 1)], [tuple(g) for g in r["got"]]
+        sums = {
+            (a, z): sum(steps[a : z - 1])
+            for a in range(len(r["s"]))
+            for z in range(a + length, len(r["s"]) + 1)
+        }
+        high = [s for s, total in sums.items() if total >= ratio - 1e-6]
+        assert {a for a, _ in got} <= {a for a, _ in high} and {z for _, z in got} <= {z for _, z in high}
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+        for (a, z), total in sums.items():
+            assert total < ratio + 1e-6 or any(a < y and x < z for x, y in got)
+        hits += len(got)
+    assert hits > 30

@@ -30,11 +30,11 @@ _SEARCH = {
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _RUN = r"[A-Za-z0-9+/_=-]"
 
-# Runs of at least this many characters are judged by the models,
+# Stretches of at least this many characters are judged by the models,
 MIN_LENGTH = 16
 # and runs of at least this many are samples of ordinary identifiers.
 MIN_SAMPLE = 10
-# A run is a secret from this log-likelihood ratio on (natural logarithm).
+# A stretch is a secret from this log-likelihood ratio on (natural logarithm).
 MIN_RATIO = 15.0
 # Every transition counts as seen this often beforehand: without samples both models are
 # uniform, and a few known secrets do not make the random one expect their letters only.
@@ -100,23 +100,145 @@ def fit_markov(samples):
     }
 
 
-def log_ratio(text, model):
-    """Column: how much likelier a text of alphabet characters is random than ordinary."""
+def _with_steps(text, model, then):
+    """Column: ``then`` of the log-likelihood ratios of a text's transitions, made once."""
     size = len(ALPHABET)
     values = [model[a + b] for a in ALPHABET for b in ALPHABET]
     table = F.from_json(F.lit(json.dumps(values)), "array<double>")
     at = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
 
-    def ratio(codes):
-        steps = F.zip_with(
+    def steps(codes):
+        return F.zip_with(
             F.slice(codes, F.lit(1), F.size(codes) - 1),
             F.slice(codes, F.lit(2), F.size(codes) - 1),
             lambda a, b: F.get(table, a * size + b),
         )
-        return F.aggregate(steps, F.lit(0.0), lambda total, step: total + step)
 
-    # Through an array of one, so that the codes are made once.
-    return F.get(F.transform(F.array(at), ratio), F.lit(0))
+    # Through arrays of one, so that the codes and the steps are made once.
+    made = F.transform(F.array(at), steps)
+    return F.get(F.transform(made, then), F.lit(0))
+
+
+def _total(steps):
+    return F.aggregate(steps, F.lit(0.0), lambda total, step: total + step)
+
+
+def log_ratio(text, model):
+    """Column: how much likelier a text of alphabet characters is random than ordinary."""
+    return _with_steps(text, model, _total)
+
+
+_STRETCHES = "array<struct<start:int,end:int>>"
+_STATE = (
+    "struct<at:int,window:double,sum:double,start:int,peak:double,first:int,end:int,fresh:int,"
+    f"found:{_STRETCHES}>"
+)
+
+
+def _stretches(steps, min_length, min_ratio):
+    """Array of the stretches (start, end) of a run that the models call random.
+
+    ``sum`` is that of the best stretch of ``min_length`` characters or more that ends
+    here: the one that ended a step before and this step, or the shortest. A stretch ends
+    at its peak, once the sum has fallen by ``min_ratio`` from there or the run is over;
+    the next one lies behind it. So each stretch with the ratio meets one that is listed.
+    """
+    lag = max(min_length - 1, 1)
+    behind = F.slice(
+        F.concat(F.array_repeat(F.lit(0.0), lag), steps), F.lit(1), F.size(steps)
+    )
+    moves = F.zip_with(steps, behind, lambda new, old: F.struct(new.alias("new"), old.alias("old")))
+    zero, none = F.lit(0), F.lit(None)
+    begin = F.struct(
+        *[c.alias(n) for c, n in (
+            (zero, "at"), (F.lit(0.0), "window"), (none, "sum"), (zero, "start"), (none, "peak"),
+            (zero, "first"), (zero, "end"), (zero, "fresh"), (F.array(), "found"),
+        )]
+    ).cast(_STATE)
+
+    def with_peak(state):
+        stretch = F.struct(state["first"].alias("start"), state["end"].alias("end"))
+        return F.concat(state["found"], F.array(stretch))
+
+    def summed(state, move):
+        window = state["window"] + move["new"] - move["old"]
+        grown = state["sum"] + move["new"]
+        begun = state["at"] - (lag - 1)
+        shortest = (begun >= state["fresh"]) & (grown.isNull() | (window > grown))
+        return F.struct(
+            (state["at"] + 1).alias("at"),
+            window.alias("window"),
+            F.when(shortest, window).otherwise(grown).alias("sum"),
+            F.when(shortest, begun).otherwise(state["start"]).alias("start"),
+            *[state[c].alias(c) for c in ("peak", "first", "end", "fresh", "found")],
+        )
+
+    def judged(state):
+        peak, total = state["peak"], state["sum"]
+        better = F.coalesce((total >= min_ratio) & (peak.isNull() | (total > peak)), F.lit(False))
+        over = F.coalesce(total <= peak - min_ratio, F.lit(False))
+        return F.struct(
+            state["at"].alias("at"),
+            state["window"].alias("window"),
+            F.when(~over, total).alias("sum"),
+            state["start"].alias("start"),
+            F.when(better, total).when(~over, peak).alias("peak"),
+            F.when(better & peak.isNull(), state["start"]).otherwise(state["first"]).alias("first"),
+            F.when(better, state["at"] + 1).otherwise(state["end"]).alias("end"),
+            F.when(over, state["end"]).otherwise(state["fresh"]).alias("fresh"),
+            F.when(over, with_peak(state)).otherwise(state["found"]).alias("found"),
+        ).cast(_STATE)
+
+    return F.aggregate(
+        moves,
+        begin,
+        lambda state, move: F.get(F.transform(F.array(summed(state, move)), judged), F.lit(0)),
+        lambda state: F.when(state["peak"].isNotNull(), with_peak(state)).otherwise(state["found"]),
+    )
+
+
+def random_stretches(run, model, min_length=MIN_LENGTH, min_ratio=MIN_RATIO):
+    """Column: the stretches (start, end) of a run of alphabet characters that are secrets.
+
+    A run with the ratio is one as a whole. Of another one, each stretch with the ratio
+    is, with the letters and digits that it is joined to.
+    """
+
+    def found(steps):
+        rising = F.aggregate(steps, F.lit(0.0), lambda total, step: total + F.greatest(step, F.lit(0.0)))
+        whole = F.array(F.struct(F.lit(0).alias("start"), F.length(run).alias("end"))).cast(_STRETCHES)
+        return (
+            F.when(_total(steps) >= min_ratio, whole)
+            .when(rising >= min_ratio, _stretches(steps, min_length, min_ratio))
+            .otherwise(F.array().cast(_STRETCHES))
+        )
+
+    def widened(stretches):
+        starts = F.concat(stretches["start"], F.array(F.length(run)))
+        ends = F.concat(F.array(F.lit(0)), stretches["end"])
+        gaps = F.zip_with(ends, starts, lambda a, b: F.substring(run, a + 1, b - a))
+        # What joins two stretches goes to the second, so that none overlap.
+        inner = F.size(stretches)
+        before = F.transform(
+            gaps,
+            lambda g, i: F.when(i < inner, F.length(F.regexp_extract(g, "[A-Za-z0-9]*$", 0))).otherwise(0),
+        )
+        after = F.zip_with(
+            gaps,
+            before,
+            lambda g, n: F.length(F.regexp_extract(F.substring(g, F.lit(1), F.length(g) - n), "^[A-Za-z0-9]*", 0)),
+        )
+        return F.transform(
+            stretches,
+            lambda s, i: F.struct(
+                (s["start"] - F.get(before, i)).alias("start"),
+                (s["end"] + F.get(after, i + 1)).alias("end"),
+            ),
+        )
+
+    made = _with_steps(run, model, found)
+    wide = F.transform(F.array(made), lambda s: F.when(F.size(s) > 0, widened(s)).otherwise(s))
+    return F.get(wide, F.lit(0))
 
 
 # All kinds, in the order in which spans with one start are listed.
@@ -144,6 +266,64 @@ def _matches(kind, search, value_group, good):
     return F.when(text.rlike(search), rows).otherwise(F.array().cast(_MATCHES))
 
 
+def _without(text, search, value_group, least):
+    """The text with a blank for each character of the matches that count."""
+    before = F.split(text, search, -1)
+    whole = F.regexp_extract_all(text, F.lit(search), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(search), F.lit(value_group))
+    blanks = F.zip_with(
+        whole, value, lambda w, v: F.when(F.length(v) >= least, F.repeat(F.lit(" "), F.length(w))).otherwise(w)
+    )
+    kept = F.zip_with(before, blanks, lambda b, w: F.concat(b, F.coalesce(w, F.lit(""))))
+    return F.when(text.rlike(search), F.concat_ws("", kept)).otherwise(text)
+
+
+def _both(a, b, text):
+    """Two versions of a text, with the blanks of both."""
+    each = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(y == " ", y).otherwise(x))
+    return F.when(a == text, b).when(b == text, a).otherwise(F.concat_ws("", each))
+
+
+def _random_matches(text, model, min_length, min_ratio):
+    """As ``_matches``, of the secret stretches of all runs; the end of each run follows them."""
+    search = _RUN + "{%d,}" % min_length
+    before = F.split(text, search, -1)
+    runs = F.regexp_extract_all(text, F.lit(search), F.lit(0))
+
+    def pieces(m):
+        def placed(stretches):
+            ends = F.concat(F.array(F.lit(0)), stretches["end"])
+            size = F.length(m["w"])
+            marks = F.concat(
+                F.transform(stretches, lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e"))),
+                F.array(F.struct(size.alias("s"), size.alias("e"))),
+            )
+            return F.zip_with(
+                ends,
+                marks,
+                lambda last, s: F.struct(
+                    (s["s"] - last + F.when(last == 0, F.length(m["b"])).otherwise(0)).alias("before"),
+                    (s["e"] - s["s"]).alias("length"),
+                ),
+            )
+
+        stretches = random_stretches(m["w"], model, min_length, min_ratio)
+        return F.get(F.transform(F.array(stretches), placed), F.lit(0))
+
+    parts = F.flatten(
+        F.transform(F.arrays_zip(runs.alias("w"), F.slice(before, F.lit(1), F.size(runs)).alias("b")), pieces)
+    )
+    rows = F.transform(
+        parts,
+        lambda p, i: F.struct(
+            F.lit("random").alias("kind"),
+            i.alias("i"),
+            p["before"].cast("long").alias("before"),
+            p["length"].cast("long").alias("length"),
+            (p["length"] > 0).alias("good"),
+        ),
+    )
+    return F.when(text.rlike(search), rows).otherwise(F.array().cast(_MATCHES))
 
 
 def secret_spans(docs, model, min_length=MIN_LENGTH, min_ratio=MIN_RATIO):
@@ -151,9 +331,10 @@ def secret_spans(docs, model, min_length=MIN_LENGTH, min_ratio=MIN_RATIO):
 
     Every row of ``docs`` gives at least one row; without a span kind, start and end are
     NULL. ``row`` tells rows of ``docs`` apart, ``text_key`` is the hash of the text.
-    Known forms are found leftmost first, each kind on its own. A run of
-    ``min_length`` characters or more outside all of those is a span of kind ``random``
-    if the models' log-likelihood ratio is ``min_ratio`` or more.
+    Known forms are found leftmost first, each kind on its own. What they leave of the
+    text is searched for runs of ``min_length`` characters or more; a run or a stretch of
+    one (``random_stretches``) is a span of kind ``random`` if the models'
+    log-likelihood ratio is ``min_ratio`` or more.
 
     The matches and the text between them are measured where the text is; only lengths
     go through the shuffle that adds them up to positions.
@@ -162,10 +343,14 @@ def secret_spans(docs, model, min_length=MIN_LENGTH, min_ratio=MIN_RATIO):
         _matches(kind, _SEARCH[kind], group, lambda v, least=least: F.length(v) >= least)
         for kind, (_, group, least) in BASE_KINDS.items()
     ]
-    run = _RUN + "{%d,}" % min_length
-    arrays.append(_matches("random", run, 0, lambda v: log_ratio(v, model) >= min_ratio))
     # The row's number comes first: beside the explode it would number the matches.
     numbered = text_table(docs).withColumn("row", F.monotonically_increasing_id())
+    rest = F.col("text")
+    for kind, (_, group, least) in BASE_KINDS.items():
+        numbered = numbered.withColumn(f"no_{kind}", _without(F.col("text"), _SEARCH[kind], group, least))
+        numbered = numbered.withColumn("rest", _both(rest, F.col(f"no_{kind}"), F.col("text")))
+        rest = F.col("rest")
+    arrays.append(_random_matches(rest, model, min_length, min_ratio))
     matches = numbered.select(
         "row",
         "doc_id",
@@ -177,26 +362,8 @@ def secret_spans(docs, model, min_length=MIN_LENGTH, min_ratio=MIN_RATIO):
         "end", F.sum(F.col("before") + F.col("length")).over(in_order)
     ).withColumn("start", F.col("end") - F.col("length"))
     # A row that is no span still stands for its document.
-    good = F.col("good")
-    base = good & (F.col("kind") != "random")
-    by_start = Window.partitionBy("row").orderBy("start", "end", "kind")
-    seen = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = by_start.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    apart = (
-        placed.withColumn("base_end", F.max(F.when(base, F.col("end"))).over(seen))
-        .withColumn("base_start", F.min(F.when(base, F.col("start"))).over(ahead))
-        .withColumn(
-            "span",
-            base
-            | (
-                good
-                & (F.coalesce("base_end", F.lit(0)) <= F.col("start"))
-                & (F.coalesce("base_start", F.col("end")) >= F.col("end"))
-            ),
-        )
-    )
-    span = F.coalesce("span", F.lit(False))
-    return apart.select(
+    span = F.coalesce("good", F.lit(False))
+    return placed.select(
         "row", "doc_id", "text_key", *[F.when(span, F.col(c)).alias(c) for c in ("kind", "start", "end")]
     )
 
