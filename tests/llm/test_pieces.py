@@ -88,3 +88,42 @@ def test_rows_do_not_depend_on_partitions(docs_of, vocabulary):
     rows = [(i, f"some text of row {i} " * 20) for i in range(40)]
     one, many = (pieces.encode_documents(docs_of(rows, n), vocabulary).collect() for n in (1, 9))
     assert sorted(map(tuple, one)) == sorted(map(tuple, many))
+
+
+def test_each_occurrence_draws_on_its_own(vocabulary):
+    """A word with one merge drops it at the rate of the parameter, in any document."""
+    word = next(p for p in vocabulary.pieces if isinstance(p, str) and len(p) == 2 and p.isalpha() and p.islower())
+    assert len(pieces.encode_words(vocabulary, [word], [0], 0.0)[0]) == 1
+    names, texts = [str(i) for i in range(60)], ["\n".join([""] + [word] * 100)] * 60
+    got = pieces.Encoder(vocabulary, 9, 0.1).encode(names, texts)
+    shares = [(len(g) - len(pieces.Encoder(vocabulary, 9, 0.0).encode(["a"], texts[:1])[0])) / 100 for g in got]
+    assert 0.085 < sum(shares) / 60 < 0.115 and len(set(shares)) > 5
+
+
+def test_a_frequent_word_has_many_segmentations(vocabulary):
+    text = " ".join(["international"] * 4000)
+    ids = pieces.Encoder(vocabulary, 9, 0.3).encode(["7"], [text])[0]
+    forms = "".join(vocabulary.pieces[i] + "|" for i in ids.tolist()).split(" ")
+    assert len(set(forms)) > 30
+
+
+def test_what_is_remembered_decides_on_nothing(vocabulary, texts):
+    names, some = texts[0] + ["odd"] * len(ODD), texts[1] + ODD
+    for dropout in (0.1, 0.6):
+        whole = pieces.Encoder(vocabulary, 3, dropout).encode(names, some)
+        short = pieces.Encoder(vocabulary, 3, dropout, 0)
+        apart = [short.encode([n], [t])[0] for n, t in zip(names, some)]
+        assert [g.tolist() for g in whole] == [g.tolist() for g in apart]
+
+
+def test_dropped_merges_equal_the_agenda(vocabulary, texts):
+    """The ids of a text are those of each word's own agenda, with the key of its place."""
+    name, text = texts[0][0], texts[1][0]
+    words = pieces._WORDS.findall(" " + text)
+    base = pieces.xxhash.xxh64_intdigest(name, 3)
+    want = [
+        i
+        for k, word in enumerate(words)
+        for i in pieces.agenda_encode(vocabulary, word, pieces._mix((base + k) & pieces._M), 0.2)
+    ]
+    assert pieces.Encoder(vocabulary, 3, 0.2).encode([name], [text])[0].tolist() == want

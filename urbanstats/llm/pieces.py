@@ -1,9 +1,9 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 Each merge candidate is dropped with probability ``dropout``, decided by a keyed hash of
-the word, its variant and the candidate's place in it; the rest is the usual agenda, best
-score first and leftmost on ties. A candidate is decided once, so the result depends on
-nothing but text, id and seed. Decoding any of the segmentations gives the text back.
+the document's id, the word's place in the text and the candidate's place in the word; the
+rest is the usual agenda, best score first and leftmost on ties. A candidate is decided
+once, so the result depends on nothing but text, id and seed. Decoding any of the segmentations gives the text back.
 """
 
 import heapq
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from urbanstats.llm.common import text_table
 
-# Segmentations that a word can have in one corpus; each occurrence draws one of them.
-VARIANTS = 8
 DROPOUT = 0.1
 
 # Words up to this many characters are merged many at a time, longer ones by a heap.
@@ -180,12 +178,13 @@ def _with_bytes(vocabulary, symbols):
     return out
 
 
-def encode_words(vocabulary, words, keys, dropout):
+def encode_words(vocabulary, words, keys, dropout, log=None):
     """What ``agenda_encode`` gives for each of many short words, merged side by side.
 
     Every round takes each word's best candidate that is not dropped; only the pairs
     beside a merge are looked up again. Returns the ids of all words one after the
-    other, and how many each has.
+    other, and how many each has. The merges go to the list ``log``, if given, as
+    arrays (word, start, middle, end).
     """
     table, made = vocabulary.merges
     ranks, size = vocabulary.ranks, len(vocabulary.pieces)
@@ -198,6 +197,7 @@ def encode_words(vocabulary, words, keys, dropout):
     # What is still at work: symbols by their place, and each word's stretch of them.
     place, ids = np.arange(len(codes)), final.copy()
     starts, counts, keys = np.cumsum(lengths) - lengths, lengths, np.asarray(keys, np.uint64)
+    number = np.arange(len(words))
     while len(starts):
         n = len(place)
         word = np.repeat(np.arange(len(starts)), counts)
@@ -235,6 +235,8 @@ def encode_words(vocabulary, words, keys, dropout):
                 break
             left = best & np.int64((1 << 32) - 1)
             right = following[left]
+            if log is not None:
+                log.append((number[word[left]], low[left], high[left], high[right]))
             ids[left], high[left] = result[left], high[right]
             order[right] = none
             alive[place[right]] = False
@@ -250,7 +252,7 @@ def encode_words(vocabulary, words, keys, dropout):
         stay = busy[word] & alive[place]
         place, ids = place[stay], ids[stay]
         counts = np.bincount(word[stay], minlength=len(starts))[busy]
-        keys, lengths = keys[busy], lengths[busy]
+        keys, lengths, number = keys[busy], lengths[busy], number[busy]
         starts = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
     place = np.flatnonzero(alive)
@@ -266,62 +268,87 @@ def encode_words(vocabulary, words, keys, dropout):
     return ids, np.bincount(owner, minlength=len(words))
 
 
+def _gathered(firsts, counts):
+    """The places of many stretches of a pool, one stretch after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(firsts - (ends - counts), counts)
+
+
 class Encoder:
-    """Encodes texts in one task; words met before are looked up."""
+    """Encodes texts in one task.
+
+    Of a short word met before, the plain ids and the merges that make them are looked
+    up: an occurrence that drops none of these merges has the plain ids. Every other one
+    is merged with its own key. What is remembered decides on nothing.
+    """
 
-    def __init__(self, vocabulary, seed, dropout, variants):
+    def __init__(self, vocabulary, seed, dropout, known_words=KNOWN_WORDS):
         self.vocabulary, self.seed, self.dropout = vocabulary, seed, dropout
-        self.variants = variants if dropout > 0 else 1
+        self.known_words = known_words
         self.forget()
 
     def forget(self):
         # A word that is looked up for the first time gets the next number.
         self.index, self.words = defaultdict(count().__next__), []
-        self.hashes, self.lengths = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.full(0, -1, np.int64)
+        self.long = np.zeros(0, bool)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
-
-    def keys_of(self, codes):
-        """The hash keys of words in their variants."""
-        variants = (codes % self.variants).astype(np.uint64)
-        return _mix(self.hashes[codes // self.variants] + variants * np.uint64(0x9E3779B97F4A7C15))
-
-    def learn(self, codes):
-        """Encode the words (and variants) that are new."""
-        met = self.words[len(self.hashes) :]
-        hashes = [xxhash.xxh64_intdigest(w.encode(), self.seed) for w in met]
-        self.hashes = np.r_[self.hashes, np.array(hashes, np.uint64)]
-        self.lengths = np.r_[self.lengths, np.fromiter(map(len, met), np.int64, len(met))]
-        more = len(met) * self.variants
-        self.first = np.r_[self.first, np.zeros(more, np.int64)]
-        self.count = np.r_[self.count, np.full(more, -1, np.int64)]
-        new = np.unique(codes[self.count[codes] < 0])
-        if not len(new):
-            return
-        keys = self.keys_of(new)
-        long = self.lengths[new // self.variants] > SHORT_WORD
-        short, key = new[~long], keys[~long]
-        ids, counts = encode_words(
-            self.vocabulary, [self.words[w] for w in (short // self.variants).tolist()], key, self.dropout
-        )
-        parts = [ids]
-        self.count[short] = counts
-        self.first[short] = self.used + np.cumsum(counts) - counts
-        at = self.used + len(ids)
-        for code, k in zip(new[long].tolist(), keys[long].tolist()):
-            part = agenda_encode(self.vocabulary, self.words[code // self.variants], k, self.dropout)
-            parts.append(np.array(part, np.int64))
-            self.first[code], self.count[code] = at, len(part)
-            at += len(part)
-        while at > len(self.pool):
+        self.merge_first, self.merge_count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.merges, self.merges_used = np.zeros((3, 1 << 16), np.uint8), 0
+
+    def learn(self):
+        """The plain ids of the words that are new, and the merges of the short ones."""
+        met = self.words[len(self.long) :]
+        long = np.fromiter(map(len, met), np.int64, len(met)) > SHORT_WORD
+        counts, merges = np.zeros((2, len(met)), np.int64)
+        short, log, parts = np.flatnonzero(~long), [], []
+        if len(short):
+            ids, counts[short] = encode_words(
+                self.vocabulary, [met[w] for w in short.tolist()], np.zeros(len(short)), 0.0, log
+            )
+            parts.append(ids)
+        first = self.used + np.cumsum(counts) - counts
+        if self.dropout <= 0:
+            # With dropout hardly an occurrence of a long word is plain.
+            at = self.used + sum(map(len, parts))
+            for w in np.flatnonzero(long).tolist():
+                part = agenda_encode(self.vocabulary, met[w], 0, 0.0)
+                parts.append(np.array(part, np.int64))
+                first[w], counts[w] = at, len(part)
+                at += len(part)
+        if log:
+            word, *spans = (np.concatenate(x) for x in zip(*log))
+            order = np.argsort(word, kind="stable")
+            merges[short] = np.bincount(word, minlength=len(short))
+            merged = self.merges_used + len(word)
+            while merged > self.merges.shape[1]:
+                self.merges = np.concatenate((self.merges, np.zeros_like(self.merges)), axis=1)
+            for row, span in zip(self.merges, spans):
+                row[self.merges_used : merged] = span[order]
+        self.merge_first = np.r_[self.merge_first, self.merges_used + np.cumsum(merges) - merges]
+        self.merge_count = np.r_[self.merge_count, merges]
+        self.merges_used += int(merges.sum())
+        self.long = np.r_[self.long, long]
+        self.first, self.count = np.r_[self.first, first], np.r_[self.count, counts]
+        more = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        while self.used + len(more) > len(self.pool):
             self.pool = np.r_[self.pool, np.zeros_like(self.pool)]
-        self.pool[self.used : at] = np.concatenate(parts)
-        self.used = at
+        self.pool[self.used : self.used + len(more)] = more
+        self.used += len(more)
+
+    def dropping(self, codes, keys):
+        """Which occurrences (word numbers and keys) are not known to be plain."""
+        merges = self.merge_count[codes]
+        start, middle, end = self.merges[:, _gathered(self.merge_first[codes], merges)].astype(np.uint64)
+        limit = np.uint64(min(_M, int(self.dropout * 2.0**64)))
+        dropped = _candidate(np.repeat(keys, merges), start, middle, end) < limit
+        found = self.long[codes]
+        found[np.repeat(np.arange(len(codes)), merges)[dropped]] = True
+        return np.flatnonzero(found)
 
     def encode(self, names, texts):
-        """Ids of each text; the name (its id as text) decides on its variants."""
-        if len(self.words) > KNOWN_WORDS:
+        """Ids of each text; the name (its id as text) decides on what is dropped."""
+        if len(self.words) > self.known_words:
             self.forget()
         words, counts = [], []
         for text in texts:
@@ -331,17 +358,29 @@ class Encoder:
         codes = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         self.words.extend(islice(self.index, len(self.words), None))
         counts = np.array(counts, np.int64)
-        if self.variants > 1:
+        self.learn()
+        first, each, pool = self.first[codes], self.count[codes], self.pool
+        if self.dropout > 0:
             name = [xxhash.xxh64_intdigest(n, self.seed) for n in names]
             place = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
-            drawn = _mix(np.repeat(np.array(name, np.uint64), counts) + place.astype(np.uint64))
-            codes = codes * self.variants + (drawn % np.uint64(self.variants)).astype(np.int64)
-        self.learn(codes)
-        each = self.count[codes]
-        ends = np.cumsum(each)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[codes] - (ends - each), each)
-        ids = self.pool[where]
-        bounds = np.r_[0, ends][np.r_[0, np.cumsum(counts)]]
+            keys = _mix(np.repeat(np.array(name, np.uint64), counts) + place.astype(np.uint64))
+            own = self.dropping(codes, keys)
+            long = self.long[codes[own]]
+            short, own = own[~long], own[long]
+            ids, each[short] = encode_words(
+                self.vocabulary, [words[w] for w in short.tolist()], keys[short], self.dropout
+            )
+            parts = [self.pool[: self.used], ids.astype(np.int32)]
+            first[short] = self.used + np.cumsum(each[short]) - each[short]
+            at = self.used + len(ids)
+            for w, key in zip(own.tolist(), keys[own].tolist()):
+                part = agenda_encode(self.vocabulary, words[w], key, self.dropout)
+                parts.append(np.array(part, np.int32))
+                first[w], each[w] = at, len(part)
+                at += len(part)
+            pool = np.concatenate(parts)
+        ids = pool[_gathered(first, each)]
+        bounds = np.r_[0, np.cumsum(each)][np.r_[0, np.cumsum(counts)]]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
@@ -377,19 +416,19 @@ def _with_names(docs):
     return text_table(docs).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
 
 
-def encode_documents(docs, vocabulary, seed=42, dropout=DROPOUT, variants=VARIANTS):
+def encode_documents(docs, vocabulary, seed=42, dropout=DROPOUT):
     """One row per row of ``docs``: doc_id, ids (array of int).
 
     ``dropout`` is the probability that a merge candidate is skipped: 0 gives the plain
-    encoding of the vocabulary, 1 single characters. Each occurrence of a word draws one
-    of ``variants`` segmentations by a hash of the document's id, the word's place and
-    ``seed``; rows that agree in id and text get the same ids. NULL and empty texts have
-    no ids. NULL ids draw as one name. Characters without a piece, the vocabulary's own
+    encoding of the vocabulary, 1 single characters. Each occurrence of a word draws on
+    its own, by a hash of the document's id, the word's place and ``seed``; rows that
+    agree in id and text get the same ids. NULL and empty texts have no ids. NULL ids
+    draw as one name. Characters without a piece, the vocabulary's own
     space symbol among them, are spelled in bytes. Other columns are ignored.
     """
 
     def encode(batches):
-        encoder = Encoder(vocabulary, seed, dropout, variants)
+        encoder = Encoder(vocabulary, seed, dropout)
         for rows, names in _rounds(batches):
             ids = pd.Series(encoder.encode(names, rows["text"].tolist()), rows.index, dtype=object)
             yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": ids})
@@ -403,7 +442,7 @@ _ROUND_TRIP = (
 )
 
 
-def encode_round_trip(docs, vocabulary, seed=42, dropout=DROPOUT, variants=VARIANTS):
+def encode_round_trip(docs, vocabulary, seed=42, dropout=DROPOUT):
     """One row per row of ``docs``: its encoding in figures, and whether it decodes.
 
     Columns: doc_id, n_pieces, n_byte_pieces (of which bytes), ids_sha256 (of the ids as
@@ -413,7 +452,7 @@ def encode_round_trip(docs, vocabulary, seed=42, dropout=DROPOUT, variants=VARIA
     """
 
     def go(batches):
-        encoder = Encoder(vocabulary, seed, dropout, variants)
+        encoder = Encoder(vocabulary, seed, dropout)
         low, high = vocabulary.byte_ids.min(), vocabulary.byte_ids.max()
         for rows, names in _rounds(batches):
             out = []
