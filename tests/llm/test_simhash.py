@@ -116,6 +116,12 @@ def test_one_of_each_group_stays(docs_of, odd_rows):
     assert ids == ["1", "4", "5", "6", "7", "8", "9", "None", "None"]
 
 
+def test_rows_with_one_id_are_judged_in_each_group(docs_of):
+    rows = [(6, "same text here"), (7, "same text here"), (7, "zz unique text"), (7, "a third one"), (7, "a third one")]
+    kept = sorted((r["doc_id"], r["text"]) for r in simhash.keep_firsts(docs_of(rows)).collect())
+    assert kept == [(6, "same text here"), (7, "a third one"), (7, "zz unique text")]
+
+
 def test_components_of_long_chains(spark):
     rnd = random.Random(2)
     order = list(range(300))

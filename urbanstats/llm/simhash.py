@@ -29,24 +29,25 @@ def shingles(words, length):
     return F.when(n > 0, runs)
 
 
-def fingerprints(docs, shingle_words=3):
+def fingerprints(docs, shingle_words=3, with_key=False):
     """One row per row of ``docs``: doc_id, fp (the 64 bits as a long).
 
-    A bit is set if it is set in over half of the shingles' XXH64 (seed 42). A text
+    ``with_key`` adds text_key, the hash of the text. A bit is set if it is set in over half of the shingles' XXH64 (seed 42). A text
     without words, an empty or a NULL one has fingerprint 0.
 
     The bits are counted while the shingles stream by, two counters to a long, so a
     text of any length needs 32 longs.
     """
-    texts = text_table(docs).select(
+    names = ["doc_id", *(["text_key"] if with_key else [])]
+    texts = text_table(docs).withColumn("text_key", F.xxhash64("text")).select(
         F.monotonically_increasing_id().alias("row"),
-        "doc_id",
+        *names,
         words_of(F.translate("text", UPPER, LOWER)).alias("words"),
     )
     hashes = texts.select(
-        "row", "doc_id", F.explode_outer(shingles(F.col("words"), shingle_words)).alias("s")
-    ).select("row", "doc_id", F.when(F.col("s").isNotNull(), F.xxhash64("s")).alias("h"))
-    counts = hashes.groupBy("row", "doc_id").agg(
+        "row", *names, F.explode_outer(shingles(F.col("words"), shingle_words)).alias("s")
+    ).select("row", *names, F.when(F.col("s").isNotNull(), F.xxhash64("s")).alias("h"))
+    counts = hashes.groupBy("row", *names).agg(
         F.count("h").alias("n"),
         *[
             F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LANES))).alias(f"c{k}")
@@ -58,7 +59,7 @@ def fingerprints(docs, shingle_words=3):
         low, high = F.col(f"c{k}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"c{k}", 32)
         for bit, count in ((k, low), (k + 32, high)):
             bits = bits.bitwiseOR(F.when(count * 2 > F.col("n"), _bit(bit)).otherwise(F.lit(0)))
-    return counts.select("doc_id", F.coalesce(bits, F.lit(0).cast("long")).alias("fp"))
+    return counts.select(*names, F.coalesce(bits, F.lit(0).cast("long")).alias("fp"))
 
 
 def _mask(parts, width):
@@ -156,6 +157,20 @@ def similar_pairs(prints, max_bits=3, list_length=LIST_LENGTH):
     )
 
 
+def _components(docs, shingle_words, max_bits, with_key=False):
+    """Fingerprints of the rows with an id, and (fp, label, component_id) of each of them."""
+    prints = stored(
+        fingerprints(docs.filter(F.col("doc_id").isNotNull()), shingle_words, with_key), "fingerprints"
+    )
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    labels = connected_components(similar_pairs(nodes, max_bits), "simhash_components")
+    labelled = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
+        "fp", "first_id", F.coalesce("label", "fp").alias("label")
+    )
+    firsts = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    return prints, labelled.join(firsts, "label").select("fp", "label", "component_id")
+
+
 def near_duplicates(docs, shingle_words=3, max_bits=3):
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -165,16 +180,7 @@ def near_duplicates(docs, shingle_words=3, max_bits=3):
     NULL texts have fingerprint 0 and are linked like any other. Other columns are
     ignored. An empty table gives an empty result.
     """
-    prints = stored(
-        fingerprints(docs.filter(F.col("doc_id").isNotNull()), shingle_words), "fingerprints"
-    )
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    labels = connected_components(similar_pairs(nodes, max_bits), "simhash_components")
-    labelled = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
-        "fp", "first_id", F.coalesce("label", "fp").alias("label")
-    )
-    firsts = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_print = labelled.join(firsts, "label").select("fp", "component_id")
+    prints, by_print = _components(docs, shingle_words, max_bits)
     return prints.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -183,15 +189,21 @@ def near_duplicates(docs, shingle_words=3, max_bits=3):
 def keep_firsts(docs, shingle_words=3, max_bits=3):
     """The rows of ``docs`` less near-duplicates: of each component, its smallest id.
 
-    Of several rows with that id one stays, the one whose text sorts first. Rows with a
-    NULL id stay. The columns are those of ``docs``.
+    Of several rows of a component with that id one stays, the one whose text sorts
+    first; rows with one id in several components are judged in each. Rows with a NULL
+    id stay. The columns are those of ``docs``.
     """
-    found = near_duplicates(docs, shingle_words, max_bits)
-    firsts = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = (
-        docs.join(firsts, "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("one"))
+    prints, by_print = _components(docs, shingle_words, max_bits, with_key=True)
+    firsts = (
+        prints.join(by_print, "fp")
+        .filter(F.col("doc_id") == F.col("component_id"))
+        .select(*[F.col(c).alias(f"_simhash_{c}") for c in ("doc_id", "text_key", "label")])
+        .distinct()
+    )
+    text = F.coalesce(docs["text"], F.lit(""))
+    same = (docs["doc_id"].cast("long") == F.col("_simhash_doc_id")) & (
+        F.xxhash64(text) == F.col("_simhash_text_key")
     )
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+    one = docs.join(firsts, same).groupBy("_simhash_label").agg(F.min_by(row, text).alias("one"))
     return one.select("one.*").unionByName(docs.filter(F.col("doc_id").isNull()))
