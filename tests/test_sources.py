@@ -271,3 +271,12 @@ def test_scratch_path_without_a_shared_folder():
     assert scratch_path(Session(**shared), "t").startswith("hdfs://x/y/urbanstats/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Session(**{"spark.master": "yarn"}), "t")
+
+
+def test_documents_in_any_order_are_bounded(spark, monkeypatch):
+    from workload import derive
+
+    monkeypatch.setattr(derive, "FEATURES_PER_DOCUMENT", 10)
+    path = derive.save_feature_documents_any_order(spark.range(500, numPartitions=3), ["id"], "bounded")
+    sizes = [r["n"] for r in spark.read.json(path).select(F.size("features").alias("n")).collect()]
+    assert sum(sizes) == 500 and max(sizes) <= 10

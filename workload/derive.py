@@ -126,15 +126,17 @@ def save_feature_documents(df, fields, name):
 
 def save_feature_documents_any_order(df, fields, name):
     """One document per line and file part: the type after the properties, one of which is
-    the text ``Feature``, and a reference system behind the features."""
+    the text ``Feature``, and a reference system behind the features. A document has at most
+    100,000 features."""
     path = scratch_path(df.sparkSession, name)
     kind = F.lit("Feature").alias("kind")
     feature = F.struct(F.struct(kind, *fields).alias("properties"), F.lit("Feature").alias("type"))
     system = F.struct(
         F.lit("name").alias("type"), F.struct(F.lit("urn:x").alias("name")).alias("properties")
     )
-    number = F.pmod(F.xxhash64(*fields), F.lit(7))
-    documents = df.groupBy(number.alias("n")).agg(F.collect_list(feature).alias("features"))
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    number = F.call_function("div", F.col("_row"), F.lit(FEATURES_PER_DOCUMENT))
+    documents = rows.groupBy(number.alias("n")).agg(F.collect_list(feature).alias("features"))
     (
         documents.select("n", "features", F.lit("FeatureCollection").alias("type"), system.alias("crs"))
         .write.partitionBy("n")
