@@ -32,7 +32,7 @@ def test_query_equals_its_oracle(spark, name, sf):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from urbanstats.llm.decontaminate import find_contained
+from urbanstats.llm.negatives import mine_hard_negatives
 from urbanstats.llm.pieces import encode_round_trip, read_vocabulary
 from urbanstats.llm.quality import fit_quality, score_quality
 from urbanstats.llm.rendering import extract_text
@@ -112,6 +113,19 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return find_contained(docs, items).drop("text_key")
 
 
+def op13_hard_negative_mining(spark, sf_dir):
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(
+        _table(spark, sf_dir, "embeddings"),
+        F.col("vec_id") % 50 == 0,
+        label=shifted,
+        positives=5,
+        negatives=3,
+        window=(50, 95),
+        scale=256,
+    )
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -123,6 +137,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op13_hard_negative_mining": op13_hard_negative_mining,
 }
 
 # Every shingle of every document against every shingle of every item.
@@ -203,8 +218,36 @@ SELECT page_id, host, fetched, coalesce(n_active, 0) AS n_active, coalesce(lists
 FROM u LEFT JOIN found USING (r)
 """
 
+# Every anchor against every row.
+_OP13 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS alike,
+         list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM v AS a JOIN v AS c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id),
+positives AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+    FROM pairs WHERE alike)
+  WHERE r <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+         p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS "rank"
+  FROM positives AS p JOIN pairs AS n ON p.anchor_id = n.anchor_id AND NOT n.alike
+    AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score)
+SELECT anchor_id, positive_id, "rank", negative_id, positive_score, negative_score
+FROM negatives WHERE "rank" <= 3
+"""
+
 ORACLE = {
     "op8_url_filters": _OP8,
     "op9_exact_top_k": _OP9,
     "op10_benchmark_decontamination": _OP10,
+    "op13_hard_negative_mining": _OP13,
 }

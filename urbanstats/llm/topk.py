@@ -19,8 +19,8 @@ _NONE = np.int64(-(1 << 63))
 _FAR = np.int64((1 << 63) - 1)
 
 
-def integer_vectors(vectors, scale=256):
-    """Rows (vec_id, v): each component as floor(scale * x) of x as a double.
+def integer_vectors(vectors, scale=256, also=()):
+    """Rows (vec_id, v) and the columns of ``also``: each component as floor(scale * x) of x as a double.
 
     Rows with a NULL id, a NULL vector, or a component that is NULL or not finite take no
     part. Equal rows count once. Vectors of different lengths compare as if the shorter
@@ -34,6 +34,7 @@ def integer_vectors(vectors, scale=256):
         .select(
             F.col("vec_id").cast("long").alias("vec_id"),
             F.transform(parts, lambda x: F.floor(x * scale)).alias("v"),
+            *also,
         )
         .distinct()
     )
