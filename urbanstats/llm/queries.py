@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from urbanstats.llm.alignment import align_tokenizers, read_tokenizers
 from urbanstats.llm.decontaminate import find_contained
 from urbanstats.llm.negatives import mine_hard_negatives
 from urbanstats.llm.pieces import encode_round_trip, read_vocabulary
@@ -113,6 +114,15 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return find_contained(docs, items).drop("text_key")
 
 
+def op11_cross_tokenizer_alignment(
+    spark,
+    sf_dir,
+    byte_bpe="/opt/tokenizers/byte_bpe_50k.json",
+    piece_model="/opt/tokenizers/piece_bpe_32k.model",
+):
+    return align_tokenizers(_table(spark, sf_dir, "documents"), read_tokenizers(byte_bpe, piece_model))
+
+
 def op13_hard_negative_mining(spark, sf_dir):
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return mine_hard_negatives(
@@ -137,6 +147,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op13_hard_negative_mining": op13_hard_negative_mining,
 }
 
