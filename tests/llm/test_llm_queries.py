@@ -12,7 +12,7 @@ import corpus_pipeline
 from urbanstats.llm.common import stored
 from urbanstats.llm.queries import ORACLE, QUERIES
 
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE"}
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])

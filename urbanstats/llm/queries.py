@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from urbanstats.llm import minhash
 from urbanstats.llm.alignment import align_tokenizers, read_tokenizers
 from urbanstats.llm.decontaminate import find_contained
 from urbanstats.llm.negatives import mine_hard_negatives
@@ -123,6 +124,10 @@ def op11_cross_tokenizer_alignment(
     return align_tokenizers(_table(spark, sf_dir, "documents"), read_tokenizers(byte_bpe, piece_model))
 
 
+def op12_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
 def op13_hard_negative_mining(spark, sf_dir):
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return mine_hard_negatives(
@@ -148,6 +153,7 @@ QUERIES = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_minhash_near_dedup": op12_minhash_near_dedup,
     "op13_hard_negative_mining": op13_hard_negative_mining,
 }
 
@@ -229,6 +235,32 @@ SELECT page_id, host, fetched, coalesce(n_active, 0) AS n_active, coalesce(lists
 FROM u LEFT JOIN found USING (r)
 """
 
+# Every pair of documents that share a shingle, and all that is reachable over links.
+_OP12 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         [x FOR x IN regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+') IF x <> ''] AS w
+  FROM documents WHERE doc_id IS NOT NULL),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+shared AS (
+  SELECT a.r AS u, b.r AS v, count(*) AS c FROM s AS a JOIN s AS b ON a.s = b.s AND a.r <> b.r GROUP BY ALL),
+links AS (
+  SELECT u, v FROM shared JOIN n AS a ON a.r = u JOIN n AS b ON b.r = v
+  WHERE 100 * c >= 80 * (a.n + b.n - c)),
+reach AS (
+  SELECT r AS u, r AS v FROM w
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+least_id AS (SELECT reach.u AS r, min(w.doc_id) AS c FROM reach JOIN w ON w.r = reach.v GROUP BY reach.u)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c AS component_id, w.doc_id = c AS kept
+FROM w JOIN least_id USING (r) LEFT JOIN n USING (r)
+"""
+
 # Every anchor against every row.
 _OP13 = """
 WITH v AS (
@@ -260,5 +292,6 @@ ORACLE = {
     "op8_url_filters": _OP8,
     "op9_exact_top_k": _OP9,
     "op10_benchmark_decontamination": _OP10,
+    "op12_minhash_near_dedup": _OP12,
     "op13_hard_negative_mining": _OP13,
 }
