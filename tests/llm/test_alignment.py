@@ -115,6 +115,17 @@ def test_units_are_forgotten(spark, docs_of, files, both, monkeypatch):
     assert found(align_tokenizers(docs_of(rows), files, chunk_chars=300)) == plain(rows, both)[0]
 
 
+def test_units_together_and_one_by_one(both):
+    """Units cut out of one encoded text have the ids that each has on its own."""
+    units = [" the", " The", " x\ny", " 1,000.00", " é語", " it's", " ▁", " a", " \x00", " ab" * 1]
+    for some in (units, units[:6], ["  two", " end ", " "], units[:3] * 900):
+        got = both.encode(some)
+        one = [both.encode([u]) for u in some]
+        for x, y in zip(got, zip(*one)):
+            assert x.tolist() == np.concatenate(y).tolist()
+    assert both.encode(units)[4].tolist() == [u != " ▁" for u in units]
+
+
 def test_documents(spark, files, both):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]

@@ -9,6 +9,7 @@ links; walking its postings brings the pair's score back to every document.
 
 import re
 from collections import defaultdict
+from functools import cache
 from hashlib import sha256
 from itertools import count, islice
 
@@ -21,9 +22,11 @@ from urbanstats.llm.common import stored, text_table
 
 # Characters that a task aligns at a time (a text is never cut), documents per block at
 # most (16 bits number them), and units that a task remembers.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 BLOCK_DOCUMENTS = 1 << 16
-KNOWN_UNITS = 400_000
+KNOWN_UNITS = 200_000
+# Units that are encoded as one text.
+TOGETHER = 2048
 # Pairs are dealt to so many buckets, and blocks to ranges of about so many bytes of text:
 # a task merges one bucket of one range, so that a pair that is everywhere has a row per
 # range and no task ever holds all of its documents.
@@ -77,13 +80,63 @@ class Tokenizers:
         ]
         if max(len(self.bytes_a), len(self.bytes_b)) > 1 << _ID_BITS:
             raise ValueError(f"vocabularies of up to {1 << _ID_BITS} entries")
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         self.space = self.b.piece_to_id("▁")
 
     def encode(self, units):
-        """Ids of both for each unit, all of which begin with a space."""
-        a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        """(ids of a, ids of b, how many of a each unit has, how many of b, which are whole).
+
+        All units begin with a space. Units that end in something else than white space
+        are encoded as one text, many at a time, and cut apart by their bytes. A unit that
+        either tokenizer does not give back byte by byte is not whole and has no ids.
+        """
+        parts = []
+        for i in range(0, len(units), TOGETHER):
+            some = units[i : i + TOGETHER]
+            parts.append(self._together(some) or self._one_by_one(some))
+        return [np.concatenate(x) for x in zip(*parts)]
+
+    def _together(self, units):
+        """As ``encode``; None where the units have to be looked at one by one."""
+        if any(u[-1].isspace() for u in units):
+            return None
+        text = "".join(units)
+        raw, ends = text.encode("utf-8"), np.cumsum([len(u.encode("utf-8")) for u in units])
+        found = []
+        for ids, table, sizes in (
+            (self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.bytes_a, self.sizes_a),
+            (self.b.encode(text[1:]), self.bytes_b, self.sizes_b),
+        ):
+            if b"".join([table[x] for x in ids]) != raw:
+                return None
+            ids = np.array(ids, np.int64)
+            token_ends = np.cumsum(sizes[ids])
+            last = np.searchsorted(token_ends, ends)
+            if (token_ends[last] != ends).any():
+                return None
+            found.append((ids, np.diff(last, prepend=-1)))
+        (a, n_a), (b, n_b) = found
+        return a, b, n_a, n_b, np.ones(len(units), bool)
+
+    def _one_by_one(self, units):
+        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
         b = self.b.encode([u[1:] for u in units], num_threads=1)
-        return a, [ids if u != " " else [self.space] for u, ids in zip(units, b)]
+        whole = []
+        for i, unit in enumerate(units):
+            raw = unit.encode("utf-8")
+            b[i] = [self.space] if unit == " " else b[i]
+            parts = ([self.bytes_a[x] for x in a[i]], [self.bytes_b[x] for x in b[i]])
+            whole.append(all(b"".join(x) == raw for x in parts))
+            if not whole[-1]:
+                a[i], b[i] = [], []
+        flat = [np.array([x for some in ids for x in some], np.int64) for ids in (a, b)]
+        return *flat, *(np.array(list(map(len, ids)), np.int64) for ids in (a, b)), np.array(whole, bool)
+
+
+@cache
+def _tokenizers(files):
+    """One pair of tokenizers for all tasks of a Python worker."""
+    return Tokenizers(files)
 
 
 def _places(sizes):
@@ -163,23 +216,16 @@ class Units:
         if not new:
             return
         t = self.tokenizers
-        a, b = t.encode(new)
-        whole = np.zeros(len(new), bool)
-        for i, unit in enumerate(new):
-            raw = unit.encode("utf-8")
-            whole[i] = b"".join([t.bytes_a[x] for x in a[i]]) == raw == b"".join([t.bytes_b[x] for x in b[i]])
-        some = np.flatnonzero(whole).tolist()
-        flat_a, flat_b = ([x for i in some for x in ids[i]] for ids in (a, b))
-        n_a, n_b = (np.array([len(ids[i]) for i in some], np.int64) for ids in (a, b))
+        a, b, n_a, n_b, whole = t.encode(new)
+        some = np.flatnonzero(whole)
         numbers = np.zeros((4, len(new)), np.int64)
         texts = [b""] * len(new)
         links = np.zeros(0, np.int64)
-        if some:
-            size_a, size_b = ([len(t.bytes_a[x]) for x in flat_a], [len(t.bytes_b[x]) for x in flat_b])
-            arrays = (np.array(x, np.int64) for x in (flat_a, flat_b, size_a, size_b))
-            links, n_links, n_groups, found = align(*arrays, n_a, n_b)
+        if len(some):
+            n_a, n_b = n_a[some], n_b[some]
+            links, n_links, n_groups, found = align(a, b, t.sizes_a[a], t.sizes_b[b], n_a, n_b)
             numbers[:, some] = n_a, n_b, n_groups, n_links
-            for i, text in zip(some, found):
+            for i, text in zip(some.tolist(), found):
                 texts[i] = text
         first = len(self.links) + _places(numbers[3])
         for name, more in zip(
@@ -300,7 +346,7 @@ def _index(files, buckets, most):
     """Function for mapInPandas: a row per document, and the index of each block."""
 
     def index(batches):
-        known, block = Units(Tokenizers(files)), None
+        known, block = Units(_tokenizers(files)), None
         for ids, texts in _chunks(batches, most):
             # Blocks are numbered within the task's partition, so a task that runs again
             # gives the same numbers.
