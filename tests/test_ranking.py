@@ -63,6 +63,45 @@ def test_large_n_ranks_in_parts(spark, plan, conf):
         assert {(r["g"], r["id"], r["ranking"]) for r in top.collect()} == brute_force(rows, n)
 
 
+def jobs_of(spark, work):
+    """How many Spark jobs a function starts."""
+    sc = spark.sparkContext
+    sc.setJobGroup("counted", "")
+    before = set(sc.statusTracker().getJobIdsForGroup("counted"))
+    try:
+        work()
+        return len(set(sc.statusTracker().getJobIdsForGroup("counted")) - before)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_runs_no_job(spark):
+    """Also over an aggregation, whose partitions are known only once it has run."""
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("g"), (F.col("id") % 100).alias("id")).count()
+    made = []
+    assert jobs_of(spark, df.collect) > 0
+    assert jobs_of(spark, lambda: made.append(top_n_per_group(df, ["g"], ["id"], 2, in_parts=True))) == 0
+    assert len(made[0].collect()) == 14
+
+
+def test_parts_are_bounded(spark):
+    """A group that holds everything is dealt evenly, also where its rows lie together."""
+    df = spark.range(64_000).select(F.lit("hot").alias("g"), "id").coalesce(1)
+    top = top_n_per_group(df, ["g"], [F.desc("id")], 100, in_parts=True, parts=64)
+    assert [r["id"] for r in top.orderBy("ranking").collect()] == list(range(63_999, 63_899, -1))
+    sizes = df.groupBy(F.pmod(F.xxhash64("g", "id"), F.lit(64))).count().agg(F.max("count")).first()[0]
+    assert sizes < 1300
+    tree = top._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(" in tree and "spark_partition_id" not in tree
+
+
+def test_columns_without_a_hash(spark):
+    rows = [("a", {"x": 1}, 1), ("a", {"y": 2}, 2), ("b", None, 3)]
+    df = spark.createDataFrame(rows, "g string, m map<string,int>, id int")
+    got = top_n_per_group(df, ["g"], [F.desc("id")], 1, in_parts=True, parts=3)
+    assert sorted((r["g"], r["id"]) for r in got.collect()) == [("a", 2), ("b", 3)]
+
+
 def test_rank_months_breaks_ties_by_month(spark):
     counts = spark.createDataFrame(
         [(2010, 3, 5), (2010, 1, 5), (2010, 2, 9), (2011, 7, 1)], "year int, month int, total bigint"

@@ -1,9 +1,11 @@
 import glob
+from threading import Event, Thread
 
 import pytest
 from pyspark.sql import functions as F
 
 from urbanstats.sources import csv_to_parquet, preview, read_csv, write_csv
+from urbanstats.sources.sessions import session_with
 
 
 def files(path):
@@ -56,6 +58,32 @@ def test_the_callers_cache_stays(spark, result, tmp_path):
         result.unpersist()
 
 
+@pytest.mark.parametrize("order", [(), ("id",)])
+@pytest.mark.parametrize("single", [0, 10, 1000])
+def test_the_source_is_computed_once(spark, tmp_path, single, order):
+    """Each row of the source is seen once, for a small and a large result, sorted or not."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def watched(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(200, numPartitions=4).select(watched("id").alias("id"))
+    out = str(tmp_path / "r")
+    write_csv(df, out, single_file_rows=single, order=order)
+    assert seen.value == 200
+    assert sorted(int(r["id"]) for r in read_csv(spark, out).collect()) == list(range(200))
+
+
+def test_single_file_keeps_the_order_of_the_rows(spark, tmp_path):
+    out = str(tmp_path / "r")
+    df = spark.range(500, numPartitions=8).select(F.col("id").alias("_row")).orderBy(F.desc("_row"))
+    write_csv(df, out, header=False, single_file_rows=500)
+    (only,) = files(out)
+    assert [int(line) for line in open(only)] == list(range(499, -1, -1))
+
+
 def test_parallel_by_default(spark, result, tmp_path):
     out = str(tmp_path / "r")
     write_csv(result, out)
@@ -106,6 +134,38 @@ def test_csv_to_parquet_keeps_the_sessions_settings(spark, result, tmp_path, con
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+def test_csv_to_parquet_leaves_other_threads_alone(spark, result, tmp_path, conf):
+    """While files are converted, another thread finds the session's own settings."""
+    conf(spark__sql__files__maxPartitionBytes="7m")
+    source, out = str(tmp_path / "csv"), str(tmp_path / "parquet")
+    write_csv(result, source)
+    found, over = set(), Event()
+
+    def watch():
+        while not over.is_set():
+            found.add(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+    thread = Thread(target=watch)
+    thread.start()
+    try:
+        for _ in range(3):
+            assert csv_to_parquet(spark, source, out) == 100
+    finally:
+        over.set()
+        thread.join()
+    assert found == {"7m"}
+
+
+def test_session_with_settings(spark, conf):
+    conf(spark__sql__shuffle__partitions="13")
+    other = session_with(spark, spark__sql__files__maxPartitionBytes="5m")
+    assert other.conf.get("spark.sql.shuffle.partitions") == "13"
+    assert other.conf.get("spark.sql.files.maxPartitionBytes") == "5m"
+    assert other.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != "5m"
+    assert other.sparkContext is spark.sparkContext
+
+
 def test_preview(spark, result, plan):
     got = preview(result, [F.desc("v")], 3)
     assert [r["id"] for r in got.collect()] == [99, 98, 97]

@@ -14,17 +14,18 @@ def _keep_first(df, group, order, n, name):
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
 
 
-def top_n_per_group(df, group, order, n, name="ranking", in_parts=None):
+def top_n_per_group(df, group, order, n, name="ranking", in_parts=None, parts=None):
     """The first ``n`` rows of each group by ``order``, with their rank.
 
     ``order`` should end in a tie-break, or equal rows come in any order.
 
     While ``n`` is below ``spark.sql.optimizer.windowGroupLimitThreshold``, Spark cuts
-    each group to ``n`` rows before the shuffle. ``in_parts`` ranks each group within
-    every input partition first and merges the winners 64 parts at a time, so that no
-    task sorts a whole group however many partitions hold it; it is set for a larger
-    ``n``. Parts follow the input partition, which is the same when a lost task runs
-    again. The result is exact either way.
+    each group to ``n`` rows before the shuffle. ``in_parts`` deals each group's rows to
+    ``parts`` parts first, ranks each part, and merges the winners 64 parts at a time, so
+    that no task sorts a whole group, wherever its rows lie; it is set for a larger
+    ``n``. ``parts`` is the number of shuffle partitions unless given. A row's part
+    follows a hash of all its columns: the same when a lost task runs again, and known
+    without looking at the input. The result is exact either way.
     """
     if in_parts is None:
         limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
@@ -33,16 +34,26 @@ def top_n_per_group(df, group, order, n, name="ranking", in_parts=None):
         raise ValueError("n must be at least 1")
     if in_parts:
         part, rank = unused("_part", df), unused("_rank", df)
-        parts = df.rdd.getNumPartitions()
-        df = df.withColumn(part, F.spark_partition_id())
-        while parts > 1:
+        left = int(parts or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        own = F.pmod(_row_hash(df), F.lit(left).cast("bigint"))
+        df = df.withColumn(part, own)
+        while left > 1:
             df = _keep_first(df, [*group, part], order, n, rank).drop(rank)
-            parts = -(-parts // PARTS_PER_MERGE)
-            df = df.withColumn(part, F.floor(F.col(part) / PARTS_PER_MERGE).cast("int"))
+            left = -(-left // PARTS_PER_MERGE)
+            df = df.withColumn(part, F.floor(F.col(part) / PARTS_PER_MERGE))
         df = df.drop(part)
     return _keep_first(df, group, order, n, name)
 
 
+def _row_hash(df):
+    """Hash of all columns of a row; maps, which have no hash, as their entries in order."""
+    columns = [
+        F.array_sort(F.map_entries(f"`{c}`")) if kind.startswith("map") else F.col(f"`{c}`")
+        for c, kind in df.dtypes
+    ]
+    return F.xxhash64(*columns)
+
+
 def rank_months(counts, value="total", name="ranking"):
     """Rank the months of each year, most rows first, earlier month first on ties.
 

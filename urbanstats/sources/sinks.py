@@ -1,7 +1,12 @@
 """Saving results."""
 
+from pyspark.sql import functions as F
+
 from urbanstats.operators.aggregates import row_count
+from urbanstats.operators.names import unused
 from urbanstats.sources.csv_files import CSV_QUOTING, read_csv
+from urbanstats.sources.scratch import scratch_path
+from urbanstats.sources.sessions import session_with
 
 # Blanks at the ends of a value are kept, unlike by default.
 CSV_WRITE = {**CSV_QUOTING, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -11,17 +16,25 @@ def write_csv(df, path, sep=",", header=True, mode="overwrite", single_file_rows
     """Save as CSV, in parallel: one file per partition.
 
     With ``order`` the rows are sorted over all files, first file first.
-    ``single_file_rows`` saves results of up to that many rows as one file: so many rows
-    and one are fetched, and if that was all they are what is saved. A larger result is
-    computed anew and saved whole, in parallel. Nothing is cached.
+    ``single_file_rows`` saves results of up to that many rows as one file, in ``order``
+    or else in that of ``df``, and larger ones whole, in parallel.
+
+    Either computes ``df`` once: it is staged as Parquet in the scratch folder, the rows
+    are counted from the footers, and sorting samples the staged rows. Nothing is cached,
+    and no rows go to the driver.
     """
-    if order:
-        df = df.orderBy(*order)
-    if single_file_rows:
-        rows = df.limit(single_file_rows + 1).collect()
-        if len(rows) <= single_file_rows:
-            df = df.sparkSession.createDataFrame(rows, df.schema).coalesce(1)
-    _save_csv(df, path, sep, header, mode)
+    if not order and not single_file_rows:
+        _save_csv(df, path, sep, header, mode)
+        return
+    spark, staged = df.sparkSession, scratch_path(df.sparkSession, "staged")
+    row = unused("_row", df)
+    df.withColumn(row, F.monotonically_increasing_id()).write.parquet(staged)
+    rows = spark.read.parquet(staged)
+    if rows.count() <= single_file_rows:
+        rows = rows.coalesce(1).sortWithinPartitions(*(order or [row]))
+    elif order:
+        rows = rows.orderBy(*order)
+    _save_csv(rows.drop(row), path, sep, header, mode)
 
 
 def _save_csv(df, path, sep, header, mode):
@@ -33,16 +46,11 @@ def csv_to_parquet(spark, paths, out, sep=",", required=(), split_bytes="1g"):
 
     The count comes from the Parquet footers, not from a second CSV scan. One task
     reads up to ``split_bytes`` of a large input, so that the compressed files do
-    not come out small; a small input is still spread over all cores. The session's
-    other settings hold; the one made here is put back.
+    not come out small; a small input is still spread over all cores. That setting is made
+    in a session of its own, which has all others of ``spark``.
     """
-    name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, split_bytes)
-    try:
-        read_csv(spark, paths, sep=sep, required=required).write.mode("overwrite").parquet(out)
-    finally:
-        spark.conf.set(name, before)
+    reading = session_with(spark, spark__sql__files__maxPartitionBytes=split_bytes)
+    read_csv(reading, paths, sep=sep, required=required).write.mode("overwrite").parquet(out)
     return row_count(spark.read.parquet(out)).first()["rows"]
 
 
