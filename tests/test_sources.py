@@ -9,6 +9,7 @@ from urbanstats.sources import (
     read_csv,
     read_csv_by_name,
     read_features,
+    rejected_lines,
     scratch_path,
 )
 
@@ -65,6 +66,61 @@ def test_csv_with_given_columns_drops_header_lines(spark, save):
     assert tuples(got) == sorted([("1", "a;b, c"), ("2", None), (None, "only v")], key=repr)
 
 
+LONG = [
+    "2,b,EXTRA,MORE",
+    "3,b,",
+    '4,"a, ""b"" c",x',
+    '5, "p,q" ,,',
+    ",,,,",
+    '6,5" pipe,z',
+    '7,"","",""',
+]
+FITTING = ['8,"x, y"', "9", "10,", '"11,a","b""c"', ',"only, v"', '12,5" pipe', " 13 , b "]
+
+
+@pytest.mark.parametrize("columns", [None, ["k", "v"]])
+def test_lines_with_too_many_fields(spark, save, columns):
+    """Rejected lines come out whole, with their count; all others are good rows."""
+    lines = [x for pair in zip(LONG, FITTING) for x in pair]
+    path = save("long.csv", "k,v\n\n" + "\n".join(lines) + "\n")
+    rejected = rejected_lines(spark, path, columns=columns)
+    assert rejected.columns == ["line", "fields", "file"]
+    found = {r["line"]: r["fields"] for r in rejected.collect()}
+    assert found == dict(zip(LONG, [4, 3, 3, 4, 5, 3, 4]))
+    assert {r["file"].rsplit("/", 1)[1] for r in rejected.collect()} == {"long.csv"}
+    good = read_csv(spark, path, columns=columns, long_lines="drop")
+    clean = save("clean.csv", "k,v\n" + "\n".join(FITTING) + "\n")
+    assert good.columns == ["k", "v"]
+    assert tuples(good) == tuples(read_csv(spark, clean, columns=columns))
+    assert tuples(good.select("v")) == tuples(read_csv(spark, clean, columns=columns).select("v"))
+    assert good.count() == len(FITTING)
+    assert tuples(read_csv(spark, clean, columns=columns, long_lines="raise")) == tuples(good)
+    with pytest.raises(Exception, match="fields instead of 2"):
+        read_csv(spark, path, columns=columns, long_lines="raise").collect()
+    with pytest.raises(Exception, match="fields instead of 2"):
+        read_csv(spark, path, columns=columns, long_lines="raise").select("k").count()
+    assert read_csv(spark, path, columns=columns).count() == len(lines)
+
+
+def test_long_lines_with_other_separators(spark, save):
+    for sep in (";", "|", "\t", "||"):
+        path = save("sep.csv", sep.join("kv") + "\n" + sep.join("123") + "\n" + sep.join("45") + "\n")
+        assert [r["fields"] for r in rejected_lines(spark, path, sep=sep).collect()] == [3]
+        assert tuples(read_csv(spark, path, sep=sep, long_lines="drop")) == [("4", "5")]
+
+
+def test_long_lines_arguments(spark, save):
+    path = save("a.csv", "_line,v\n1,2\n3,4,5\n")
+    with pytest.raises(ValueError, match="long lines"):
+        read_csv(spark, path, long_lines="keep")
+    assert tuples(read_csv(spark, path, long_lines="drop")) == [("1", "2")]
+    with pytest.raises(ValueError, match="missing"):
+        read_csv(spark, path, long_lines="drop", required=["w"])
+    other = save("b.csv", "v,_line\n1,2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, [path, other], long_lines="drop").collect()
+
+
 def test_csv_split_over_tasks(spark, save, conf):
     """The same rows come whatever the splits, also across quoted fields."""
     lines = [f'{i},"a, ""{i}"" b",{"x" * (i % 50)}' for i in range(2000)]

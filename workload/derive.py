@@ -185,6 +185,26 @@ def messy_lines(spark, sf_dir):
     return path
 
 
+def lines_of_any_length(spark, sf_dir):
+    """Events as hand-made CSV lines of two columns, saved as text.
+
+    Errors have a third field, clicks a quoted comma and two more fields, views a quoted
+    comma only, and purchases one field.
+    """
+    kind, key = F.col("event_type"), F.col("event_id").cast("string")
+    user = F.col("user_id").cast("string")
+    line = (
+        F.when(kind == "error", F.concat(key, F.lit(",error,"), user))
+        .when(kind == "click", F.concat(key, F.lit(',"a, ""b""",'), user, F.lit(",")))
+        .when(kind == "view", F.concat(key, F.lit(',"view, '), user, F.lit('"')))
+        .when(kind == "purchase", key)
+        .otherwise(F.concat(key, F.lit(","), kind))
+    )
+    path = scratch_path(spark, "lines")
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return path
+
+
 def order_texts(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Order No"),

@@ -167,6 +167,17 @@ ORACLE = {
         FROM events
         UNION ALL SELECT NULL, 'real', user_id FROM events WHERE event_type = 'error'
     """,
+    "csv_rejected_lines": """
+        SELECT event_id || ',error,' || user_id AS line, CAST(3 AS INTEGER) AS fields
+        FROM events WHERE event_type = 'error'
+        UNION ALL
+        SELECT event_id || ',"a, "' || '"b"' || '"",' || user_id || ',', 4 FROM events WHERE event_type = 'click'
+    """,
+    "csv_without_rejected": """
+        SELECT event_id,
+          CASE event_type WHEN 'view' THEN 'view, ' || user_id WHEN 'purchase' THEN NULL ELSE event_type END AS note
+        FROM events WHERE event_type NOT IN ('error', 'click')
+    """,
     "csv_sink_roundtrip": ORDERS,
     "csv_single_file": DAY_PART_SHARE,
     "csv_sink_without_header": ORDERS,

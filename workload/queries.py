@@ -37,6 +37,7 @@ from urbanstats.sources import (
     read_csv,
     read_csv_by_name,
     read_features,
+    rejected_lines,
     scratch_path,
     write_csv,
 )
@@ -312,6 +313,17 @@ def csv_dirty_rows(spark, sf_dir):
     )
 
 
+def csv_rejected_lines(spark, sf_dir):
+    path = derive.lines_of_any_length(spark, sf_dir)
+    return rejected_lines(spark, path, columns=["event_id", "note"]).select("line", "fields")
+
+
+def csv_without_rejected(spark, sf_dir):
+    path = derive.lines_of_any_length(spark, sf_dir)
+    rows = read_csv(spark, path, columns=["event_id", "note"], long_lines="drop")
+    return rows.select(F.col("event_id").try_cast("bigint").alias("event_id"), "note")
+
+
 def csv_sink_roundtrip(spark, sf_dir):
     return derive.typed_orders(derive.reread_csv(derive.order_texts(spark, sf_dir), "orders"))
 
@@ -409,6 +421,8 @@ QUERIES = {
     "csv_by_name": csv_by_name,
     "csv_semicolon": csv_semicolon,
     "csv_dirty_rows": csv_dirty_rows,
+    "csv_rejected_lines": csv_rejected_lines,
+    "csv_without_rejected": csv_without_rejected,
     "csv_sink_roundtrip": csv_sink_roundtrip,
     "csv_single_file": csv_single_file,
     "csv_sink_without_header": csv_sink_without_header,
