@@ -4,7 +4,15 @@ from hashlib import md5
 import numpy as np
 import pytest
 
-from urbanstats.llm.minhash import band_keys, near_duplicates, permutations, signature
+from urbanstats.llm import minhash
+from urbanstats.llm.minhash import (
+    band_keys,
+    joined_labels,
+    near_duplicates,
+    permutations,
+    shared_counts,
+    signature,
+)
 
 COLUMNS = ["doc_id", "n_shingles", "component_id", "kept"]
 
@@ -61,7 +69,15 @@ def test_odd_rows(docs_of, odd_rows, space):
     assert found(near_duplicates(docs_of(rows), chunk_chars=500)) == plain(rows, space)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"list_length": 4}, {"bands": 24, "values": 2, "list_length": 8}])
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {},
+        {"list_length": 4},
+        {"list_length": 4, "block_shingles": 300},
+        {"bands": 24, "values": 2, "list_length": 8, "block_shingles": 500},
+    ],
+)
 def test_groups_of_near_copies(docs_of, space, sizes):
     """Short lists, and long ones compared block by block, give all components."""
     rows = near_copies(random.Random(3), 6, 25)
@@ -79,7 +95,7 @@ def test_similar_texts_below_the_threshold(docs_of, space):
     rows += [(100 + i, rows[i][1] + f" {rnd.random()}") for i in range(0, 60, 9)]
     want = plain(rows, space)
     assert len({c for _, _, c, _ in want}) == 60
-    assert found(near_duplicates(docs_of(rows), list_length=10)) == want
+    assert found(near_duplicates(docs_of(rows), list_length=10, block_shingles=1000)) == want
 
 
 def test_threshold_is_exact(docs_of, space):
@@ -93,6 +109,20 @@ def test_empty_table(docs_of):
     assert found(near_duplicates(docs_of([(3, None), (None, "a")]))) == [(3, 0, 3, True)]
 
 
+def test_shared_counts(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 50))) for _ in range(30)]
+    got = shared_counts(sets[:12], sets[12:])
+    assert got.tolist() == [[len(set(a) & set(b)) for b in sets[12:]] for a in sets[:12]]
+
+
+def test_joined_labels():
+    alike = np.array([[1, 0, 0], [1, 1, 0], [0, 0, 0], [0, 0, 1]], bool)
+    names, joined = joined_labels(alike, np.array([9, 4, 5, 6]), np.array([7, 8, 5]))
+    assert dict(zip(names.tolist(), joined.tolist())) == {4: 4, 5: 5, 6: 5, 7: 4, 8: 4, 9: 4}
+
+
 def test_signatures_estimate_the_similarity():
     """Smallest and largest values together are unbiased, with half of the permutations."""
     rnd = random.Random(2)

@@ -19,8 +19,11 @@ from urbanstats.llm.windows import WordHashes, spread, windows_of
 # all bands with a chance of (1 - 0.8 ** 6) ** 64, about 4 in a billion.
 BANDS = 64
 VALUES = 6
-# Lists of more sets than this are compared block by block, so many sets to a block.
+# Lists of more sets than this are compared block by block; a block has about so many
+# shingles (1.6 MB), and so many columns of it are multiplied at a time.
 LIST_LENGTH = 64
+BLOCK_SHINGLES = 200_000
+COLUMNS = 4096
 # Characters that a task signs at a time, and shingles that are permuted at a time.
 CHUNK_CHARS = 2_000_000
 STEP = 4096
@@ -200,42 +203,76 @@ def _pairs_of_short(lists, percent):
     )
 
 
+def shared_counts(first, second):
+    """How many elements each set of one list shares with each set of another.
+
+    Only elements of several sets count; they are the columns of two matrices of zeros
+    and ones, whose product is exact in float32 below 2**24.
+    """
+    sets = [*first, *second]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = times > 1
+    owner, column = owner[several[column]], (np.cumsum(several) - 1)[column[several[column]]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(first), len(second)), np.float32)
+    for a in range(0, int(several.sum()), COLUMNS):
+        x, y = np.searchsorted(column, (a, a + COLUMNS))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[x:y], column[x:y] - a] = 1
+        total += held[: len(first)] @ held[len(first) :].T
+    return total.astype(np.int64)
+
+
+def joined_labels(alike, left, right):
+    """The smallest label that each label is connected with.
+
+    ``alike`` says which rows (with the labels ``left``) go with which columns (``right``).
+    """
+    names, codes = np.unique(np.concatenate((left, right)), return_inverse=True)
+    best = np.arange(len(names))
+    a, b = codes[: len(left)], codes[len(left) :]
+    while True:
+        now = best.copy()
+        np.minimum.at(now, a, np.where(alike, best[b], len(names)).min(1, initial=len(names)))
+        np.minimum.at(now, b, np.where(alike, best[a][:, None], len(names)).min(0, initial=len(names)))
+        now = np.minimum(now, now[now])
+        if (now == best).all():
+            return names, names[best]
+        best = now
+
+
 def _compare(percent):
-    """Function for applyInPandas: links between two blocks of a list, as a forest.
+    """Function for applyInPandas: which components two blocks of a list join, and by which nodes.
 
-    Pairs that are connected already, by their labels or by links found here, are skipped.
+    All pairs of the blocks are compared on their full sets at once; a row comes out for
+    each component that is joined with another, not for each pair.
     """
 
     def compare(rows):
-        first, second = rows["block"].to_numpy() == rows["i"], rows["block"].to_numpy() == rows["j"]
-        root = {label: label for label in rows["label"]}
-
-        def find(x):
-            while root[x] != x:
-                x = root[x]
-            return x
-
-        nodes, labels, sets = (rows[c].tolist() for c in ("node", "label", "hashes"))
-        out = []
-        for x in np.flatnonzero(first):
-            for y in np.flatnonzero(second):
-                a, b = sorted((len(sets[x]), len(sets[y])))
-                if nodes[x] == nodes[y] or 100 * a < percent * b or find(labels[x]) == find(labels[y]):
-                    continue
-                shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if shared * 100 >= (a + b - shared) * percent:
-                    root[find(labels[x])] = find(labels[y])
-                    out.append((nodes[x], nodes[y]))
+        one, other = rows[rows["block"] == rows["i"]], rows[rows["block"] == rows["j"]]
+        if not len(one) or not len(other):
+            return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
+        first, second = one["hashes"].tolist(), other["hashes"].tolist()
+        n, m = (np.fromiter(map(len, x), np.int64, len(x)) for x in (first, second))
+        shared = shared_counts(first, second)
+        alike = 100 * shared >= percent * (n[:, None] + m - shared)
+        left, right = one["label"].to_numpy(np.int64), other["label"].to_numpy(np.int64)
+        names, joined = joined_labels(alike, left, right)
+        node_of = dict(zip([*left, *right], [*one["node"], *other["node"]]))
+        out = [(node_of[x], node_of[y]) for x, y in zip(names.tolist(), joined.tolist()) if x != y]
         return pd.DataFrame(out, columns=["u", "v"])
 
     return compare
 
 
-def _links_of_long(lists, sets, percent, list_length):
+def _links_of_long(lists, sets, percent, block_shingles):
     """Links that join components within long lists, block by block."""
-    blocks = F.ceil(F.col("size") / list_length)
-    own = F.pmod(F.xxhash64("node"), blocks)
-    placed = lists.select("key", "node", "label", own.alias("block"), blocks.alias("blocks"))
+    weights = lists.groupBy("key").agg(F.ceil(F.sum("n") / block_shingles).alias("blocks"))
+    placed = lists.join(stored(weights, "minhash_blocks"), "key").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks"))
+    )
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     met = placed.withColumn("other", others).select(
         "key", "node", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
@@ -255,6 +292,7 @@ def near_duplicates(
     bands=BANDS,
     values=VALUES,
     list_length=LIST_LENGTH,
+    block_shingles=BLOCK_SHINGLES,
     chunk_chars=CHUNK_CHARS,
 ):
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
@@ -312,7 +350,7 @@ def near_duplicates(
     pairs = _pairs_of_short(short, percent).join(first, ["u", "v"], "left_anti")
     links = links.unionByName(sets.links(stored(pairs, "minhash_pairs")))
     if not long_.isEmpty():
-        links = links.unionByName(_links_of_long(long_, sets, percent, list_length))
+        links = links.unionByName(_links_of_long(long_, sets, percent, block_shingles))
     labels = connected_components(links, "minhash_components")
     labelled = stored(
         nodes.select("node", "doc_id", "set_key")
