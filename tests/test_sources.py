@@ -237,6 +237,28 @@ def test_members_in_any_order(spark, save, layout):
     assert read(spark, folder, layout) == sorted(want + [(None, None, None)] * 2, key=repr)
 
 
+def test_text_is_read_once(spark, save, plan):
+    """The checked reader scans the text in one job; what it gives back is no text."""
+    path = save("once.json", json.dumps(document([feature(*f) for f in FEATURES])))
+    df = read_features(spark, path)
+    assert "Scan text" not in plan(df) and "Scan parquet" in plan(df)
+    assert plan(read_features(spark, path, check=False)).count("Scan text") == 2
+    assert tuples(feature_properties(df)) == WANT
+
+
+def test_brackets_within_texts(spark, save):
+    """They do not count, with escapes or without; brackets outside do."""
+    texts = ["}", "]]", "{[", 'a "}" b', "\\", '\\" ]', "{", "é}", ""]
+    rows = [dict(feature(str(i), i, 1), note=t) for i, t in enumerate(texts)]
+    whole = json.dumps(document(rows), ensure_ascii=False)
+    want = sorted((str(i), str(i), "1") for i in range(len(texts)))
+    assert read(spark, save("b.json", whole), "split") == want
+    for i, cut in enumerate(("]}", "}", "]")):
+        odd = whole[: len(whole) - len(cut)] if whole.endswith(cut) else whole.replace("]]]", "]]", 1)
+        with pytest.raises(ValueError, match="cut short"):
+            read_features(spark, save(f"b{i}.json", odd))
+
+
 @pytest.mark.parametrize("layout", DOCUMENTS)
 def test_cut_documents_raise(spark, save, layout):
     text = json.dumps(document([feature(*f) for f in FEATURES[:3]]))

@@ -6,6 +6,7 @@ from operator import and_
 from pyspark.sql import functions as F
 
 from urbanstats.schemas import BLOCK_COLUMNS, feature_collection_schema, feature_schema
+from urbanstats.sources.scratch import scratch_path
 
 LAYOUTS = ("split", "document", "document_lines", "feature_lines")
 
@@ -32,9 +33,10 @@ def read_features(spark, paths, fields=BLOCK_COLUMNS, layout="split", check=True
 
     All layouts give the same rows, and raise where a document or a line is malformed or
     cut short. ``split`` also raises where ``"properties"`` is a value, or a member of
-    something inside a feature; the other layouts read such documents. It reads the text
-    a second time to see that each file is complete, at once; ``check=False`` saves that
-    for files known to be.
+    something inside a feature; the other layouts read such documents. To see that each
+    file is complete it reads all files at once: the wanted properties go to the scratch
+    folder in the same pass that counts brackets, and are read from there. ``check=False``
+    reads lazily instead, for files known to be complete.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}, use one of {LAYOUTS}")
@@ -73,29 +75,57 @@ def _read_split(spark, paths, fields, check):
     """
     records = spark.read.option("lineSep", PROPERTIES_MARK).text(paths)
     member = F.ltrim("value", F.lit(" \t\r\n")).startswith(":")
-    if check:
-        _check_complete(records, member)
     feature = F.from_json(
         F.concat(F.lit("{" + PROPERTIES_MARK), F.col("value")),
         feature_schema(fields),
         {"mode": "FAILFAST"},
     )
-    parsed = records.filter(member).select("value", F.explode(F.array(feature)).alias("feature"))
     blank = reduce(and_, [F.col(f"feature.properties.`{name}`").isNull() for name in fields])
-    return parsed.filter(~(blank & F.col("value").rlike(_DOCUMENT_MEMBER))).select("feature")
+    of_document = blank & F.col("value").rlike(_DOCUMENT_MEMBER)
+    if not check:
+        parsed = records.filter(member).select("value", F.explode(F.array(feature)).alias("feature"))
+        return parsed.filter(~of_document).select("feature")
+    found = F.struct(
+        F.when(member, feature).alias("feature"), _balance(F.col("value")).alias("balance")
+    )
+    parsed = records.select(
+        F.col("_metadata.file_path").alias("file"), "value", F.explode(F.array(found)).alias("found")
+    ).select("file", "value", "found.*", member.alias("member"))
+    path = scratch_path(spark, "features")
+    parsed.select(
+        "feature", "file", "balance.*", "member", (F.col("member") & ~of_document).alias("kept")
+    ).write.parquet(path)
+    staged = spark.read.parquet(path)
+    _check_complete(staged)
+    return staged.filter("kept").select("feature")
+
+
+def _balance(text):
+    """Opening less closing brackets outside texts: a struct of braces and brackets.
+
+    Only a record that has a bracket within a text, or an escape, is searched for texts;
+    all others are split at the brackets.
+    """
+    parts = F.split(text, '"')
+    within = F.array_join(F.filter(parts, lambda _, i: i % 2 == 1), "")
+    plain = ~text.contains("\\") & (F.size(parts) % 2 == 1) & ~within.rlike(r"[\[\]{}]")
 
+    def both(t):
+        def more(a, b):
+            return F.size(F.split(t, a)) - F.size(F.split(t, b))
 
-def _check_complete(records, member):
-    """Raise unless every file's brackets close and its marks are members."""
-    bare = F.regexp_replace("value", _TEXT, "")
+        return F.struct(more(r"\{", r"\}").alias("braces"), more(r"\[", r"\]").alias("brackets"))
 
-    def number(c):
-        return F.length(bare) - F.length(F.replace(bare, F.lit(c), F.lit("")))
+    bare = F.transform(F.array(F.regexp_replace(text, _TEXT, "")), both)[0]
+    return F.when(plain, both(text)).otherwise(bare)
 
-    files = records.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.sum(number("{") - number("}")).alias("braces"),
-        F.sum(number("[") - number("]")).alias("brackets"),
-        F.count(F.when(~member, 1)).alias("heads"),
+
+def _check_complete(staged):
+    """Raise unless every file's brackets close and its marks are members."""
+    files = staged.groupBy("file").agg(
+        F.sum("braces").alias("braces"),
+        F.sum("brackets").alias("brackets"),
+        F.count_if(~F.col("member")).alias("heads"),
     )
     bad = files.filter("braces <> 0 OR brackets <> 0 OR heads <> 1").first()
     if bad is not None:
