@@ -154,6 +154,11 @@ ORACLE = {
     "join_replicate_nl": JOINED,
     "join_split_hot_keys": JOINED,
     "join_split_clustered_key": JOINED,
+    "join_split_both_sides": """
+        SELECT c_nationkey AS nation, c_custkey, s_suppkey,
+          CAST(row_number() OVER (PARTITION BY c_nationkey, s_suppkey ORDER BY c_custkey) AS INTEGER) AS place
+        FROM customer JOIN supplier ON c_nationkey = s_nationkey
+    """,
     "csv_multi_file": INCIDENTS,
     "csv_by_name": INCIDENTS,
     "csv_semicolon": """

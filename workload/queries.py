@@ -1,5 +1,6 @@
 """One query per operator of the library, over the driver's tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from urbanstats import schemas as S
@@ -268,6 +269,16 @@ def join_split_clustered_key(spark, sf_dir):
     )
 
 
+def join_split_both_sides(spark, sf_dir):
+    """Ranked customers with the suppliers of their nation: keys are frequent on the left."""
+    ranked = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
+    customers = derive.table(spark, sf_dir, "customer").withColumn("place", ranked)
+    left = customers.select(F.col("c_nationkey").alias("nation"), "c_custkey", "place")
+    suppliers = derive.table(spark, sf_dir, "supplier")
+    right = suppliers.select(F.col("s_nationkey").alias("nation"), "s_suppkey")
+    return join_with_strategy(left, right, "nation", "merge", split_hot_keys="both", min_piece_rows=4)
+
+
 # Files.
 
 
@@ -417,6 +428,7 @@ QUERIES = {
     "join_replicate_nl": _join_by("shuffle_replicate_nl"),
     "join_split_hot_keys": _join_by("merge", split_hot_keys=True, min_piece_rows=4),
     "join_split_clustered_key": join_split_clustered_key,
+    "join_split_both_sides": join_split_both_sides,
     "csv_multi_file": csv_multi_file,
     "csv_by_name": csv_by_name,
     "csv_semicolon": csv_semicolon,
