@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from urbanstats.llm import repeats
+from urbanstats.llm.common import join_counted
 from urbanstats.llm.queries import QUERIES
 from urbanstats.llm.suffixes import suffix_array
 
@@ -80,6 +81,22 @@ def test_keys_beyond_broadcast(docs_of, monkeypatch):
     compare(docs_of, some_rows(5, 50), 20)
 
 
+@pytest.mark.parametrize("rows", [1, 5])
+def test_frequent_anchors_are_not_shuffled(docs_of, rows):
+    """Anchors with more rows than that meet their kinds by broadcast; results stay."""
+    compare(docs_of, some_rows(6), 24, stretches=2, frequent_rows=rows)
+
+
+def test_join_counted_splits_rows_by_key(spark):
+    keys = spark.createDataFrame([(1, 900, "a"), (2, 3, "b"), (4, 7, "d")], "h int, n long, x string")
+    rows = spark.createDataFrame([(1, i) for i in range(900)] + [(2, i) for i in range(3)] + [(3, 0)], "h int, i int")
+    for least in (1, 5, 1000):
+        got = join_counted(rows, keys, "h", "n", least)
+        assert got.columns == ["h", "i", "n", "x"]
+        assert got.groupBy("h", "x").count().orderBy("h").collect() == [(1, "a", 900), (2, "b", 3)]
+    assert join_counted(rows, keys.limit(0), "h", "n").collect() == []
+
+
 def test_periodic_texts(docs_of):
     rows = [(1, "a" * 700), (2, "ab" * 200), (3, "abc" * 90 + "x" + "abc" * 90), (4, "ba" * 30)]
     compare(docs_of, rows, 40)

@@ -21,7 +21,7 @@ BANDS = 64
 VALUES = 6
 # Lists of more sets than this are compared block by block; a block has about so many
 # shingles (1.6 MB), and so many columns of it are multiplied at a time.
-LIST_LENGTH = 64
+LIST_LENGTH = 16
 BLOCK_SHINGLES = 200_000
 COLUMNS = 4096
 # Characters that a task signs at a time, and shingles that are permuted at a time.
@@ -168,7 +168,8 @@ class _Sets:
 
     def links(self, pairs):
         """Those pairs (u, v) whose full sets are similar enough."""
-        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        ends = [pairs.select(F.col(c).alias("node")) for c in "uv"]
+        wanted = ends[0].unionByName(ends[1]).distinct()
         sets = self.hashes(stored(wanted, "minhash_wanted"))
         both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(
             sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v"

@@ -14,7 +14,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from urbanstats.llm.common import stored, text_table
+from urbanstats.llm.common import FREQUENT_ROWS, join_counted, stored, text_table
 from urbanstats.llm.suffixes import suffix_array
 from urbanstats.llm.windows import _INVERSE, _powers, covered, spread, window_hashes
 
@@ -335,11 +335,13 @@ def _resolve(slices, length, widths, stretches):
         F.sum("copies").alias("copies"),
         *[F.first(c).alias(c) for c in ("n", "place", "core", "core_end", "raw")],
     )
+    finer = stored(finer, "suffix_finer")
     totals = finer.groupBy("h").agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    known = stored(finer.join(totals.filter("total > 1"), "h"), "suffix_finer")
+    totals = stored(totals.filter("total > 1"), "suffix_totals")
+    known = stored(join_counted(finer, totals, "h", "kinds"), "suffix_known")
     alone = known.filter("kinds = 1").select("h", "sh", F.array(F.lit(0), "n").alias("runs"))
     several = known.filter("kinds > 1").select(*_names(_SLICE))
-    found = alone.unionByName(_resolve(several, length, widths[1:], stretches))
+    found = stored(alone.unionByName(_resolve(several, length, widths[1:], stretches)), "suffix_parts_found")
     moved = F.transform("runs", lambda x, i: F.when(i % 2 == 0, x + F.col("offset")).otherwise(x))
     back = parts.select("parent_h", "parent_sh", "offset", "h", "sh").join(found, ["h", "sh"])
     lifted = back.select(F.col("parent_h").alias("h"), F.col("parent_sh").alias("sh"), moved.alias("runs"))
@@ -393,7 +395,12 @@ def _with_keys(texts, wanted):
 
 
 def remove_repeated_strings(
-    docs, length=LENGTH, with_text=True, stretches=STRETCHES, chunk_bytes=CHUNK_BYTES
+    docs,
+    length=LENGTH,
+    with_text=True,
+    stretches=STRETCHES,
+    chunk_bytes=CHUNK_BYTES,
+    frequent_rows=FREQUENT_ROWS,
 ):
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept.
 
@@ -412,15 +419,15 @@ def remove_repeated_strings(
     texts = _texts(docs)
     anchored = stored(texts.mapInPandas(_anchor(length, chunk_bytes), _ANCHORED), "suffix_anchors")
     stretches_ = anchored.filter(F.col("h").isNotNull()).select(*_KEY, "start", "n", "place", "h", "sh")
-    kinds = (
+    kinds = stored(
         stretches_.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("sh").alias("low"), F.max("sh").alias("high"))
-        .filter("copies > 1")
-        .select("h", (F.col("low") == F.col("high")).alias("one"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("sh").alias("low"), F.max("sh").alias("high"))
+        .filter("rows > 1")
+        .select("h", "rows", (F.col("low") == F.col("high")).alias("one")),
+        "suffix_kinds",
     )
-    # Dealt anew by place: else the grouping would keep a frequent anchor's rows together,
-    # and Spark could not split them in the join.
-    found_again = stretches_.join(kinds, "h").repartition("text_key", "start")
+    # Dealt anew by place for the grouping, as a frequent anchor's rows lie together.
+    found_again = join_counted(stretches_, kinds, "h", "rows", frequent_rows).repartition("text_key", "start")
     repeated = stored(
         found_again.groupBy(*stretches_.columns, "one").agg(F.count(F.lit(1)).alias("copies")),
         "suffix_repeated",
