@@ -20,10 +20,10 @@ from urbanstats.llm.windows import WordHashes, spread, windows_of
 BANDS = 64
 VALUES = 6
 # Lists of more sets than this are compared block by block; a block has about so many
-# shingles (1.6 MB), and so many columns of it are multiplied at a time.
+# shingles (0.8 MB), and so many columns of it are multiplied at a time.
 LIST_LENGTH = 16
-BLOCK_SHINGLES = 200_000
-COLUMNS = 4096
+BLOCK_SHINGLES = 100_000
+COLUMNS = 2048
 # Characters that a task signs at a time, and shingles that are permuted at a time.
 CHUNK_CHARS = 2_000_000
 STEP = 4096
