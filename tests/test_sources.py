@@ -11,6 +11,7 @@ from urbanstats.sources import (
     read_features,
     rejected_lines,
     scratch_path,
+    write_csv,
 )
 
 
@@ -121,6 +122,64 @@ def test_long_lines_arguments(spark, save):
         read_csv(spark, [path, other], long_lines="drop").collect()
 
 
+LONG_VALUES = [
+    ("1", "a\nb"),
+    ("2", 'x "quoted\n\n" y,\n'),
+    ("3", "win\r\nline"),
+    ("4", "plain, with comma"),
+    ("5", None),
+    ("6", "\n" * 40 + "z" * 90),
+    ("k\n2", "\r"),
+]
+
+
+@pytest.mark.parametrize("size", ["37", "1000000"])
+@pytest.mark.parametrize("columns", [None, ["k", "v,w"]])
+def test_line_ends_in_values(spark, tmp_path, conf, size, columns):
+    """What the sink writes comes back, wherever the files are cut."""
+    rows = LONG_VALUES * 2
+    path = str(tmp_path / "r")
+    names = ["k", "v,w"]
+    df = spark.createDataFrame(rows, "k string, `v,w` string").repartition(2)
+    write_csv(df, path)
+    conf(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="0")
+    got = read_csv(spark, path, columns=columns, line_ends_in_values=True)
+    assert got.columns == names
+    assert tuples(got) == sorted(rows, key=repr)
+    assert tuples(got.select("k")) == sorted(((k,) for k, _ in rows), key=repr)
+    if size != "1000000":
+        assert spark.read.text(path).select(F.spark_partition_id()).distinct().count() > 8
+
+
+def test_line_ends_by_a_shuffle(spark, save, monkeypatch, conf):
+    """Beyond so many splits lines meet their splits by a shuffle, in order."""
+    from urbanstats.sources import records
+
+    monkeypatch.setattr(records, "MAX_BROADCAST_SPLITS", 0)
+    conf(spark__sql__files__maxPartitionBytes="40", spark__sql__files__openCostInBytes="0")
+    lines = [f'{i},"a\n{i}"' for i in range(60)]
+    path = save("s.csv", "k,v\n" + "\n".join(lines))
+    got = tuples(read_csv(spark, path, line_ends_in_values=True))
+    assert got == sorted((str(i), f"a\n{i}") for i in range(60))
+
+
+def test_line_ends_and_odd_files(spark, save):
+    a = save("o/a.csv", 'k,v\r\n1,"x\r\ny"\r\n\r\n2\r\n3,b,"c\nd"\r\n')
+    save("o/b.csv", "k,v\n")
+    folder = a.rsplit("/", 1)[0]
+    want = [("1", "x\r\ny"), ("2", None), ("3", "b")]
+    assert tuples(read_csv(spark, folder, line_ends_in_values=True)) == want
+    assert tuples(read_csv(spark, folder, line_ends_in_values=True, long_lines="drop")) == want[:2]
+    with pytest.raises(Exception, match="fields instead of 2"):
+        read_csv(spark, folder, line_ends_in_values=True, long_lines="raise").collect()
+    other = save("c.csv", "v,k\n1,2\n")
+    with pytest.raises(Exception, match="does not conform"):
+        read_csv(spark, [a, other], line_ends_in_values=True).collect()
+    unclosed = save("d.csv", 'k,v\n1,"x\n2,y\n')
+    with pytest.raises(Exception, match="not closed"):
+        read_csv(spark, unclosed, line_ends_in_values=True).collect()
+
+
 def test_csv_split_over_tasks(spark, save, conf):
     """The same rows come whatever the splits, also across quoted fields."""
     lines = [f'{i},"a, ""{i}"" b",{"x" * (i % 50)}' for i in range(2000)]

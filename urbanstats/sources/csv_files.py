@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from urbanstats.operators.names import unused
 from urbanstats.schemas import text_columns
+from urbanstats.sources.records import read_records
 
 # Quotes inside a quoted field are doubled, as in RFC 4180.
 CSV_QUOTING = {"quote": '"', "escape": '"'}
@@ -16,7 +17,9 @@ CSV_QUOTING = {"quote": '"', "escape": '"'}
 LONG_LINES = ("cut", "raise", "drop")
 
 
-def read_csv(spark, paths, sep=",", columns=None, required=(), long_lines="cut"):
+def read_csv(
+    spark, paths, sep=",", columns=None, required=(), long_lines="cut", line_ends_in_values=False
+):
     """Read one or many files as one table; short rows are filled with NULL.
 
     Without ``columns`` every file starts with the same header, and a file whose
@@ -28,14 +31,22 @@ def read_csv(spark, paths, sep=",", columns=None, required=(), long_lines="cut")
     A line with more fields than columns is ``cut`` to them without a word, makes the job
     that reads it ``raise``, or is left out (``drop``); see ``rejected_lines`` for those.
     With the latter two every field of every line is parsed, whatever columns are read.
+
+    ``line_ends_in_values`` cuts at line ends outside quotes only, see ``read_records``;
+    many tasks share a file all the same. Files are read at once then.
     """
     if long_lines not in LONG_LINES:
         raise ValueError(f"unknown choice {long_lines!r} for long lines, use one of {LONG_LINES}")
-    if long_lines == "cut":
+    if line_ends_in_values:
+        df, names, line = _with_records(spark, paths, sep, columns)
+    elif long_lines == "cut":
         df = _reader(spark, sep, columns).csv(paths)
         names = df.columns
     else:
         df, names, line = _with_lines(spark, paths, sep, columns)
+    if long_lines == "cut":
+        df = df.select(*_quoted(names))
+    else:
         fields = _fields(line, sep)
         too_many = fields > len(names)
         if long_lines == "raise":
@@ -88,6 +99,27 @@ def _with_lines(spark, paths, sep, columns):
     return reader.csv(paths).filter(looked_at), list(names), F.col(f"`{line}`")
 
 
+def _with_records(spark, paths, sep, columns):
+    """As ``_with_lines``, with line ends in values; the text of every record is kept."""
+    names = list(columns or _reader(spark, sep, None).option("multiLine", True).csv(paths).columns)
+    records = read_records(spark, paths).filter("record <> ''")
+    schema = ", ".join("`" + name.replace("`", "``") + "` STRING" for name in names)
+    options = {**CSV_QUOTING, "sep": sep, "multiLine": True}
+    # Exploded from an array of one, so that no record is parsed for each of its columns.
+    row = F.explode(F.array(F.from_csv("record", schema, options))).alias("row")
+    line = unused("_line", text_columns(names))
+    if columns is None:
+        other = F.concat(F.lit(f"CSV header does not conform to the schema {names}: "), F.col("record"))
+        header = F.from_csv("record", schema, options)
+        same = (_fields(F.col("record"), sep) == len(names)) & reduce(
+            and_, [header.getField(n).eqNullSafe(F.lit(n)) for n in names]
+        )
+        is_row = F.when(~F.col("first"), True).when(same, False).otherwise(F.raise_error(other).cast("boolean"))
+        records = records.filter(is_row)
+    df = records.select(F.col("record").alias(line), row).select("row.*", f"`{line}`")
+    return df, names, F.col(f"`{line}`")
+
+
 def _fields(line, sep):
     """How many fields a line has: separators within quotes are none.
 

@@ -184,6 +184,7 @@ ORACLE = {
         FROM events WHERE event_type NOT IN ('error', 'click')
     """,
     "csv_sink_roundtrip": ORDERS,
+    "csv_line_ends_roundtrip": "SELECT doc_id, nullif(text, '') AS text, lang FROM documents",
     "csv_single_file": DAY_PART_SHARE,
     "csv_sink_without_header": ORDERS,
     "csv_to_parquet": ORDERS,

@@ -339,6 +339,14 @@ def csv_sink_roundtrip(spark, sf_dir):
     return derive.typed_orders(derive.reread_csv(derive.order_texts(spark, sf_dir), "orders"))
 
 
+def csv_line_ends_roundtrip(spark, sf_dir):
+    """Documents, whose texts have line ends, quotes and commas, by way of CSV files."""
+    documents = derive.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    path = derive.save_csv(documents, "documents")
+    rows = read_csv(spark, path, line_ends_in_values=True)
+    return rows.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang")
+
+
 def csv_sink_without_header(spark, sf_dir):
     rows = derive.reread_csv(derive.order_texts(spark, sf_dir), "orders", header=False)
     return derive.typed_orders(rows)
@@ -436,6 +444,7 @@ QUERIES = {
     "csv_rejected_lines": csv_rejected_lines,
     "csv_without_rejected": csv_without_rejected,
     "csv_sink_roundtrip": csv_sink_roundtrip,
+    "csv_line_ends_roundtrip": csv_line_ends_roundtrip,
     "csv_single_file": csv_single_file,
     "csv_sink_without_header": csv_sink_without_header,
     "csv_to_parquet": csv_to_parquet_orders,
