@@ -5,8 +5,11 @@ import pytest
 
 ODD_SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
-    "row int, h string, fp int, words string, kind string, start int, n int, bucket int, text_key int"
+    "row int, h string, fp int, words string, kind string, start int, n int, bucket int, text_key int, "
+    "bad_id long, _bad_id long, _bad_key string, _simhash_doc_id long, _simhash_label string, "
+    "_secret_key long, _secret_id string, _secret_spans string, node long, label int, block int"
 )
+_MORE = (7, 8, "b", 9, "l", 10, "i", "s", 11, 12, 13)
 
 
 @pytest.fixture(scope="session")
@@ -14,7 +17,7 @@ def docs_of(spark):
     """A table of documents, with columns whose names the operators use themselves."""
 
     def make(rows, parts=3):
-        full = [(i, t, "en", "s", len(t or ""), 1, "h", 2, "w", "k", 3, 4, 5, 6) for i, t in rows]
+        full = [(i, t, "en", "s", len(t or ""), 1, "h", 2, "w", "k", 3, 4, 5, 6, *_MORE) for i, t in rows]
         return spark.createDataFrame(full, ODD_SCHEMA).repartition(parts)
 
     return make

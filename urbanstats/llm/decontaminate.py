@@ -10,6 +10,7 @@ looking those up in the documents finds every pair. Exact containment decides.
 from pyspark.sql import functions as F
 
 from urbanstats.llm.common import stored, text_table
+from urbanstats.operators.names import unused
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -146,12 +147,18 @@ def find_contained(docs, items, shingle_words=SHINGLE_WORDS, containment=CONTAIN
 
 
 def drop_contained(docs, items, shingle_words=SHINGLE_WORDS, containment=CONTAINMENT):
-    """The rows of ``docs`` that hold no item; same columns."""
+    """The rows of ``docs`` that hold no item; same columns, whatever their names.
+
+    Rows are judged by id and text: all rows that repeat one fare alike, also with a NULL
+    id. NULL and empty texts hold nothing and stay. Texts of any length are taken whole.
+    Without items every row stays; an empty table gives an empty one.
+    """
+    bad_id, bad_key = (unused(name, docs) for name in ("_bad_id", "_bad_key"))
     bad = (
         find_contained(docs, items, shingle_words, containment)
-        .select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key"))
+        .select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key))
         .distinct()
     )
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("bad_id")) & (key == F.col("bad_key"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(bad_id)) & (key == F.col(bad_key))
     return docs.join(bad, same, "left_anti")

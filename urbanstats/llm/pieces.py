@@ -424,7 +424,8 @@ def encode_documents(docs, vocabulary, seed=42, dropout=DROPOUT):
     its own, by a hash of the document's id, the word's place and ``seed``; rows that
     agree in id and text get the same ids. NULL and empty texts have no ids. NULL ids
     draw as one name. Characters without a piece, the vocabulary's own
-    space symbol among them, are spelled in bytes. Other columns are ignored.
+    space symbol among them, are spelled in bytes. Other columns are ignored. Texts of any
+    length are encoded whole. An empty table gives an empty result.
     """
 
     def encode(batches):
@@ -448,7 +449,7 @@ def encode_round_trip(docs, vocabulary, seed=42, dropout=DROPOUT):
     Columns: doc_id, n_pieces, n_byte_pieces (of which bytes), ids_sha256 (of the ids as
     32-bit numbers, lowest byte first), decoded_sha256 (of the decoded text), lossless
     (the decoded text equals the text). The ids stay in the task that made them; else as
-    ``encode_documents``.
+    ``encode_documents``. An empty table gives an empty result.
     """
 
     def go(batches):

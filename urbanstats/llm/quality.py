@@ -203,7 +203,8 @@ def score_quality(docs, model, threshold=0.7):
     """One row per document: doc_id, held_out, score, predicted.
 
     Every row gets a score, also one with a NULL id, a NULL or an empty text, and each
-    of several rows with the same id. Other columns are ignored.
+    of several rows with the same id. Other columns are ignored. Texts of any length are
+    read whole. An empty table gives an empty result.
     """
     texts = text_table(docs)
     return texts.select(
@@ -212,5 +213,10 @@ def score_quality(docs, model, threshold=0.7):
 
 
 def keep_good(docs, model, threshold=0.7):
-    """The rows of ``docs`` that the model scores at ``threshold`` or more; same columns."""
+    """The rows of ``docs`` that the model scores at ``threshold`` or more; same columns.
+
+    Each row is judged by its text alone: rows that repeat an id or a whole row too, and
+    those with a NULL id. NULL and empty texts are scored as empty. Texts of any length are
+    read whole. An empty table gives an empty one.
+    """
     return docs.filter(model.score(F.col("text")) >= threshold)

@@ -410,7 +410,7 @@ def extract_text(pages, html_column="html", id_column="page_id"):
     ``visibility:hidden``, a closed ``details`` or ``dialog`` hide.
 
     A NULL or empty page gives an empty text. NULL and repeated ids give a row each; other
-    columns are ignored.
+    columns are ignored. A page of any length is rendered whole. An empty table gives an empty result.
     """
 
     @F.pandas_udf("string")

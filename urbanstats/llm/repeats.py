@@ -412,7 +412,8 @@ def remove_repeated_strings(
 
     Strings lie within one row and are judged on the input. Each row is a document of its
     own, also where ids or whole rows repeat. NULL and empty texts have no bytes; NULL ids
-    come out as they are. Other columns are ignored.
+    come out as they are. Other columns are ignored. A text of any length is worked on in
+    pieces, but whole. An empty table gives an empty result.
     """
     if length < 2:
         raise ValueError("strings of two bytes at least")

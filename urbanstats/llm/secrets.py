@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from urbanstats.llm.common import stored, text_table
+from urbanstats.operators.names import unused
 
 # The forms that are always secrets, each with the group that holds the
 # value and the least length of that. A shorter match is consumed and dropped.
@@ -374,6 +375,7 @@ def scan_secrets(docs, model, min_length=MIN_LENGTH, min_ratio=MIN_RATIO):
     ``base_sha256`` is the hash of the known forms' spans, ``spans`` the text of all
     spans: ``kind:start:end`` by start and kind, with commas between. A NULL or empty
     text has no span. NULL and repeated ids give a row each; other columns are ignored.
+    Texts of any length are searched whole. An empty table gives an empty result.
     """
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     said = F.concat_ws(":", "kind", F.col("start").cast("string"), F.col("end").cast("string"))
@@ -396,8 +398,12 @@ def redact_secrets(docs, model, min_length=MIN_LENGTH, min_ratio=MIN_RATIO, mark
     """``docs`` with each stretch of secret characters replaced by ``mark``.
 
     The columns are those of ``docs``; ``n_chars``, where there is one, is counted anew.
-    Spans that overlap or touch become one mark. All other rows and columns stay.
+    Spans that overlap or touch become one mark. All other rows and columns stay, whatever
+    the columns' names. NULL and empty texts have no secret and stay as they are; rows that
+    repeat an id or a whole row are each redacted; texts of any length are taken whole. An
+    empty table gives an empty one.
     """
+    id_, key_, spans_ = (unused(name, docs) for name in ("_secret_id", "_secret_key", "_secret_spans"))
     merged = Window.partitionBy("doc_id", "text_key").orderBy("start", "end")
     spans = (
         secret_spans(docs, model, min_length, min_ratio)
@@ -409,15 +415,15 @@ def redact_secrets(docs, model, min_length=MIN_LENGTH, min_ratio=MIN_RATIO, mark
         .withColumn("stretch", F.sum("new").over(merged))
         .groupBy("doc_id", "text_key", "stretch")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .groupBy(F.col("doc_id").alias("_secret_id"), F.col("text_key").alias("_secret_key"))
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_secret_spans"))
+        .groupBy(F.col("doc_id").alias(id_), F.col("text_key").alias(key_))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(spans_))
     )
     spans = stored(spans, "secret_spans")
     text = docs["text"]
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_secret_id")) & (
-        F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_secret_key")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (
+        F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(key_)
     )
-    stretches = F.col("_secret_spans")
+    stretches = F.col(spans_)
     ends = F.concat(F.array(F.lit(0).cast("long")), stretches["end"])
     starts = F.concat(stretches["start"], F.array(F.length(text).cast("long")))
     kept = F.zip_with(

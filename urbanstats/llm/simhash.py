@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from urbanstats.llm.common import stored, text_table, words_of
 from urbanstats.llm.components import connected_components
+from urbanstats.operators.names import unused
 
 # The letters that are lower-cased.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,8 +33,9 @@ def shingles(words, length):
 def fingerprints(docs, shingle_words=3, with_key=False):
     """One row per row of ``docs``: doc_id, fp (the 64 bits as a long).
 
-    ``with_key`` adds text_key, the hash of the text. A bit is set if it is set in over half of the shingles' XXH64 (seed 42). A text
-    without words, an empty or a NULL one has fingerprint 0.
+    ``with_key`` adds text_key, the hash of the text. A bit is set if it is set in over
+    half of the shingles' XXH64 (seed 42). A text without words, an empty or a NULL one has
+    fingerprint 0.
 
     The bits are counted while the shingles stream by, two counters to a long, so a
     text of any length needs 32 longs.
@@ -191,19 +193,22 @@ def keep_firsts(docs, shingle_words=3, max_bits=3):
 
     Of several rows of a component with that id one stays, the one whose text sorts
     first; rows with one id in several components are judged in each. Rows with a NULL
-    id stay. The columns are those of ``docs``.
+    id stay. The columns are those of ``docs``, whatever their names. NULL and empty texts
+    are near-duplicates of each other; texts of any length are taken whole. An empty table
+    gives an empty one.
     """
+    names = {c: unused(f"_simhash_{c}", docs) for c in ("doc_id", "text_key", "label")}
     prints, by_print = _components(docs, shingle_words, max_bits, with_key=True)
     firsts = (
         prints.join(by_print, "fp")
         .filter(F.col("doc_id") == F.col("component_id"))
-        .select(*[F.col(c).alias(f"_simhash_{c}") for c in ("doc_id", "text_key", "label")])
+        .select(*[F.col(c).alias(name) for c, name in names.items()])
         .distinct()
     )
     text = F.coalesce(docs["text"], F.lit(""))
-    same = (docs["doc_id"].cast("long") == F.col("_simhash_doc_id")) & (
-        F.xxhash64(text) == F.col("_simhash_text_key")
+    same = (docs["doc_id"].cast("long") == F.col(names["doc_id"])) & (
+        F.xxhash64(text) == F.col(names["text_key"])
     )
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
-    one = docs.join(firsts, same).groupBy("_simhash_label").agg(F.min_by(row, text).alias("one"))
+    one = docs.join(firsts, same).groupBy(names["label"]).agg(F.min_by(row, text).alias("one"))
     return one.select("one.*").unionByName(docs.filter(F.col("doc_id").isNull()))

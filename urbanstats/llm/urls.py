@@ -96,7 +96,7 @@ def judge_captures(captures, entries, id_column="page_id", url_column="url", tim
 
     A URL that is NULL or has no host, or a NULL time, matches nothing. NULL and repeated
     ids give a row each; other columns are ignored. Without entries all verdicts are
-    ``none``.
+    ``none``. Without captures the result is empty. URLs of any length are taken whole.
 
     The join is on the key, with the interval as its condition: an entry has few
     intervals, so a host with most captures makes no more rows than captures, and Spark

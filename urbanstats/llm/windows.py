@@ -278,7 +278,8 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True, chunk_chars=CH
     Windows lie within one document and are judged on the input. Rows with one id are one
     document: they do not remove each other's words, and each gives a row. Rows with a
     NULL id cannot be ordered and are left out. NULL, empty and short texts have no
-    window. Windows are equal if their 64-bit hashes are.
+    window. Windows are equal if their 64-bit hashes are. Texts of any length are taken
+    whole. An empty table gives an empty result.
     """
     texts = text_table(docs.filter(F.col("doc_id").isNotNull()))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
