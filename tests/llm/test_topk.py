@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from urbanstats.llm.topk import BallTree, top_k
+from urbanstats.llm import topk
+from urbanstats.llm.topk import BallTree, Cells, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int, v string, shard int, block int, kth int"
 
@@ -91,6 +92,46 @@ def test_bounds_prune_and_stay_exact():
         assert names[q].tolist() == ids[best, 0].tolist()
 
 
+def test_cells_hold_their_points():
+    """Bounds hold for all points, also for those of other widths than the sample's."""
+    rng = np.random.default_rng(8)
+    sample = np.concatenate([rng.normal(c, 5, (40, 6)) for c in (-90, 0, 70)]).astype(np.int64)
+    cells = Cells(sample, 7)
+    assert len(cells.centres) == 7
+    for width in (4, 6, 9):
+        points = rng.integers(-150, 150, (300, width))
+        cell, far = cells.of(points)
+        radius = np.full(7, -np.inf)
+        np.maximum.at(radius, cell, far)
+        wide = max(width, 6)
+        queries = rng.integers(-150, 150, (20, wide))
+        scores = queries @ np.pad(points, ((0, 0), (0, wide - width))).T
+        bounds = cells.bounds(queries, radius, 150.0)
+        assert (bounds[:, cell] >= scores).all()
+    assert len(Cells(np.ones((50, 3)), 8).centres) == 1 and len(Cells(np.zeros((0, 1)), 4).centres) == 1
+
+
+def test_clustered_vectors_meet_few_cells(spark, monkeypatch):
+    """Far clusters are skipped before any vector moves to them."""
+    monkeypatch.setattr(topk, "SAMPLE_PER_CELL", 2)
+    pairs = []
+    plain_stored = topk.stored
+    monkeypatch.setattr(
+        topk, "stored", lambda df, name: (pairs.append(plain_stored(df, name)), pairs[-1])[1]
+        if name.endswith("_pairs")
+        else plain_stored(df, name)
+    )
+    rng = random.Random(6)
+    middle = [[rng.gauss(0, 4) for _ in range(8)] for _ in range(20)]
+    rows = [(i, [x + rng.gauss(0, 0.05) for x in middle[i % 20]]) for i in range(1200)]
+    rows = [(i * 10 + i % 20, v) for i, v in rows]
+    got = top_k(vectors_of(spark, rows), F.col("vec_id") % 50 == 0, shard_vectors=60)
+    assert found(got) == plain(rows)
+    asked = sum(i % 50 == 0 for i, _ in rows)
+    met = sum(p.count() for p in pairs)
+    assert met < 0.4 * asked * 20
+
+
 def test_large_numbers_are_exact(spark):
     rows = [(0, [3000.0, 1.0]), (1, [3000.0, 2.0]), (2, [-3000.0, 5.0]), (3, [2999.996, 2.0])]
     assert found(top_k(vectors_of(spark, rows), F.col("vec_id") % 50 == 0)) == plain(rows)

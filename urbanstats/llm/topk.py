@@ -1,4 +1,4 @@
-"""Exact top-k search by inner product: a ball tree per shard, branch and bound."""
+"""Exact top-k search by inner product: cells of a ball tree, a tree per shard, branch and bound."""
 
 import heapq
 import io
@@ -14,6 +14,12 @@ from urbanstats.llm.common import stored
 SHARD_VECTORS = 8192
 BLOCK_QUERIES = 2048
 LEAF = 64
+# Cells at most, vectors that they are fitted on, and so many of these per cell at least;
+# cells that a query goes to after the first one, before the rest.
+CELLS = 1024
+SAMPLE_VECTORS = 20_000
+SAMPLE_PER_CELL = 16
+NEAR_CELLS = 4
 
 _NONE = np.int64(-(1 << 63))
 _FAR = np.int64((1 << 63) - 1)
@@ -165,31 +171,140 @@ def _matrix(rows, width=None):
     return out
 
 
-def _trees(points, k, shards):
-    """Rows (shard, tree): each shard of the distinct vectors as a ball tree."""
+class Cells:
+    """The upper levels of a ball tree over a sample: every vector lands in one cell.
+
+    Each level halves the largest part of the sample at the median along the line between
+    two far points. A cell's ball stands around the mean of its sample.
+    """
+
+    def __init__(self, sample, cells):
+        self.width = max(1, sample.shape[1] if sample.ndim == 2 else 1)
+        real = np.asarray(sample, np.float64).reshape(-1, self.width)
+        # An inner node has a direction, a threshold and two children; a leaf its cell.
+        self.nodes, self.centres = [None], []
+        parts = [(0, np.arange(len(real)))]
+        done = []
+        while parts and len(parts) + len(done) < cells:
+            parts.sort(key=lambda x: len(x[1]))
+            node, at = parts.pop()
+            split = self._split(real[at]) if len(at) > 1 else None
+            if split is None:
+                done.append((node, at))
+                continue
+            direction, threshold, upper = split
+            self.nodes[node] = (direction, threshold, len(self.nodes), len(self.nodes) + 1)
+            parts += [(len(self.nodes), at[~upper]), (len(self.nodes) + 1, at[upper])]
+            self.nodes += [None, None]
+        for node, at in parts + done:
+            self.nodes[node] = len(self.centres)
+            self.centres.append(real[at].mean(0) if len(at) else np.zeros(self.width))
+        self.centres = np.array(self.centres)
+
+    @staticmethod
+    def _split(real):
+        far = real[((real - real.mean(0)) ** 2).sum(1).argmax()]
+        direction = real[((real - far) ** 2).sum(1).argmax()] - far
+        side = real @ direction
+        threshold = float(np.median(side))
+        upper = side > threshold
+        return (direction, threshold, upper) if upper.any() else None
+
+    def of(self, points):
+        """The cell of each point, and its distance from the cell's centre."""
+        real = _fitted(points, self.width).astype(np.float64)
+        cell = np.zeros(len(real), np.int64)
+        todo = [(0, np.arange(len(real)))]
+        while todo:
+            node, at = todo.pop()
+            if isinstance(self.nodes[node], tuple):
+                direction, threshold, low, high = self.nodes[node]
+                upper = real[at] @ direction > threshold
+                todo += [(low, at[~upper]), (high, at[upper])]
+            else:
+                cell[at] = self.nodes[node]
+        # What a point has beyond the sample's width counts in full.
+        rest = (points[:, self.width :].astype(np.float64) ** 2).sum(1)
+        return cell, np.sqrt(((real - self.centres[cell]) ** 2).sum(1) + rest)
+
+    def bounds(self, queries, radius, most):
+        """Highest inner product that each query can have with a point of each cell."""
+        real = queries.astype(np.float64)
+        top = np.abs(real).max(initial=0) * most * max(self.width, queries.shape[1])
+        with_centre = _fitted(queries, self.width).astype(np.float64) @ self.centres.T
+        # Rounded: this much more makes it safe.
+        return with_centre + np.sqrt((real**2).sum(1))[:, None] * radius + 1.0 + 1e-9 * top
+
+
+def _fitted(rows, width):
+    """Rows cut or filled with zeros to ``width``."""
+    return _wide(rows[:, :width], max(width, min(rows.shape[1], width)))
+
+
+def _celled(points, k, cells):
+    """Rows (v, ids, cell, far): distinct vectors with their smallest ids, cell and distance."""
     best = Window.partitionBy("v").orderBy("vec_id")
     # The k + 1 smallest ids of a vector are all that can be among the results: one may
     # be the query's own. Spark applies such a limit before the shuffle too.
     kept = points.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1)
     distinct = kept.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)))
+
+    def place(batches):
+        for batch in batches:
+            cell, far = cells.of(_matrix(batch["v"].tolist()))
+            yield batch.assign(cell=cell, far=far)
+
+    return distinct.mapInPandas(place, "v array<long>, ids array<long>, cell long, far double")
+
+
+def _trees(celled, k):
+    """Rows (cell, shard, tree): each shard of a cell's distinct vectors as a ball tree."""
 
     def build(rows):
         ids = np.full((len(rows), k + 1), _FAR)
         for i, some in enumerate(rows["ids"]):
             ids[i, : len(some)] = some
         tree = BallTree.build(_matrix(rows["v"].tolist()), ids)
-        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "tree": [tree.to_bytes()]})
+        return pd.DataFrame(
+            {"cell": [rows["cell"].iloc[0]], "shard": [rows["shard"].iloc[0]], "tree": [tree.to_bytes()]}
+        )
 
-    return dealt.groupBy("shard").applyInPandas(build, "shard long, tree binary")
+    return celled.groupBy("cell", "shard").applyInPandas(build, "cell long, shard long, tree binary")
 
 
 def _numbers(n):
-    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
 
-def _search(queries, trees, blocks, shards, pairs, k):
-    """Search trees for blocks of queries, for those (block, shard) that ``pairs`` admits."""
+_PAIRS = "query_id long, v array<long>, kth long, cell long"
+
+
+def admitted(queries, cells, radius, most, first, last):
+    """Rows (query_id, v, kth, cell): the cells that may hold a result of a query.
+
+    Cells are taken in order of their bound, from the ``first`` place to before the
+    ``last`` one, and only while the bound reaches the query's k-th score so far.
+    """
+
+    def pick(batches):
+        for batch in batches:
+            bounds = cells.bounds(_matrix(batch["v"].tolist()), radius, most)
+            order = np.argsort(-bounds, axis=1, kind="stable")[:, first:last]
+            reach = np.take_along_axis(bounds, order, 1)
+            row, place = np.nonzero(reach >= batch["kth"].to_numpy(np.float64)[:, None])
+            out = batch.iloc[row][["query_id", "v", "kth"]]
+            yield out.assign(cell=order[row, place])
+
+    return queries.select("query_id", "v", "kth").mapInPandas(pick, _PAIRS)
+
+
+def _search(pairs, trees, shards, k, block_queries):
+    """The best of each admitted cell, for blocks of queries and one tree at a time."""
+    # One row per cell, of which there are CELLS at most.
+    asked = pairs.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_queries).alias("blocks"))
+    plan = shards.join(F.broadcast(asked), "cell").select("cell", "shards", "blocks").collect()
+    spark = pairs.sparkSession
+    ours, theirs = (F.broadcast(spark.createDataFrame(plan, "cell long, shards long, blocks long")) for _ in "lr")
 
     def search(rows, tree):
         schema = ["query_id", "vec_id", "score"]
@@ -203,12 +318,23 @@ def _search(queries, trees, blocks, shards, pairs, k):
             {"query_id": np.repeat(names, k)[real.ravel()], "vec_id": ids[real], "score": scores[real]}
         )
 
-    left = queries.withColumn("shard", _numbers(shards)).filter(pairs).groupBy("block", "shard")
-    right = trees.withColumn("block", _numbers(blocks)).filter(pairs).groupBy("block", "shard")
-    return left.cogroup(right).applyInPandas(search, "query_id long, vec_id long, score long")
-
-
-def top_k(vectors, is_query, k=5, scale=256, shard_vectors=SHARD_VECTORS, block_queries=BLOCK_QUERIES):
+    key = ["cell", "shard", "block"]
+    block = F.pmod(F.xxhash64("query_id"), F.col("blocks"))
+    left = pairs.join(ours, "cell").withColumn("shard", _numbers("shards")).withColumn("block", block)
+    right = trees.join(theirs, "cell").withColumn("block", _numbers("blocks"))
+    cogroup = left.groupBy(*key).cogroup(right.groupBy(*key))
+    return cogroup.applyInPandas(search, "query_id long, vec_id long, score long")
+
+
+def top_k(
+    vectors,
+    is_query,
+    k=5,
+    scale=256,
+    shard_vectors=SHARD_VECTORS,
+    block_queries=BLOCK_QUERIES,
+    sample_vectors=SAMPLE_VECTORS,
+):
     """The ``k`` rows of highest inner product with each query: query_id, rank, vec_id, score.
 
     ``vectors`` has the columns vec_id and embedding; ``is_query`` is a condition on
@@ -217,34 +343,47 @@ def top_k(vectors, is_query, k=5, scale=256, shard_vectors=SHARD_VECTORS, block_
     ``k`` all come out. Where a query id has several vectors, the one that sorts first
     asks. No vectors or no queries give an empty result.
 
-    Vectors are dealt to shards by hash and each shard becomes one ball tree. Each block
-    of queries searches one shard first; the k-th scores found there go with it to all
-    other shards, where they prune from the start. A task holds one tree and one block.
+    Vectors are dealt to cells by the upper levels of a ball tree that is fitted on a
+    sample (the ``sample_vectors`` with the smallest hashes); every vector lands in a cell,
+    whose radius is that of all its vectors. A cell with over ``shard_vectors`` of them has
+    several shards, each a ball tree of its own. A query goes to the cell of the highest
+    bound, then to the next few, then to the rest, each time only where the bound reaches
+    the k-th score found so far; that goes along and prunes within the trees. A task holds
+    one tree and one block of queries.
     """
+    spark = vectors.sparkSession
     points = stored(integer_vectors(vectors, scale), "topk_points")
     asked = points.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    n_points, n_queries = points.count(), asked.count()
-    shards = max(1, -(-n_points // shard_vectors))
-    blocks = max(1, -(-n_queries // block_queries))
-    trees = stored(_trees(points, k, shards), "topk_trees")
-    queries = asked.select(
-        F.col("vec_id").alias("query_id"), "v", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")
-    )
-    home = F.pmod("block", F.lit(shards)) == F.col("shard")
+    n_points = points.count()
+    chosen = points.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(sample_vectors).collect()
+    sample = _matrix([r["v"] for r in chosen])
+    count = max(1, min(CELLS, -(-n_points // shard_vectors), len(chosen) // SAMPLE_PER_CELL))
+    cells = Cells(sample, count)
+    celled = stored(_celled(points, k, cells), "topk_cells")
+    stats = celled.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.max("far").alias("far"), F.max(F.array_max("v")), F.min(F.array_min("v"))
+    ).collect()
+    radius = np.full(len(cells.centres), -np.inf)
+    for r in stats:
+        radius[r["cell"]] = r["far"] * (1 + 1e-9)
+    most = float(max((max(r[3] or 0, -(r[4] or 0)) for r in stats), default=0))
+    shards = spark.createDataFrame([(r["cell"], -(-r["n"] // shard_vectors)) for r in stats], "cell long, shards long")
+    own = F.pmod(F.xxhash64("v"), F.col("shards"))
+    trees = stored(_trees(celled.join(F.broadcast(shards), "cell").withColumn("shard", own), k), "topk_trees")
     nothing = F.lit(int(_NONE)).cast("long")
-    first = stored(
-        _search(queries.withColumn("kth", nothing), trees, blocks, shards, home, k), "topk_first"
-    )
-    known = (
-        first.groupBy("query_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
-        .filter(F.col("n") >= k)
-    )
-    informed = queries.join(known, "query_id", "left").select(
-        "query_id", "v", "block", F.coalesce("kth", nothing).alias("kth")
-    )
-    found = first.unionByName(_search(informed, trees, blocks, shards, ~home, k))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    queries = asked.select(F.col("vec_id").alias("query_id"), "v", nothing.alias("kth"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = None
+    for name, first, last in (("home", 0, 1), ("near", 1, 1 + NEAR_CELLS), ("rest", 1 + NEAR_CELLS, None)):
+        if first >= len(cells.centres):
+            break
+        pairs = stored(admitted(queries, cells, radius, most, first, last), f"topk_{name}_pairs")
+        new = _search(pairs, trees, shards, k, block_queries)
+        rows = new if found is None else found.select("query_id", "vec_id", "score").unionByName(new)
+        ranked = rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        found = stored(ranked, f"topk_{name}")
+        known = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("reached"))
+        queries = asked.withColumnRenamed("vec_id", "query_id").join(known, "query_id", "left").select(
+            "query_id", "v", F.coalesce("reached", nothing).alias("kth")
+        )
+    return found.select("query_id", "rank", "vec_id", "score")
