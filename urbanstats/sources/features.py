@@ -106,9 +106,12 @@ def _balance(text):
     Only a record that has a bracket within a text, or an escape, is searched for texts;
     all others are split at the brackets.
     """
-    parts = F.split(text, '"')
-    within = F.array_join(F.filter(parts, lambda _, i: i % 2 == 1), "")
-    plain = ~text.contains("\\") & (F.size(parts) % 2 == 1) & ~within.rlike(r"[\[\]{}]")
+    def simple(parts):
+        within = F.array_join(F.filter(parts, lambda _, i: i % 2 == 1), "")
+        return (F.size(parts) % 2 == 1) & ~within.rlike(r"[\[\]{}]")
+
+    # Bound to a variable, so that the text is split once.
+    plain = ~text.contains("\\") & F.transform(F.array(F.split(text, '"')), simple)[0]
 
     def both(t):
         def more(a, b):
