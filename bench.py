@@ -63,7 +63,12 @@ HEADLINES = [
     "join_replicate_nl",
     "join_split_hot_keys",
     "join_split_clustered_key",
+    "join_split_both_sides",
     "csv_multi_file",
+    "csv_without_rejected",
+    "csv_rejected_lines",
+    "csv_line_ends_roundtrip",
+    "csv_single_file",
     "csv_to_parquet",
     "geojson_split",
     "geojson_free_order",
