@@ -1,6 +1,8 @@
 import random
 from hashlib import sha256
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from urbanstats.llm import windows
@@ -79,3 +81,33 @@ def test_key_beyond_broadcast(docs_of, space, monkeypatch):
     monkeypatch.setattr(windows, "MAX_BROADCAST_IDS", 0)
     rows = [(i, "a b c d " + "e f g " * (i % 4)) for i in range(30)]
     assert found(windows.remove_repeated_passages(docs_of(rows), 3)) == plain(rows, 3, space)
+
+
+@pytest.mark.parametrize("field", windows.PAIR.names)
+@pytest.mark.parametrize("chunk", [50, 4_000_000])
+def test_one_weak_hash_makes_no_false_repeat(space, monkeypatch, field, chunk):
+    """The steps of the operator, with one of the two hashes the same for all windows."""
+    whole = windows.pairs_of
+
+    def weak(*args):
+        pairs, counts = whole(*args)
+        pairs[field] = 7
+        return pairs, counts
+
+    monkeypatch.setattr(windows, "pairs_of", weak)
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choice("abcd") for _ in range(rnd.randrange(30)))) for i in range(60)]
+    docs = pd.DataFrame(rows, columns=["doc_id", "text"])
+    packed = pd.concat(windows._pack(4, 3, chunk)([docs]))
+    answers = pd.concat([windows._count(3)(g) for _, g in packed.groupby("bucket")])
+    repeated = windows._gather(answers[answers["kind"] == windows._REPEATED])
+    cut = pd.concat(windows._remove(4, True, chunk)([docs.merge(repeated, on="doc_id")]))
+    want = {w[0]: w[2:4] for w in plain(rows, 4, space) if w[2]}
+    assert want and {r.doc_id: (r.n_removed, r.kept_sha256) for r in cut.itertuples()} == want
+
+
+def test_among_needs_both_hashes():
+    pairs = np.array([(1, 1), (1, 2), (2, 1), (2, 2)], windows.PAIR)
+    assert windows.among(pairs, pairs[[1, 2, 2]]).tolist() == [False, True, True, False]
+    assert windows.among(pairs, pairs[:0]).tolist() == [False] * 4
+    assert windows.among(pairs[:0], pairs).tolist() == []

@@ -1,8 +1,9 @@
 """Substring dedup: passages of many words that a document with a smaller id holds too.
 
-The Rabin-Karp hash of every window of words is counted. Tasks pack the hashes by
-bucket, eight bytes each, so that no row is made per window; Spark brings each bucket
-together, and the answers go back to the documents that asked.
+The Rabin-Karp hash of every window of words is counted, with 32 bits of a second one
+from other hashes of the words, and windows are equal only if both are. Tasks pack the
+hashes by bucket, twelve bytes a window, so that no row is made per window; Spark brings
+each bucket together, and the answers go back to the documents that asked.
 """
 
 from collections import defaultdict
@@ -20,46 +21,92 @@ WINDOW = 50
 # Characters that a task hashes at a time, and words that it remembers.
 CHUNK_CHARS = 2_000_000
 KNOWN_WORDS = 250_000
-# Bytes of text whose windows share a bucket, about (some 2.5 million windows).
-BUCKET_BYTES = 16_000_000
+# Bytes of text whose windows share a bucket, about (some 1.6 million windows), and buckets
+# that share a task; tasks grow with the input, up to a number that a driver can track.
+BUCKET_BYTES = 10_000_000
+TASK_BUCKETS = 8
+MOST_TASKS = 200_000
 # Ids of documents with removals are broadcast up to this many (32 MB or so), so that
 # only those documents' texts move; beyond, all texts are joined by key.
 MAX_BROADCAST_IDS = 2_000_000
 
-# Base of the rolling hash and its inverse modulo 2**64, and the seed of the words' hash.
+# Base of the rolling hash and its inverse modulo 2**64, and the seeds of the words' hashes.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SEED = 50
+_SEED, _SECOND_SEED = 50, 51
+
+# A window's two hashes.
+PAIR = np.dtype([("first", np.uint64), ("second", np.uint32)])
 
 
 class WordHashes:
-    """64-bit hashes of words; words met before are looked up.
+    """64-bit hashes of words, one per seed; words met before are looked up.
 
     To be asked for many words at a time, as each call walks over the known ones.
     """
 
-    def __init__(self):
-        self.index, self.hashes = defaultdict(count().__next__), np.zeros(0, np.uint64)
+    def __init__(self, seeds=(_SEED,)):
+        self.seeds = seeds
+        self.index, self.hashes = defaultdict(count().__next__), np.zeros((len(seeds), 0), np.uint64)
 
     def of(self, words):
-        if len(self.hashes) > KNOWN_WORDS:
-            self.__init__()
+        """An array of the words' hashes for each seed."""
+        if self.hashes.shape[1] > KNOWN_WORDS:
+            self.__init__(self.seeds)
         codes = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        new = [xxhash.xxh64_intdigest(w, _SEED) for w in islice(self.index, len(self.hashes), None)]
-        self.hashes = np.concatenate((self.hashes, np.array(new, np.uint64)))
-        return self.hashes[codes]
+        new = list(islice(self.index, self.hashes.shape[1], None))
+        made = [[xxhash.xxh64_intdigest(w, seed) for w in new] for seed in self.seeds]
+        self.hashes = np.concatenate((self.hashes, np.array(made, np.uint64)), axis=1)
+        return self.hashes[:, codes]
 
 
-def windows_of(known, texts, length):
-    """Of many texts, each a list of words: the hashes of all windows, and their numbers."""
+def _places(texts, length):
+    """Where the windows of many texts start in all their words, and how many each has."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    hashes = window_hashes(known.of([w for words in texts for w in words]), length)
     counts = np.maximum(sizes - length + 1, 0)
     ends = np.cumsum(counts)
     place = np.arange(ends[-1] if len(ends) else 0)
     # Windows over the end of a text are left out.
     place += np.repeat(np.cumsum(sizes) - sizes - (ends - counts), counts)
-    return hashes[place], counts
+    return place, counts
+
+
+def windows_of(known, texts, length):
+    """Of many texts, each a list of words: the hashes of all windows, and their numbers."""
+    place, counts = _places(texts, length)
+    (words,) = known.of([w for words in texts for w in words])
+    return window_hashes(words, length)[place], counts
+
+
+def pairs_of(known, texts, length):
+    """The same with two hashes of each window; ``known`` has two seeds."""
+    place, counts = _places(texts, length)
+    first, second = known.of([w for words in texts for w in words])
+    pairs = np.empty(len(place), PAIR)
+    pairs["first"] = window_hashes(first, length)[place]
+    pairs["second"] = window_hashes(second, length)[place] >> np.uint64(32)
+    return pairs, counts
+
+
+def runs_of(pairs, *more):
+    """An order that puts equal pairs together, then by ``more``, and where each run starts."""
+    order = np.lexsort((*more, pairs["second"], pairs["first"]))
+    first, second = pairs["first"][order], pairs["second"][order]
+    new = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    return order, np.flatnonzero(np.r_[len(pairs) > 0, new])
+
+
+def among(pairs, others):
+    """Which of ``pairs`` are in ``others``."""
+    order, starts = runs_of(np.concatenate((pairs, others)))
+    run = np.zeros(len(order), np.int64)
+    run[starts[1:]] = 1
+    run = np.cumsum(run)
+    found = np.zeros(len(starts), bool)
+    found[run[order >= len(pairs)]] = True
+    out = np.empty(len(order), bool)
+    out[order] = found[run]
+    return out[: len(pairs)]
 
 
 def words_of_bytes(text):
@@ -167,9 +214,8 @@ def _unpacked(rows):
         np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32))
         for i, c in zip(rows["ids"], rows["counts"])
     ]
-    none = np.zeros(0, np.int64)
-    hashes = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
-    return np.concatenate([none, *docs]), np.concatenate([none.astype(np.uint64), *hashes])
+    hashes = [np.frombuffer(h, PAIR) for h in rows["hashes"]]
+    return np.concatenate([np.zeros(0, np.int64), *docs]), np.concatenate([np.zeros(0, PAIR), *hashes])
 
 
 def _by_document(docs, hashes, buckets):
@@ -183,27 +229,25 @@ def _pack(length, buckets, most):
     """Function for mapInPandas: from documents to rows for the buckets."""
 
     def pack(batches):
-        known = WordHashes()
+        known = WordHashes((_SEED, _SECOND_SEED))
         for ids, texts in _chunks(batches, most):
             words = [words_of_bytes(text) for text in texts]
             rows = [
                 (i % buckets, _WHOLE, None, None, None, i, len(w), sha256(b" ".join(w)).hexdigest())
                 for i, w in zip(ids.tolist(), words)
             ]
-            hashes, counts = windows_of(known, words, length)
+            hashes, counts = pairs_of(known, words, length)
             if len(hashes):
                 owner = np.repeat(np.arange(len(ids)), counts)
                 # Of windows that repeat in this chunk only the first one asks: the
                 # others know already. A passage that everyone has asks once a chunk.
-                order = np.argsort(hashes, kind="stable")
-                ordered = hashes[order]
-                first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+                order, first = runs_of(hashes)
                 leader = np.repeat(ids[owner[order[first]]], np.diff(np.r_[first, len(order)]))
-                later = ids[owner[order]] > leader
-                rows += _by_document(ids[owner[order[later]]], ordered[later], buckets)
+                later = order[ids[owner[order]] > leader]
+                rows += _by_document(ids[owner[later]], hashes[later], buckets)
                 ask = np.sort(order[first])
                 hashes, owner = hashes[ask], owner[ask]
-                bucket = (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                bucket = (hashes["first"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 rows += _packed(_ASK, bucket.astype(np.int64), ids[owner], hashes)
             yield pd.DataFrame(rows, columns=_names(_PACKED))
 
@@ -218,10 +262,9 @@ def _count(buckets):
 
     def count_(rows):
         docs, hashes = _unpacked(rows[rows["kind"] == _ASK])
-        order = np.lexsort((docs, hashes))
+        order, first = runs_of(hashes, docs)
         docs, hashes = docs[order], hashes[order]
-        first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(docs) else []
-        later = docs > np.repeat(docs[first], np.diff(np.r_[first, len(docs)]).astype(np.int64))
+        later = docs > np.repeat(docs[first], np.diff(np.r_[first, len(docs)]))
         found = _by_document(docs[later], hashes[later], buckets)
         answers = pd.DataFrame(found, columns=_names(_PACKED), dtype=object)
         return pd.concat([rows[rows["kind"] != _ASK].astype(object), answers], ignore_index=True)
@@ -243,20 +286,20 @@ def _remove(length, with_text, most):
     """Function for mapInPandas: what is left of the documents with repeated windows."""
 
     def one(doc_id, words, own, repeated):
-        bad = np.frombuffer(repeated, np.uint64)
-        gone = covered(np.flatnonzero(np.isin(own, bad)), length, len(words))
+        bad = among(own, np.frombuffer(repeated, PAIR))
+        gone = covered(np.flatnonzero(bad), length, len(words))
         kept = b" ".join([words[i] for i in np.flatnonzero(~gone)])
         bounds = np.flatnonzero(np.diff(np.r_[False, gone, False]))
         left = kept.decode() if with_text and gone.any() else None
         return doc_id, len(words), int(gone.sum()), sha256(kept).hexdigest(), bounds, left
 
     def remove(batches):
-        known = WordHashes()
+        known = WordHashes((_SEED, _SECOND_SEED))
         for batch in batches:
             ends = batch["text"].str.len().cumsum() // most
             for _, some in batch.groupby(ends.to_numpy(), sort=False):
                 words = [words_of_bytes(text) for text in some["text"]]
-                hashes, counts = windows_of(known, words, length)
+                hashes, counts = pairs_of(known, words, length)
                 own = np.split(hashes, np.cumsum(counts)[:-1])
                 yield pd.DataFrame(
                     [one(*r) for r in zip(some["doc_id"], words, own, some["repeated"])],
@@ -278,18 +321,20 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True, chunk_chars=CH
     Windows lie within one document and are judged on the input. Rows with one id are one
     document: they do not remove each other's words, and each gives a row. Rows with a
     NULL id cannot be ordered and are left out. NULL, empty and short texts have no
-    window. Windows are equal if their 64-bit hashes are. Texts of any length are taken
-    whole. An empty table gives an empty result.
+    window. Windows are equal if two hashes of them are, 96 bits in all. Texts of any length
+    are taken whole. An empty table gives an empty result.
     """
     texts = text_table(docs.filter(F.col("doc_id").isNotNull()))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     spark = docs.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(max(1, least, -(-size // BUCKET_BYTES)), 1 << 30)
-    packed = texts.mapInPandas(_pack(length, buckets, chunk_chars), _PACKED)
+    tasks = min(max(least, -(-buckets // TASK_BUCKETS)), MOST_TASKS)
+    packed = texts.mapInPandas(_pack(length, buckets, chunk_chars), _PACKED).repartition(tasks, "bucket")
     answers = stored(packed.groupBy("bucket").applyInPandas(_count(buckets), _PACKED), "window_answers")
     repeated = stored(
         answers.filter(F.col("kind") == _REPEATED)
+        .repartition(tasks, "bucket")
         .groupBy("bucket")
         .applyInPandas(_gather, "doc_id long, repeated binary"),
         "window_repeats",
