@@ -54,6 +54,66 @@ def test_risk_is_kept_from_below_zero():
     assert ((good @ w + bias) > 0).mean() > 0.95 and ((bad @ w + bias) < 0).mean() > 0.95
 
 
+def plain_loss(x, w, bias):
+    return np.logaddexp(0, x @ w + bias)
+
+
+def test_sums_over_all_documents(spark):
+    """Equal to plain numpy on every row, at any partitioning; the gradient to differences of the loss."""
+    texts = quality.text_table(spark.read.parquet(f"{SF}/documents.parquet"))
+    x = np.array([quality.text_features(r["text"]) for r in texts.collect()], float)
+    rng = np.random.default_rng(3)
+    w, bias = rng.normal(0, 0.3, quality.FEATURES), 0.2
+    found = [
+        quality.sums_of(quality.feature_table(t), lambda x: quality.unlabelled_terms(x, w, bias))
+        for t in (texts, texts.repartition(7))
+    ]
+    assert np.allclose(found[0], found[1], rtol=0, atol=1e-8)
+    assert np.isclose(found[0][0], plain_loss(x, w, bias).sum())
+    for k in (0, 50, quality.FEATURES - 1):
+        step = np.eye(quality.FEATURES)[k] * 1e-5
+        slope = (plain_loss(x, w + step, bias) - plain_loss(x, w - step, bias)).sum() / 2e-5
+        assert np.isclose(found[0][1 + k], slope, rtol=1e-4)
+    slope = (plain_loss(x, w, bias + 1e-5) - plain_loss(x, w, bias - 1e-5)).sum() / 2e-5
+    assert np.isclose(found[0][-1], slope, rtol=1e-4)
+
+
+def plain_fit(positive, unlabelled, prior, steps=400, rate=0.05):
+    """Non-negative PU learning in plain numpy on all rows, written from the paper's formulas."""
+    centre, spread = unlabelled.mean(0), unlabelled.std(0) + 0.02
+    p = np.c_[(positive - centre) / spread, np.ones(len(positive))]
+    u = np.c_[(unlabelled - centre) / spread, np.ones(len(unlabelled))]
+    w = np.r_[np.zeros(positive.shape[1]), np.log(prior / (1 - prior))]
+    ridge = np.r_[np.full(positive.shape[1], 1e-4), 0]
+    m = v = 0
+    for t in range(1, steps + 1):
+        sp, su = 1 / (1 + np.exp(-p @ w)), 1 / (1 + np.exp(-u @ w))
+        as_good = prior * np.mean((sp - 1)[:, None] * p, 0)
+        as_bad = np.mean(su[:, None] * u, 0) - prior * np.mean(sp[:, None] * p, 0)
+        risk = np.logaddexp(0, u @ w).mean() - prior * np.logaddexp(0, p @ w).mean()
+        grad = (as_good + as_bad if risk >= 0 else -as_bad) + ridge * w
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
+        w = w - rate * m / (1 - 0.9**t) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    return lambda x: 1 / (1 + np.exp(-np.c_[(x - centre) / spread, np.ones(len(x))] @ w))
+
+
+@pytest.mark.parametrize("fit_rows, most", [(8000, 1e-3), (300, 0.1)])
+def test_fit_equals_plain_numpy_on_all_rows(spark, fit_rows, most):
+    """Also with far fewer sampled rows than documents, as the whole corrects the sample."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit_quality(docs, labels, fit_rows=fit_rows)
+    rows = docs.select("doc_id", "text", quality.held_out(F.col("doc_id")).alias("out")).collect()
+    x = np.array([quality.text_features(r["text"] or "") for r in rows], float)
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1}
+    known = np.array([not r["out"] for r in rows])
+    trusted = known & np.array([r["doc_id"] in good for r in rows])
+    want = plain_fit(x[trusted], x[known], model.prior)(x)
+    got = quality._logistic(x @ model.weights + model.bias)
+    assert np.abs(got - want).mean() < most
+    assert ((got >= 0.7) == (want >= 0.7)).mean() > 0.98
+
+
 def test_odd_rows(spark, docs_of, odd_rows):
     labels = spark.createDataFrame(
         [(4, 1), (4, 0), (5, 1), (6, 1), (None, 1), (8, None), (99, 1)], "doc_id long, quality int"

@@ -4,6 +4,10 @@ The model is a logistic one over text statistics. Its loss is the non-negative
 unbiased risk of positive-unlabelled learning (Kiryo and others, 2017): with prior
 ``p`` of the good class, the risk of calling a text bad is estimated from unlabelled
 text less ``p`` times that on the positives, and kept from falling below zero.
+
+The unlabelled part of risk and gradient is summed over all documents, in one pass over
+their stored statistics per round. Between rounds a bounded sample stands in for them,
+corrected by a linear term so that risk and gradient equal the whole's where the round began.
 """
 
 from collections.abc import Iterator
@@ -12,11 +16,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from urbanstats.llm.common import text_table
+from urbanstats.llm.common import stored, text_table
 
-# Rows of each kind that the model is fitted on, at most. The rows with the smallest
-# hashes are taken, so the same rows come out at every partitioning.
+# Positives that the model is fitted on, and unlabelled rows that stand in for all between
+# two rounds, at most. The rows with the smallest hashes are taken, so the same rows come
+# out at every partitioning.
 FIT_ROWS = 8000
+# Passes over all documents, and steps after each.
+ROUNDS, STEPS = 5, 80
+# Sums over all documents are made of multiples of this, so that they are exact.
+GRAIN = 2.0**-32
 
 # Characters that have a class of their own in the statistics.
 MARKS = "!?.,;:'\"|*#$%&-_/\\()[]{}<>=+@~^`"
@@ -77,39 +86,66 @@ def _logistic(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_pu(positive, unlabelled, prior, steps=400, rate=0.05, decay=1e-4):
-    """Weights that minimise the non-negative risk; full-batch Adam, so deterministic.
+def _loss_of_bad(z):
+    sure = _logistic(z)
+    # Log loss: -log s for good, -log(1 - s) for bad.
+    return -np.log1p(-np.minimum(sure, 1 - 1e-12)), sure
+
+
+def unlabelled_terms(x, w, bias):
+    """Of each row of ``x``: the loss of calling it bad, its gradient, and that of the bias."""
+    loss, sure = _loss_of_bad(x @ w + bias)
+    return np.column_stack((loss, sure[:, None] * x, sure))
+
+
+def unlabelled_sums(x, w, bias):
+    """The sums of ``unlabelled_terms`` over all rows."""
+    loss, sure = _loss_of_bad(x @ w + bias)
+    return np.concatenate(([loss.sum()], sure @ x, [sure.sum()]))
+
 
-    Where the estimated risk on the bad class is negative, the step goes the other way
-    on that part alone, as the method says.
+def fit_pu(positive, sample, prior, whole=None, scale=None, rounds=ROUNDS, steps=STEPS, rate=0.05, decay=1e-4):
+    """Weights that minimise the non-negative risk, by Adam on full batches.
+
+    ``whole`` gives for weights and a bias the mean over all unlabelled rows of what
+    ``unlabelled_terms`` gives; ``scale`` is their centre and spread. Without these the
+    sample is the whole. Where the estimated risk on the bad class is negative, the step
+    goes the other way on that part alone, as the method says.
     """
-    centre = unlabelled.mean(0)
-    spread = unlabelled.std(0) + 0.02
-    p, u = (positive - centre) / spread, (unlabelled - centre) / spread
-    w = np.zeros(p.shape[1])
-    bias = float(np.log(prior / (1 - prior)))
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    for t in range(1, steps + 1):
-        sp, su = _logistic(p @ w + bias), _logistic(u @ w + bias)
-        # Log loss: -log s for good, -log(1 - s) for bad.
-        bad = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(
-            -np.minimum(sp, 1 - 1e-12)
-        ).mean()
-        good_grad, good_bias = -prior * ((1 - sp) @ p) / len(p), -prior * (1 - sp).mean()
-        bad_grad = (su @ u) / len(u) - prior * (sp @ p) / len(p)
-        bad_bias = su.mean() - prior * sp.mean()
-        if bad >= 0:
-            grad, grad_bias = good_grad + bad_grad, good_bias + bad_bias
-        else:
-            grad, grad_bias = -bad_grad, -bad_bias
-        grad = grad + decay * w
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        mb, vb = 0.9 * mb + 0.1 * grad_bias, 0.999 * vb + 0.001 * grad_bias**2
-        fix, fix2 = 1 - 0.9**t, 1 - 0.999**t
-        w -= rate * (m / fix) / (np.sqrt(v / fix2) + 1e-8)
-        bias -= rate * (mb / fix) / (np.sqrt(vb / fix2) + 1e-8)
-    w = w / spread
-    return w, bias - float(centre @ w)
+    centre, spread = scale or (sample.mean(0), sample.std(0) + 0.02)
+    p, u = (positive - centre) / spread, (sample - centre) / spread
+    n = p.shape[1]
+
+    def of_whole(w, bias):
+        if whole is None:
+            return unlabelled_sums(u, w, bias) / len(u)
+        plain = w / spread
+        found = whole(plain, bias - float(centre @ plain))
+        found[1:-1] = (found[1:-1] - centre * found[-1]) / spread
+        return found
+
+    at = np.zeros(n + 1)  # weights, then the bias
+    at[n] = np.log(prior / (1 - prior))
+    m, v, t = np.zeros(n + 1), np.zeros(n + 1), 0
+    for _ in range(rounds):
+        start = at.copy()
+        lack = of_whole(at[:n], at[n]) - unlabelled_sums(u, at[:n], at[n]) / len(u)
+        for _ in range(steps):
+            t += 1
+            sums = unlabelled_sums(u, at[:n], at[n]) / len(u) + lack
+            sums[0] += lack[1:] @ (at - start)
+            good = unlabelled_sums(p, at[:n], at[n]) / len(p)
+            bad = sums - prior * good
+            grad = bad[1:].copy()
+            if bad[0] >= 0:
+                grad -= prior * (np.append(p.mean(0), 1.0) - good[1:])
+            else:
+                grad = -grad
+            grad[:n] += decay * at[:n]
+            m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+            at = at - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    w = at[:n] / spread
+    return w, float(at[n] - centre @ w)
 
 
 def held_out(doc_id):
@@ -117,33 +153,51 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _sample(ids, limit):
-    """At most ``limit`` distinct ids: those with the smallest hashes."""
-    return (
-        ids.distinct()
-        .withColumn("_order", F.xxhash64("doc_id"))
-        .orderBy("_order", "doc_id")
-        .limit(limit)
-        .select("doc_id")
-    )
+def _smallest(rows, limit):
+    """At most ``limit`` rows: those with the smallest hashes.
 
+    In a large table most rows are left out by their hash before they are put in order,
+    as each task would else send ``limit`` of them to one.
+    """
+    n, names = rows.count(), rows.columns
+    ranked = rows.withColumn("_hash", F.xxhash64(*names))
+    if n > 4 * limit:
+        ranked = ranked.filter(F.col("_hash") < (1 << 65) * limit // n - (1 << 63))
+    return ranked.orderBy("_hash", *names).limit(limit).select(*names)
 
-def _features_of(texts, ids, limit):
-    """A row of statistics for each of at most ``limit`` ids.
 
-    The ids are chosen before any text is read, so the join ships ``limit`` longs and
-    moves no text. Of several rows with one id the smallest statistics count.
-    """
+def _matrix(rows):
+    values = rows.toPandas()["f"]
+    return np.array(values.tolist(), np.float64).reshape(len(values), FEATURES)
+
+
+def feature_table(texts):
+    """The statistics of every text, stored: doc_id, f."""
 
     @F.pandas_udf("array<float>")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([text_features(t) for t in texts])
 
-    chosen = texts.join(F.broadcast(_sample(ids, limit)), "doc_id", "left_semi")
-    rows = chosen.select("doc_id", features("text").alias("f")).groupBy("doc_id").agg(F.min("f").alias("f"))
-    values = rows.orderBy("doc_id").toPandas()["f"]
-    return np.array(values.tolist(), np.float64).reshape(len(values), FEATURES)
+    return stored(texts.select("doc_id", features("text").alias("f")), "quality_features")
+
+
+def sums_of(table, terms):
+    """The sums over all rows of ``table`` of the columns that ``terms`` gives for a matrix of them.
+
+    Each value is rounded to whole grains and counted as a whole number, so a sum does not
+    depend on order or partitions. A batch sends one array.
+    """
+
+    def add(batches):
+        for batch in batches:
+            if len(batch):
+                grains = np.rint(terms(np.stack(batch["f"]).astype(np.float64)) / GRAIN)
+                yield pd.DataFrame({"sums": [grains.sum(0).astype(np.int64)]})
+
+    parts = table.select("f").mapInPandas(add, "sums array<bigint>").select(F.posexplode("sums"))
+    found = parts.groupBy("pos").agg(F.sum(F.col("col").cast("decimal(28,0)")).alias("total"))
+    return np.array([float(r["total"]) * GRAIN for r in found.orderBy("pos").collect()])
 
 
 class QualityModel:
@@ -171,8 +225,10 @@ def fit_quality(docs, labels, prior=None, fit_rows=FIT_ROWS):
     Trusted positives are documents whose every label row has quality 1. The unlabelled
     text is any document, labelled or not. ``prior`` is the share of good documents; by
     default it is estimated as the share of positives among all labelled documents that
-    are not held out, kept within 0.05 and 0.95. At most ``fit_rows`` documents of each
-    kind are used, while the prior counts all labels.
+    are not held out, kept within 0.05 and 0.95. At most ``fit_rows`` positives are used;
+    the prior counts all labels, and centre, spread and unlabelled risk take in all
+    documents. Of several rows with one id each counts as unlabelled text, and the one
+    with the smallest statistics as a positive.
 
     NULL labels and ids take no part. Without a positive or any text nothing can be
     learned: the model then gives every text the prior (0.5 if that is unknown).
@@ -189,13 +245,21 @@ def fit_quality(docs, labels, prior=None, fit_rows=FIT_ROWS):
         prior = marks.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
         prior = 0.5 if prior is None else prior
     prior = min(0.95, max(0.05, prior))
-    ids = texts.select("doc_id")
-    good = marks.filter(F.col("quality") == 1).select("doc_id").join(ids, "doc_id", "left_semi")
-    positive = _features_of(texts, good, fit_rows)
-    unlabelled = _features_of(texts, ids, fit_rows)
-    if not len(positive) or not len(unlabelled):
+    table = feature_table(texts)
+    good = marks.filter(F.col("quality") == 1).select("doc_id").join(table.select("doc_id"), "doc_id", "left_semi")
+    trusted = table.join(F.broadcast(_smallest(good, fit_rows)), "doc_id", "left_semi")
+    positive = _matrix(trusted.groupBy("doc_id").agg(F.min("f").alias("f")).orderBy("doc_id"))
+    n = table.count()
+    if not len(positive) or not n:
         return QualityModel(np.zeros(FEATURES), float(np.log(prior / (1 - prior))), prior)
-    weights, bias = fit_pu(positive, unlabelled, prior)
+    mean, square = np.split(sums_of(table, lambda x: np.column_stack((x, x * x))) / n, 2)
+    scale = mean, np.sqrt(np.maximum(square - mean * mean, 0)) + 0.02
+
+    def whole(w, bias):
+        return sums_of(table, lambda x: unlabelled_terms(x, w, bias)) / n
+
+    sample = _matrix(_smallest(table, fit_rows).select("f"))
+    weights, bias = fit_pu(positive, sample, prior, whole, scale)
     return QualityModel(weights, bias, prior)
 
 
