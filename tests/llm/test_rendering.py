@@ -91,9 +91,65 @@ def test_layout(case):
     assert visible_text(html) == text
 
 
-def test_wide_cells_do_not_widen_their_column():
-    lines = visible_text(f"<table><tr><td>{'w' * 200}<td>x<tr><td>a<td>y</table>").split("\n")
-    assert lines == ["w" * 200 + "  x", "a  y"]
+def table_of(*rows):
+    cells = ["".join(f"<td{' colspan=%d' % wide if wide > 1 else ''}>{text}" for text, wide in row) for row in rows]
+    return visible_text("<table>" + "".join("<tr>" + c for c in cells) + "</table>").split("\n")
+
+
+def test_long_words_leave_the_cells_after_them_in_place():
+    assert table_of([("w" * 200, 1), ("x", 1)], [("a", 1), ("y", 1)]) == ["w" * 200, "   x", "a  y"]
+
+
+def test_long_cells_are_wrapped_in_their_column():
+    lines = table_of([("word " * 40, 1), ("x", 1)], [("a", 1), ("y", 1)], [("b", 1), ("last " * 40, 1)])
+    assert lines == [
+        ("word " * 16)[:79] + "  x",
+        ("word " * 16)[:79],
+        ("word " * 8)[:39],
+        "a" + " " * 80 + "y",
+        "b" + " " * 80 + ("last " * 40).strip(),
+    ]
+
+
+def test_spanning_cells_widen_their_columns():
+    assert table_of([("spanning two", 2), ("x", 1)], [("a", 1), ("b", 1), ("y", 1)]) == [
+        "spanning two  x",
+        "a      b      y",
+    ]
+    # A span over columns that are wide enough, and one that nothing follows.
+    assert table_of([("ab", 2), ("x", 1)], [("long", 1), ("er", 1), ("y", 1)], [("to the end of it", 3)]) == [
+        "ab        x",
+        "long  er  y",
+        "to the end of it",
+    ]
+
+
+def test_aligned_text_in_cells_is_not_wrapped():
+    inner = "<table><tr><td>" + "i" * 60 + "<td>" + "j" * 60 + "</table>"
+    assert table_of([(inner, 1), ("x", 1)], [("a", 1), ("y", 1)]) == ["i" * 60 + "  " + "j" * 60, "   x", "a  y"]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_every_cell_starts_at_its_column(seed):
+    """Tables of random spans and lengths: a cell's own mark stands at one place per column."""
+    rnd = random.Random(seed)
+    rows, marks, n = [], {}, rnd.randrange(2, 6)
+    for r in range(8):
+        row, column = [], 0
+        while column < n:
+            wide = min(rnd.choice([1, 1, 1, 2, 3]), n - column)
+            mark = f"m{r}.{column}"
+            marks[mark] = column
+            row.append((mark + rnd.choice(["", " word" * rnd.randrange(60), "w" * rnd.randrange(200)]), wide))
+            column += wide
+        rows.append(row)
+    lines, places = table_of(*rows), {}
+    for mark, column in marks.items():
+        (at,) = {m.start() for line in lines for m in re.finditer(rf"{mark}(?!\d)", line)}
+        assert places.setdefault(column, at) == at
+    assert letters("".join(lines)) and sorted(letters("".join(lines))) == sorted(
+        letters("".join(text for row in rows for text, _ in row))
+    )
 
 
 def test_any_text_is_read():

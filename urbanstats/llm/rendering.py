@@ -1,9 +1,12 @@
 """HTML extraction: a tree with implied tags, rendered as text the way a page is laid out."""
 
 import re
+import textwrap
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -49,7 +52,7 @@ IMPLIED_START = {
     "tr": ("tbody", _ROWS),
 }
 MOST_COLUMNS, MOST_ROWS = 1000, 65534
-# Cells longer than this do not widen their column.
+# Cells longer than this are wrapped where others follow in their row.
 WIDEST_COLUMN = 80
 # Deeper elements join their ancestor at this depth; none of their text is lost.
 DEEPEST = 512
@@ -279,30 +282,78 @@ class Table:
         self.column += wide
 
     def render(self):
-        """Lines with each column as wide as its widest cell, two spaces apart."""
-        widths = {}
-        for row in self.rows:
-            for column, wide, lines in row:
-                longest = max(map(len, lines))
-                if wide == 1 and longest <= WIDEST_COLUMN:
-                    widths[column] = max(widths.get(column, 0), longest)
+        """Lines in which each cell starts at its column's place, two spaces after the one before.
+
+        A column is as wide as its widest line of at most ``WIDEST_COLUMN``; columns that a
+        spanning cell covers share what it lacks. Only cells that others follow are wrapped
+        and make spanned columns wider. Where a line cannot be wrapped and is too wide, the
+        cells after it stand on the next line, still at their places.
+        """
         columns = sorted({c for row in self.rows for c, _, _ in row})
-        place, at = {}, 0
-        for i, c in enumerate(columns):
-            place[c] = at
-            at += widths.get(c, 0) + 2
+        index = {c: i for i, c in enumerate(columns)}
+        widths, spans = [0] * len(columns), []
+        rows = [[[index[c], lines] for c, _, lines in row] for row in self.rows]
+        for row, cells in zip(self.rows, rows):
+            for k, (column, wide, _) in enumerate(row):
+                cell, followed = cells[k], k + 1 < len(row)
+                end = bisect_left(columns, column + wide)
+                if end - cell[0] > 1:
+                    if followed:
+                        spans.append((end, cell))
+                    continue
+                if followed:
+                    cell[1] = _wrapped(cell[1], WIDEST_COLUMN)
+                widths[cell[0]] = max(widths[cell[0]], _widest(cell[1], WIDEST_COLUMN))
+        for end, cell in sorted(spans, key=lambda s: (s[0] - s[1][0], s[0])):
+            start, n = cell[0], end - cell[0]
+            room = sum(widths[start:end]) + 2 * (n - 1)
+            most = max(WIDEST_COLUMN, room)
+            cell[1] = _wrapped(cell[1], most)
+            lack = max(0, _widest(cell[1], most) - room)
+            for i in range(n if lack else 0):
+                widths[start + i] += lack * (i + 1) // n - lack * i // n
+        place = [0, *accumulate(w + 2 for w in widths)]
         out = []
-        for row in self.rows:
-            for k in range(max((len(lines) for _, _, lines in row), default=0)):
+        for cells in rows:
+            for k in range(max((len(lines) for _, lines in cells), default=0)):
                 line = ""
-                for column, _, lines in row:
+                for column, lines in cells:
                     if k < len(lines) and lines[k]:
-                        gap = 2 if line else 0
-                        line = line.ljust(max(len(line) + gap, place[column])) + lines[k]
+                        if line and len(line) + 2 > place[column]:
+                            out.append(line.rstrip())
+                            line = ""
+                        line = line.ljust(place[column]) + lines[k]
                 out.append(line.rstrip())
         return [line for line in out if line]
 
 
+def _widest(lines, most):
+    return max((len(line) for line in lines if len(line) <= most), default=0)
+
+
+def _wrapped(lines, width):
+    """Lines cut at spaces to ``width``. Words stay whole, and so do lines with runs of
+    space within them, as those are aligned already."""
+    out = []
+    for line in lines:
+        text = line.strip(" ")
+        if len(line) <= width or "  " in text:
+            out.append(line)
+            continue
+        indent = line[: min(len(line) - len(line.lstrip(" ")), width // 2)]
+        out += textwrap.wrap(
+            text,
+            width,
+            initial_indent=indent,
+            subsequent_indent=indent,
+            expand_tabs=False,
+            replace_whitespace=False,
+            break_long_words=False,
+            break_on_hyphens=False,
+        )
+    return out
+
+
 def render(root):
     """The visible text of a tree, laid out in lines."""
     flows, tables, lists = [Flow()], [], []
@@ -404,7 +455,8 @@ def extract_text(pages, html_column="html", id_column="page_id"):
     Missing and implied tags are put in place, unclosed and misnested ones closed. Blocks
     stand on lines of their own, paragraphs, headings, lists and tables between blank
     lines. Items carry ``-`` or their number and are indented by depth; the cells of a
-    table start at the same place in every row, where none is longer than 80 characters.
+    table start at their column's place in every row; cells over 80 characters are wrapped
+    where others follow them.
     Space collapses but in preformatted text. Left out is what is not shown: head,
     scripts, styles, templates, comments, and elements that ``hidden``, ``display:none``,
     ``visibility:hidden``, a closed ``details`` or ``dialog`` hide.
