@@ -102,3 +102,14 @@ def test_no_python_in_the_plan(spark, docs_of, plan):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     assert not re.search("Python|Pandas|Arrow", plan(find_contained(docs, items)))
+
+
+def test_texts_are_split_once_for_all_lengths(spark, docs_of, plan, monkeypatch):
+    """Items of one to six words: the candidate search reads and splits the documents once."""
+    plans = []
+    whole = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: plans.append(plan(df, mode="simple")) or whole(df, name))
+    items = items_of(spark, [(n, " ".join("abcdef"[:n])) for n in range(1, 7)])
+    got = find_contained(docs_of([(1, "x a b c d e f y"), (2, "b a")]), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, n) for n in range(1, 7)} | {(2, 1)}
+    assert "Union" not in plans[0] and plans[0].count("Generate explode") == 2

@@ -40,6 +40,16 @@ def _hash(word):
     return F.xxhash64(word)
 
 
+_RUNS = "array<struct<length:int,h:bigint>>"
+
+
+def _hashed_runs(words, length):
+    """A struct of length and hash per run of ``length`` words."""
+    return _runs(
+        words, length, lambda w: F.struct(F.lit(length).alias("length"), F.xxhash64(F.array(*w)).alias("h"))
+    ).cast(_RUNS)
+
+
 def _shingle_text(words):
     return F.concat_ws(" ", *words)
 
@@ -98,19 +108,13 @@ def find_contained(docs, items, shingle_words=SHINGLE_WORDS, containment=CONTAIN
     word_hashes = texts.select(
         "doc_id", "text_key", F.transform(plain_words(F.col("text")), _hash).alias("words")
     )
-    found = [
-        word_hashes.select(
-            "doc_id",
-            "text_key",
-            F.explode(_runs(F.col("words"), n, lambda w: F.xxhash64(F.array(*w)))).alias("h"),
-        )
-        .join(probes.filter(F.col("length") == n), "h")
-        .select("doc_id", "text_key", "item_id")
-        for n in lengths
-    ]
-    hits = docs.sparkSession.range(0).selectExpr("id AS doc_id", "id AS text_key", "id AS item_id")
-    for part in found:
-        hits = hits.unionByName(part)
+    # The runs of all lengths in one pass: a text is read and split once.
+    shingles = word_hashes.select(
+        "doc_id",
+        "text_key",
+        F.explode(F.concat(F.array().cast(_RUNS), *[_hashed_runs(F.col("words"), n) for n in lengths])).alias("run"),
+    ).select("doc_id", "text_key", "run.length", "run.h")
+    hits = shingles.join(probes, ["length", "h"]).select("doc_id", "text_key", "item_id")
     pairs = hits.distinct().select(
         F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key"), "item_id"
     )

@@ -7,6 +7,8 @@ it is active, and each capture meets the intervals that hold its fetch time.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from urbanstats.llm.common import stored
+
 # What an entry's value stands for: one host; a domain with all hosts below it; a host
 # and the first segments of a path.
 KINDS = ("host", "domain", "prefix")
@@ -102,7 +104,7 @@ def judge_captures(captures, entries, id_column="page_id", url_column="url", tim
     intervals, so a host with most captures makes no more rows than captures, and Spark
     can split it or ship the lists.
     """
-    intervals = active_intervals(entries)
+    intervals = stored(active_intervals(entries), "list_intervals")
     most = intervals.agg(
         F.max(F.when(F.col("kind") == "domain", F.size(F.split("value", r"\.")))).alias("labels"),
         F.max(F.when(F.col("kind") == "prefix", F.size(F.split("value", "/")) - 1)).alias("segments"),
