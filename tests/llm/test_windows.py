@@ -98,9 +98,16 @@ def test_one_weak_hash_makes_no_false_repeat(space, monkeypatch, field, chunk):
     rnd = random.Random(5)
     rows = [(i, " ".join(rnd.choice("abcd") for _ in range(rnd.randrange(30)))) for i in range(60)]
     docs = pd.DataFrame(rows, columns=["doc_id", "text"])
+
+    def by_bucket(rows, each):
+        return pd.concat([each(rows[:0]), *(each(group) for _, group in rows.groupby("bucket"))])
+
     packed = pd.concat(windows._pack(4, 3, chunk)([docs]))
-    answers = pd.concat([windows._count(3)(g) for _, g in packed.groupby("bucket")])
-    repeated = windows._gather(answers[answers["kind"] == windows._REPEATED])
+    answers = by_bucket(packed, windows._suspect(3))
+    suspects = by_bucket(answers[answers["kind"] == windows._SUSPECT], windows._gather(np.uint64))
+    again = pd.concat([packed[:0], *windows._ask_again(4, 3, chunk)([docs.merge(suspects, on="doc_id")])])
+    known = answers[answers["kind"] == windows._REPEATED]
+    repeated = by_bucket(pd.concat([by_bucket(again, windows._count(3)), known]), windows._gather(windows.PAIR))
     cut = pd.concat(windows._remove(4, True, chunk)([docs.merge(repeated, on="doc_id")]))
     want = {w[0]: w[2:4] for w in plain(rows, 4, space) if w[2]}
     assert want and {r.doc_id: (r.n_removed, r.kept_sha256) for r in cut.itertuples()} == want

@@ -1,9 +1,10 @@
 """Substring dedup: passages of many words that a document with a smaller id holds too.
 
-The Rabin-Karp hash of every window of words is counted, with 32 bits of a second one
-from other hashes of the words, and windows are equal only if both are. Tasks pack the
-hashes by bucket, twelve bytes a window, so that no row is made per window; Spark brings
-each bucket together, and the answers go back to the documents that asked.
+The Rabin-Karp hash of every window of words is counted. Tasks pack the hashes by
+bucket, eight bytes each, so that no row is made per window; Spark brings each bucket
+together. The few windows whose hash comes twice are counted again with a second one, from
+other hashes of the words: they are equal only if both are. The answers go back to the
+documents that asked.
 """
 
 from collections import defaultdict
@@ -21,10 +22,11 @@ WINDOW = 50
 # Characters that a task hashes at a time, and words that it remembers.
 CHUNK_CHARS = 2_000_000
 KNOWN_WORDS = 250_000
-# Bytes of text whose windows share a bucket, about (some 1.6 million windows), and buckets
-# that share a task; tasks grow with the input, up to a number that a driver can track.
-BUCKET_BYTES = 10_000_000
-TASK_BUCKETS = 8
+# Windows that a task holds before it packs them, 24 bytes each.
+HELD_WINDOWS = 500_000
+# Bytes of text whose windows share a bucket, about (some 2.5 million windows). There is a
+# task for each, so tasks grow in number and not in size, up to what a driver can track.
+BUCKET_BYTES = 16_000_000
 MOST_TASKS = 200_000
 # Ids of documents with removals are broadcast up to this many (32 MB or so), so that
 # only those documents' texts move; beyond, all texts are joined by key.
@@ -36,7 +38,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _SEED, _SECOND_SEED = 50, 51
 
 # A window's two hashes.
-PAIR = np.dtype([("first", np.uint64), ("second", np.uint32)])
+PAIR = np.dtype([("first", np.uint64), ("second", np.uint64)])
 
 
 class WordHashes:
@@ -84,7 +86,7 @@ def pairs_of(known, texts, length):
     first, second = known.of([w for words in texts for w in words])
     pairs = np.empty(len(place), PAIR)
     pairs["first"] = window_hashes(first, length)[place]
-    pairs["second"] = window_hashes(second, length)[place] >> np.uint64(32)
+    pairs["second"] = window_hashes(second, length)[place]
     return pairs, counts
 
 
@@ -175,8 +177,9 @@ def _in_order(ids, texts):
     return np.array([ids[i] for i in order], np.int64), [texts[i] for i in order]
 
 
-# Kinds of packed rows: windows to count, windows that repeat, and whole documents.
-_ASK, _REPEATED, _WHOLE = 0, 1, 2
+# Kinds of packed rows: windows to count, windows whose first hash comes twice, windows
+# that repeat, and whole documents. The second and third are for their documents.
+_ASK, _SUSPECT, _REPEATED, _WHOLE = 0, 1, 2, 3
 _PACKED = "bucket int, kind int, ids binary, counts binary, hashes binary, doc_id long, n_words long, digest string"
 
 
@@ -208,21 +211,29 @@ def _packed(kind, buckets, docs, hashes):
         )
 
 
-def _unpacked(rows):
-    """The document and the hash of each window in packed rows."""
+def _unpacked(rows, dtype=PAIR):
+    """The document and the hashes of each window in packed rows."""
     docs = [
         np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32))
         for i, c in zip(rows["ids"], rows["counts"])
     ]
-    hashes = [np.frombuffer(h, PAIR) for h in rows["hashes"]]
-    return np.concatenate([np.zeros(0, np.int64), *docs]), np.concatenate([np.zeros(0, PAIR), *hashes])
+    hashes = [np.frombuffer(h, dtype) for h in rows["hashes"]]
+    return np.concatenate([np.zeros(0, np.int64), *docs]), np.concatenate([np.zeros(0, dtype), *hashes])
 
 
-def _by_document(docs, hashes, buckets):
-    """Packed rows of repeated windows for the buckets of their documents."""
+def _by_document(kind, docs, hashes, buckets):
+    """Packed rows of windows for the buckets of their documents."""
     order = np.argsort(docs, kind="stable")
     docs, hashes = docs[order], hashes[order]
-    return _packed(_REPEATED, docs % buckets, docs, hashes)
+    return _packed(kind, docs % buckets, docs, hashes)
+
+
+def _bucket(first, buckets):
+    return ((first >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _frame(rows):
+    return pd.DataFrame(rows, columns=_names(_PACKED), dtype=object)
 
 
 def _pack(length, buckets, most):
@@ -244,42 +255,97 @@ def _pack(length, buckets, most):
                 order, first = runs_of(hashes)
                 leader = np.repeat(ids[owner[order[first]]], np.diff(np.r_[first, len(order)]))
                 later = order[ids[owner[order]] > leader]
-                rows += _by_document(ids[owner[later]], hashes[later], buckets)
+                rows += _by_document(_REPEATED, ids[owner[later]], hashes[later], buckets)
                 ask = np.sort(order[first])
-                hashes, owner = hashes[ask], owner[ask]
-                bucket = (hashes["first"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                rows += _packed(_ASK, bucket.astype(np.int64), ids[owner], hashes)
+                asked = hashes["first"][ask]
+                rows += _packed(_ASK, _bucket(asked, buckets), ids[owner[ask]], asked)
             yield pd.DataFrame(rows, columns=_names(_PACKED))
 
     return pack
 
 
+def _suspect(buckets):
+    """Function for applyInPandas: of a bucket's windows, those whose hash comes twice.
+
+    They are packed again, by the buckets of their documents. Other rows pass.
+    """
+
+    def suspect(rows):
+        docs, hashes = _unpacked(rows[rows["kind"] == _ASK], np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        docs, hashes = docs[order], hashes[order]
+        same = hashes[1:] == hashes[:-1]
+        twice = np.r_[False, same] | np.r_[same, False] if len(docs) else np.zeros(0, bool)
+        found = _frame(_by_document(_SUSPECT, docs[twice], hashes[twice], buckets))
+        return pd.concat([rows[rows["kind"] != _ASK].astype(object), found], ignore_index=True)
+
+    return suspect
+
+
+def _ask_again(length, buckets, most):
+    """Function for mapInPandas: the suspects of documents with both their hashes.
+
+    Many documents are packed together, up to ``HELD_WINDOWS`` suspects.
+    """
+
+    def pack(held):
+        docs = np.concatenate([np.full(len(mine), doc_id, np.int64) for doc_id, mine in held])
+        pairs = np.concatenate([mine for _, mine in held])
+        return _frame(_packed(_ASK, _bucket(pairs["first"], buckets), docs, pairs))
+
+    def ask(batches):
+        known, held, n = WordHashes((_SEED, _SECOND_SEED)), [], 0
+        for batch in batches:
+            for doc_id, own, suspects in _own_windows(known, batch, length, most):
+                mine = own[np.isin(own["first"], np.frombuffer(suspects, np.uint64))]
+                order, first = runs_of(mine)
+                held.append((doc_id, mine[order[first]]))
+                n += len(first)
+                if n >= HELD_WINDOWS:
+                    yield pack(held)
+                    held, n = [], 0
+        if held:
+            yield pack(held)
+
+    return ask
+
+
 def _count(buckets):
     """Function for applyInPandas: of a bucket's windows, those that a smaller id holds too.
 
-    They are packed again, by the buckets of their documents. Other rows pass.
+    They are packed again, by the buckets of their documents.
     """
 
     def count_(rows):
-        docs, hashes = _unpacked(rows[rows["kind"] == _ASK])
+        docs, hashes = _unpacked(rows)
         order, first = runs_of(hashes, docs)
         docs, hashes = docs[order], hashes[order]
         later = docs > np.repeat(docs[first], np.diff(np.r_[first, len(docs)]))
-        found = _by_document(docs[later], hashes[later], buckets)
-        answers = pd.DataFrame(found, columns=_names(_PACKED), dtype=object)
-        return pd.concat([rows[rows["kind"] != _ASK].astype(object), answers], ignore_index=True)
+        return _frame(_by_document(_REPEATED, docs[later], hashes[later], buckets))
 
     return count_
 
 
-def _gather(rows):
-    """Function for applyInPandas: one row per document with all its repeated windows."""
-    docs, hashes = _unpacked(rows)
-    order = np.argsort(docs, kind="stable")
-    docs, hashes = docs[order], hashes[order]
-    cuts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1], True])
-    found = [(docs[a], hashes[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-    return pd.DataFrame(found, columns=["doc_id", "repeated"])
+def _gather(dtype):
+    """Function for applyInPandas: one row per document with all its windows."""
+
+    def gather(rows):
+        docs, hashes = _unpacked(rows, dtype)
+        order = np.argsort(docs, kind="stable")
+        docs, hashes = docs[order], hashes[order]
+        cuts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1], True]) if len(docs) else [0]
+        found = [(docs[a], hashes[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+        return pd.DataFrame(found, columns=["doc_id", "windows"])
+
+    return gather
+
+
+def _own_windows(known, batch, length, most):
+    """Of each row: the id, the hashes of its own windows, and the windows that came with it."""
+    ends = batch["text"].str.len().cumsum() // most
+    for _, some in batch.groupby(ends.to_numpy(), sort=False):
+        hashes, counts = pairs_of(known, [words_of_bytes(text) for text in some["text"]], length)
+        yield from zip(some["doc_id"], np.split(hashes, np.cumsum(counts)[:-1]), some["windows"])
 
 
 def _remove(length, with_text, most):
@@ -302,7 +368,7 @@ def _remove(length, with_text, most):
                 hashes, counts = pairs_of(known, words, length)
                 own = np.split(hashes, np.cumsum(counts)[:-1])
                 yield pd.DataFrame(
-                    [one(*r) for r in zip(some["doc_id"], words, own, some["repeated"])],
+                    [one(*r) for r in zip(some["doc_id"], words, own, some["windows"])],
                     columns=["doc_id", "n_words", "n_removed", "kept_sha256", "bounds", "kept"],
                 )
 
@@ -321,35 +387,42 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True, chunk_chars=CH
     Windows lie within one document and are judged on the input. Rows with one id are one
     document: they do not remove each other's words, and each gives a row. Rows with a
     NULL id cannot be ordered and are left out. NULL, empty and short texts have no
-    window. Windows are equal if two hashes of them are, 96 bits in all. Texts of any length
+    window. Windows are equal if two hashes of them are, 128 bits in all. Texts of any length
     are taken whole. An empty table gives an empty result.
     """
     texts = text_table(docs.filter(F.col("doc_id").isNotNull()))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     spark = docs.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = spark.sparkContext.defaultParallelism
     buckets = min(max(1, least, -(-size // BUCKET_BYTES)), 1 << 30)
-    tasks = min(max(least, -(-buckets // TASK_BUCKETS)), MOST_TASKS)
-    packed = texts.mapInPandas(_pack(length, buckets, chunk_chars), _PACKED).repartition(tasks, "bucket")
-    answers = stored(packed.groupBy("bucket").applyInPandas(_count(buckets), _PACKED), "window_answers")
-    repeated = stored(
-        answers.filter(F.col("kind") == _REPEATED)
-        .repartition(tasks, "bucket")
-        .groupBy("bucket")
-        .applyInPandas(_gather, "doc_id long, repeated binary"),
-        "window_repeats",
+    tasks = min(buckets, MOST_TASKS)
+
+    def by_bucket(rows, each, schema=_PACKED):
+        return rows.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(each, schema)
+
+    def touched(documents):
+        """Texts of these documents alone; texts of others do not move."""
+        ids = documents.select("doc_id")
+        ids = ids if ids.count() > MAX_BROADCAST_IDS else F.broadcast(ids)
+        return texts.join(ids, "doc_id", "left_semi").join(documents, "doc_id")
+
+    packed = texts.mapInPandas(_pack(length, buckets, chunk_chars), _PACKED)
+    answers = stored(by_bucket(packed, _suspect(buckets)), "window_answers")
+    of_document = "doc_id long, windows binary"
+    suspects = by_bucket(answers.filter(F.col("kind") == _SUSPECT), _gather(np.uint64), of_document)
+    again = touched(stored(suspects, "window_suspects")).mapInPandas(
+        _ask_again(length, buckets, chunk_chars), _PACKED
     )
+    found = by_bucket(again, _count(buckets)).unionByName(answers.filter(F.col("kind") == _REPEATED))
+    repeated = stored(by_bucket(found, _gather(PAIR), of_document), "window_repeats")
     whole = answers.filter(F.col("kind") == _WHOLE).select("doc_id", "n_words", "digest")
-    touched = repeated.select("doc_id")
-    ids = touched if touched.count() > MAX_BROADCAST_IDS else F.broadcast(touched)
     none = F.array().cast("array<array<bigint>>")
     pairs = F.transform(
         F.sequence(F.lit(0), (F.size("bounds") / 2 - 1).cast("int")),
         lambda i: F.array(F.get("bounds", 2 * i), F.get("bounds", 2 * i + 1)),
     )
     cut = (
-        texts.join(ids, "doc_id", "left_semi")
-        .join(repeated, "doc_id")
+        touched(repeated)
         .mapInPandas(
             _remove(length, with_text, chunk_chars),
             "doc_id long, n_words long, n_removed long, kept_sha256 string, bounds array<long>, kept string",
@@ -363,7 +436,7 @@ def remove_repeated_passages(docs, length=WINDOW, with_text=True, chunk_chars=CH
             "kept",
         )
     )
-    same = whole.join(touched, "doc_id", "left_anti").select(
+    same = whole.join(repeated.select("doc_id"), "doc_id", "left_anti").select(
         "doc_id",
         "n_words",
         F.lit(0).cast("long").alias("n_removed"),
