@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from urbanstats.schemas import BLOCK_COLUMNS, INCOME_COLUMNS
 from urbanstats.sources import (
     feature_properties,
+    features,
     read_csv,
     read_csv_by_name,
     read_features,
@@ -417,3 +419,67 @@ def test_documents_in_any_order_are_bounded(spark, monkeypatch):
     path = derive.save_feature_documents_any_order(spark.range(500, numPartitions=3), ["id"], "bounded")
     sizes = [r["n"] for r in spark.read.json(path).select(F.size("features").alias("n")).collect()]
     assert sum(sizes) == 500 and max(sizes) <= 10
+
+
+NUMBERS = [("1.50", "1E5", '{"x": 1.50,  "y": [1]}'), ("-0", "12345678901234567890123", "true")]
+
+
+def numbers_document(rows):
+    parts = [f'{{"properties": {{"ZCTA20": {a}, "POP20": {b}, "HOUSING20": {c}}}}}' for a, b, c in rows]
+    return f'{{"type": "FeatureCollection", "features": [{", ".join(parts)}]}}'
+
+
+@pytest.mark.parametrize("largest", [10, 1_000_000])
+def test_numbers_of_a_document_stay_as_they_are_written(spark, save, monkeypatch, largest):
+    """Also in documents that are too large to be read as one text, and beside such ones."""
+    monkeypatch.setattr(features, "DOCUMENT_TEXT_BYTES", largest)
+    folder = save("n/a.json", numbers_document(NUMBERS)).rsplit("/", 1)[0]
+    save("n/b.json", numbers_document([("7", "8", "9")]) + "\n")
+    save("n/empty.json", "")
+    assert read(spark, folder, "document") == sorted([*NUMBERS, ("7", "8", "9")], key=repr)
+
+
+def test_sizes_around_the_largest_text(spark, save, monkeypatch):
+    """Documents of two sizes in one folder come once each, by either way."""
+    rows = [(str(i), str(i), str(i)) for i in range(40)]
+    folder = save("m/a.json", numbers_document(rows[:1])).rsplit("/", 1)[0]
+    save("m/b.json", numbers_document(rows[1:]))
+    monkeypatch.setattr(features, "DOCUMENT_TEXT_BYTES", 500)
+    df = read_features(spark, folder, layout="document")
+    assert tuples(feature_properties(df)) == sorted(rows, key=repr)
+    assert df.sparkSession.conf.get("spark.sql.files.openCostInBytes") == spark.conf.get(
+        "spark.sql.files.openCostInBytes"
+    )
+
+
+def test_compressed_documents(spark, save):
+    path = save("z/a.json", numbers_document([("7", "8", "9")]))
+    with gzip.open(path + ".gz", "wt") as f:
+        f.write(numbers_document([("10", "11", "x")]).replace("x", '"x"'))
+    got = read(spark, path.rsplit("/", 1)[0], "document")
+    assert got == sorted([("7", "8", "9"), ("10", "11", "x")], key=repr)
+
+
+def test_documents_in_other_encodings_raise(spark, save):
+    """Not silently without numbers: a text of two bytes a character has zero bytes."""
+    path = save("u.json", "")
+    for encoding in ("utf-16", "utf-16-le", "utf-16-be", "utf-32"):
+        with open(path, "wb") as f:
+            f.write(numbers_document(NUMBERS).encode(encoding))
+        with pytest.raises(Exception):
+            read_features(spark, path, layout="document").collect()
+
+
+def test_document_with_numbers_is_read_once(spark, save):
+    """Not once more for every number: the reader's bytes follow the size of the file."""
+    rows = [(str(i), str(i), str(i % 7)) for i in range(3000)]
+    text = numbers_document(rows)
+    path = save("once_only.json", text)
+
+    def bytes_read():
+        statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+        return sum(s.getBytesRead() for s in statistics)
+
+    before = bytes_read()
+    assert len(read(spark, path, "document")) == 3000
+    assert bytes_read() - before < 4 * len(text)

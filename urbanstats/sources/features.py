@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 
 from urbanstats.schemas import BLOCK_COLUMNS, feature_collection_schema, feature_schema
 from urbanstats.sources.scratch import scratch_path
+from urbanstats.sources.sessions import session_with
 
 LAYOUTS = ("split", "document", "document_lines", "feature_lines")
 
+# A document of up to this many bytes is parsed as one text, a larger one as a stream.
+DOCUMENT_TEXT_BYTES = 128 * 1024 * 1024
+# Most such documents that one task reads, where there are more of them than cores.
+DOCUMENTS_PER_TASK = 8
+
+# Fixed value: names of compressed files.
+_COMPRESSED = r"(?i)\.(gz|gzip|bz2|deflate|snappy|lz4|lzo|zst|zstd|passthrough)$"
 # Fixed value: the member that holds a feature's attributes (RFC 7946).
 PROPERTIES_MARK = '"properties"'
 
@@ -44,15 +52,43 @@ def read_features(spark, paths, fields=BLOCK_COLUMNS, layout="split", check=True
         return _read_split(spark, paths, fields, check)
     if layout == "feature_lines":
         return _read_lines(spark, paths, fields)
-    documents = (
-        spark.read.schema(feature_collection_schema(fields))
-        .option("multiLine", layout == "document")
-        .option("mode", "FAILFAST")
-        .json(paths)
-    )
+    if layout == "document":
+        documents = _read_documents(spark, paths, fields)
+    else:
+        documents = _json_reader(spark, fields).json(paths)
     return documents.select(F.explode("features").alias("feature"))
 
 
+def _json_reader(spark, fields):
+    return spark.read.schema(feature_collection_schema(fields)).option("mode", "FAILFAST")
+
+
+def _read_documents(spark, paths, fields):
+    """One row per document, each file read once.
+
+    A number that is wanted as text is cut out of what was read. Of a stream nothing is
+    kept, so Spark's reader opens the file again for every number, and reads some thousand
+    bytes for each. Documents are therefore read as lines: each is one, as a zero byte
+    ends a line and no JSON text has any. A document that is too large for that is read as
+    a stream all the same; so is a compressed one, whose stream cannot be read again and
+    whose numbers are written anew.
+
+    A line could be cut to splits, each of which would look for its end. The settings
+    keep every file whole; the stream, which comes first, keeps the caller's session.
+    """
+    whole = session_with(
+        spark,
+        spark__sql__files__openCostInBytes=str(DOCUMENT_TEXT_BYTES),
+        spark__sql__files__maxPartitionBytes=str(DOCUMENTS_PER_TASK * DOCUMENT_TEXT_BYTES),
+    )
+    small = (F.col("_metadata.file_size") <= DOCUMENT_TEXT_BYTES) & ~F.col("_metadata.file_name").rlike(
+        _COMPRESSED
+    )
+    lines = _json_reader(whole, fields).option("lineSep", "\0").json(paths).filter(small)
+    streams = _json_reader(spark, fields).option("multiLine", True).json(paths).filter(~small)
+    return streams.select("features").unionAll(lines.select("features"))
+
+
 def _read_lines(spark, paths, fields):
     line = F.trim("value", F.lit(" \t\r\n"))
     feature = F.from_json(line, feature_schema(fields), {"mode": "FAILFAST"})
